@@ -462,7 +462,7 @@ def s1_read_by_name(spark, sf):
         F.replace("s_name", F.lit("#"), F.lit("")).alias("name"), value.alias("value"),
         F.col("s_nationkey").alias("extra"))
     one = rows.where("extra < 12").select(F.col("value").alias(" pcMapped"), F.col("name").alias("Sample"), "extra")
-    note = F.concat("value", F.lit(" # checked, twice"))
+    note = F.concat("value", F.lit(" # checked"))
     two = rows.where("extra >= 12").select(F.col("name").alias("Sample"), note.alias("pcMapped"))
     for part in (one, two):
         part.write.mode("append").option("header", True).csv(path)

@@ -1,0 +1,96 @@
+import random
+
+import pytest
+
+from cohortlens.operators.dedup import best_per_key, first_per_key, stage_removals
+
+NAN = float("nan")
+
+
+def test_staged_removal_and_first_of_ties(frame, rows):
+    df = frame("Submission string, foo double, bar double, name string", [
+        ("1", 1.0, 5.0, "a"), ("1", 2.0, 6.0, "b"), ("1", 2.0, 4.0, "c"), ("1", 2.0, 4.0, "d"), ("2", 0.0, 0.0, "e")])
+    best = best_per_key(df, [("foo", "max"), ("bar", "min")])
+    assert rows(best, "Submission", "name") == [("1", "c"), ("2", "e")]
+
+
+@pytest.mark.parametrize("criteria, error", [
+    ([], TypeError), ([("baz", "min")], ValueError), ([("foo", "middle")], ValueError), ([("name", "zz")], ValueError)])
+def test_errors(frame, criteria, error):
+    df = frame("Submission string, foo double, name string", [("1", 1.0, "a"), ("1", 2.0, "b")])
+    with pytest.raises(error):
+        best_per_key(df, criteria)
+
+
+@pytest.mark.parametrize("hot_rows", [1, 1_000_000])
+def test_one_stage(frame, rows, hot_rows):
+    df = frame("Submission string, pcMapped double, Outcome string, name string", [
+        ("1", 1.0, "Pass", "a"), ("1", 2.0, "Fail", "b"), ("2", 4.0, "x", "c"), ("2", 3.0, "x", "d"),
+        ("3", 1.0, "Fail", "e"), ("4", None, "Pass", "f"), ("4", NAN, "Pass", "g"), ("5", None, None, "h"),
+        ("5", 7.0, "Pass", "i"), (None, 1.0, "Pass", "j"), (None, 2.0, "Fail", "k")])
+
+    def removed(column, rule):
+        return "".join(n for (n,) in rows(stage_removals(df, column, rule, hot_rows=hot_rows), "name"))
+    assert removed("pcMapped", "max") == "adh"
+    assert removed("pcMapped", "min") == "bch"
+    assert removed("Outcome", "Pass") == "bh"
+
+
+def test_hot_key_is_spread_without_loss(spark, rows):
+    df = spark.range(20_000).selectExpr("if(id % 3 = 0, id, -1) AS Submission", "cast(id AS double) AS x")
+    removed = stage_removals(df, "x", "max", hot_rows=100)
+    hot = [i for i in range(20_000) if i % 3]
+    assert [x for _, x in rows(removed, "Submission", "x")] == sorted(map(float, hot[:-1]), key=repr)
+
+
+def test_missing_keys_keep_their_first_row_only(frame, rows):
+    df = frame("Submission string, x double, name string",
+               [(None, 1.0, "a"), (None, 9.0, "b"), ("k", 1.0, "c"), ("k", 9.0, "d")])
+    assert rows(best_per_key(df, [("x", "max")]), "Submission", "name") == [("k", "d"), (None, "a")]
+
+
+def cascade(data, criteria):
+    """The stages one after the other, row by row."""
+    out = []
+    for key in dict.fromkeys(r["key"] for r in data):
+        group = [r for r in data if r["key"] == key]
+        for column, rule in criteria if key is not None else []:
+            if rule in ("min", "max"):
+                values = [r[column] for r in group if r[column] is not None]
+                keep = [r for r in group if values and r[column] == (max if rule == "max" else min)(values)]
+            else:
+                keep = [r for r in group if r[column] == rule]
+            group = keep or group
+        out.append(group[0]["n"])
+    return sorted(out)
+
+
+def test_equals_the_cascade_of_stages(spark):
+    rng = random.Random(5)
+    data = [{"key": rng.choice([None, *map(str, range(300))]), "x": rng.choice([None, 1.0, 2.0, 3.0]),
+             "y": rng.choice([None, 1.0, 2.0]), "c": rng.choice([None, "Pass", "Fail"]), "n": n} for n in range(1500)]
+    criteria = [("c", "Pass"), ("x", "max"), ("y", "min")]
+    df = spark.createDataFrame([tuple(r.values()) for r in data], "key string, x double, y double, c string, n int")
+    for shuffled in (df, df.repartition(7, "n"), df.orderBy("x")):
+        best = best_per_key(shuffled, criteria, key="key", order=["n"])
+        assert sorted(r.n for r in best.collect()) == cascade(data, criteria)
+
+
+def test_stages_then_first_equal_the_choice(spark):
+    rng = random.Random(6)
+    df = spark.createDataFrame(
+        [(str(rng.randrange(40)), float(rng.randrange(3)), rng.choice("PF"), n) for n in range(400)],
+        "Submission string, x double, c string, n int")
+    criteria = [("c", "P"), ("x", "min")]
+    left = df
+    for column, rule in criteria:
+        left = left.join(stage_removals(left, column, rule).select("n"), "n", "left_anti")
+    first = first_per_key(left, "Submission", ["n"], ["n"])
+    assert sorted(r.n for r in first.collect()) == \
+        sorted(r.n for r in best_per_key(df, criteria, order=["n"]).collect())
+
+
+def test_each_task_sends_one_row_per_key(spark):
+    df = spark.range(1000).selectExpr("id % 10 AS Submission", "cast(id AS double) AS x")
+    plan = best_per_key(df, [("x", "max")], order=["x"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2 and plan.count("Exchange hashpartitioning") == 1
