@@ -1,0 +1,33 @@
+"""Every registered query against its SQL on the smallest tables."""
+
+import glob
+import os
+
+import duckdb
+import pytest
+
+import __spark_entry__ as contract
+from tools.check_queries import canonical
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def db():
+    connection = duckdb.connect()
+    for path in glob.glob(f"{SF}/*.parquet"):
+        name = os.path.basename(path).removesuffix(".parquet")
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{path}'")
+    return connection
+
+
+@pytest.mark.parametrize("name", contract.queries())
+def test_query_equals_sql(spark, db, name):
+    ours = contract.queries()[name](spark, SF).toPandas()
+    theirs = db.execute(contract.oracle_sql()[name]).df()
+    assert sorted(ours.columns) == sorted(theirs.columns)
+    assert canonical(ours) == canonical(theirs)
+
+
+def test_entry(spark):
+    assert contract.entry(spark).count() > 0
