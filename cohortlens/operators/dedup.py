@@ -1,6 +1,6 @@
 """Choosing one row per key."""
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortlens.functions import nan_to_null
 from cohortlens.model import KEY, ORDER
@@ -23,13 +23,14 @@ def check_criteria(df: DataFrame, criteria: list[tuple[str, str]], check_values:
             raise ValueError(f"invalid rule '{rule}': no row of column '{column}' has this value")
 
 
-def _preference(df: DataFrame, column: str, rule: str, key: str) -> Column:
-    """Sort expression that puts the preferred rows of a key first; missing keys have no preference."""
+def _preference(df: DataFrame, column: str, rule: str, key: str) -> list[Column]:
+    """Ascending sort values that put the preferred rows first; rows without a key have no preference."""
     ranked = F.col(key).isNotNull()
     if not is_numeric(df, column):
-        return F.when(ranked, F.coalesce(F.col(column) == F.lit(rule), F.lit(False))).desc()
-    value = F.when(ranked, nan_to_null(df, column))
-    return value.desc_nulls_last() if rule == "max" else value.asc_nulls_last()
+        return [F.when(ranked, F.coalesce(F.col(column) != F.lit(rule), F.lit(True)))]
+    value = nan_to_null(df, column)
+    # A struct sorts NULL first, so a flag before each number puts missing ones last.
+    return [F.when(ranked, value.isNull()), F.when(ranked, -value if rule == "max" else value)]
 
 
 def best_per_key(df: DataFrame, criteria: list[tuple[str, str]], key: str = KEY,
@@ -37,12 +38,14 @@ def best_per_key(df: DataFrame, criteria: list[tuple[str, str]], key: str = KEY,
     """One row per key by criteria in order of importance, then by row order.
 
     Each criterion keeps the best rows of those the one before left and never removes all, so the
-    survivor is the first row in lexicographic order. ``row_number() = 1`` lets Spark cut every key to
-    one row per task before the shuffle, so a hot key sends at most one row per task.
+    survivor is the first row in lexicographic order. ``min_by`` combines before the shuffle, so a hot
+    key sends one row per task, and rows are sorted by the key alone.
     """
     check_criteria(df, criteria, check_values)
-    rank = Window.partitionBy(key).orderBy(*[_preference(df, c, r, key) for c, r in criteria], *order)
-    return df.withColumn("_rank", F.row_number().over(rank)).where("_rank = 1").drop("_rank")
+    rank = F.struct(*[v for c, r in criteria for v in _preference(df, c, r, key)], *order)
+    rest = [c for c in df.columns if c != key]
+    best = df.groupBy(key).agg(F.min_by(F.struct(*rest), rank).alias("_best"))
+    return best.select(*[F.col(c) if c == key else F.col("_best")[c].alias(c) for c in df.columns])
 
 
 def first_per_key(df: DataFrame, key: str, columns: list[str],

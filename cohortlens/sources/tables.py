@@ -5,6 +5,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from cohortlens.functions import null_tokens_to_null, number, submission_number
 from cohortlens.model import ORDER, SAMPLE_COLUMNS, SAMPLES, STORED_SAMPLES
 from cohortlens.plans.sizing import lookup_join
+from cohortlens.plans.staging import stage
 
 # Files may differ in their headers, but a table with more variants than this is a mistake.
 HEADER_VARIANTS = 1000
@@ -48,8 +49,9 @@ def read_by_name(spark: SparkSession, paths: list[str] | str, comment: bool = Fa
     """
     lines = _lines(spark, paths, run, comment)
     first = F.min_by("line", ORDER)
-    headers = (lines.where(f"{ORDER}.block = 0").groupBy(F.col(f"{ORDER}.path").alias("_path"))
-               .agg(first.alias("_header"), F.min(f"{ORDER}.row").alias("_header_row")))
+    headers = stage(
+        lines.where(f"{ORDER}.block = 0").groupBy(F.col(f"{ORDER}.path").alias("_path"))
+        .agg(first.alias("_header"), F.min(f"{ORDER}.row").alias("_header_row")), "headers")
     variants = [r[0] for r in headers.select("_header").distinct().limit(HEADER_VARIANTS + 1).collect()]
     if len(variants) > HEADER_VARIANTS:
         raise ValueError(f"more than {HEADER_VARIANTS} different headers under {paths}")

@@ -93,4 +93,4 @@ def test_stages_then_first_equal_the_choice(spark):
 def test_each_task_sends_one_row_per_key(spark):
     df = spark.range(1000).selectExpr("id % 10 AS Submission", "cast(id AS double) AS x")
     plan = best_per_key(df, [("x", "max")], order=["x"])._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("WindowGroupLimit") == 2 and plan.count("Exchange hashpartitioning") == 1
+    assert "partial_min_by" in plan and plan.count("Exchange hashpartitioning") == 1
