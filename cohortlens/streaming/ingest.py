@@ -6,7 +6,7 @@ from pyspark.sql.streaming import StreamingQuery
 from cohortlens.functions import key_in_bucket, result_location
 from cohortlens.model import BATCH_FILE_MARK, DEFAULT_BUCKET
 from cohortlens.sources.batches import load_batches, new_batches
-from cohortlens.sources.store import read_store
+from cohortlens.sources.store import append_ingest, next_run, read_store
 
 # Files per micro-batch, which bounds the list of paths that the driver holds.
 FILES_PER_BATCH = 10_000
@@ -34,14 +34,15 @@ def ingest_stream(spark: SparkSession, root: str, store: str, checkpoint: str, i
         raise ValueError("identity must be 'file' or 'directory'")
 
     def append(files: DataFrame, batch_id: int) -> None:
+        name = f"stream-{batch_id}"
+        stored = read_store(spark, store, without=name)
         if identity == "directory":
             key = key_in_bucket(F.col("path"), bucket)
             listing = files.withColumn("location", result_location(key, bucket))
-            files = new_batches(listing, read_store(spark, store, before=batch_id))
+            files = new_batches(listing, stored)
         paths = [row.path for row in files.select("path").distinct().collect()]
         if paths:
-            rows = load_batches(spark, paths, batch_id, permissive)
-            rows.write.mode("overwrite").parquet(f"{store}/ingest={batch_id}")
+            append_ingest(load_batches(spark, paths, next_run(stored), permissive), store, name)
 
     return (batch_files(spark, root, files_per_batch).writeStream.foreachBatch(append)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

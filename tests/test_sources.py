@@ -174,6 +174,19 @@ def test_stream_loads_each_file_once(spark, tmp_path, rows, identity, late):
     assert len(set(orders)) > 1
 
 
+def test_repeated_micro_batch_replaces_its_rows(spark, tmp_path, rows):
+    target = str(tmp_path / "store")
+    batch(tmp_path, "01")
+    paths = [r.path for r in batches.list_batches(spark, base_of(tmp_path)).collect()]
+    store.append_ingest(batches.load_batches(spark, paths, 0), target, "run-0")
+    for _ in range(2):
+        before = store.read_store(spark, target, without="stream-0")
+        run = store.next_run(before)
+        store.append_ingest(batches.load_batches(spark, paths, run), target, "stream-0")
+    table = store.read_store(spark, target)
+    assert run == 1 and table.count() == 2 and table.columns == [*SAMPLE_COLUMNS, "_ord"]
+
+
 def test_stream_rejects_unknown_identity(spark):
     with pytest.raises(ValueError):
         ingest_stream(spark, "a", "b", "c", "name")
