@@ -10,15 +10,16 @@ ROW_OVERHEAD = 16
 
 def measured_bytes(df: DataFrame) -> int:
     """The size of a frame from one narrow aggregation, combined before the shuffle."""
-    fixed, texts = ROW_OVERHEAD, []
+    fixed, varying = ROW_OVERHEAD, []
     for field in df.schema.fields:
+        column = F.col(f"`{field.name}`")
         if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            texts.append(F.coalesce(F.octet_length(field.name), F.lit(0)))
-        elif isinstance(field.dataType, T.ArrayType):
-            texts.append(F.greatest(F.size(field.name), F.lit(0)) * 8)
+            varying.append(F.coalesce(F.octet_length(column), F.lit(0)))
+        elif isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):
+            varying.append(F.coalesce(F.octet_length(column.cast("string")), F.lit(0)))
         else:
             fixed += 8
-    width = sum(texts, F.lit(fixed)).cast("bigint")
+    width = sum(varying, F.lit(fixed)).cast("bigint")
     return df.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]
 
 

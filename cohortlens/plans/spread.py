@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, functions as F
 # A key with more left rows than this is cut into pieces of about this many rows. At most
 # |left| / HOT_ROWS keys can be hot, which bounds the broadcast below.
 HOT_ROWS = 1_000_000
+KEYLESS_PIECES = 4096
 
 
 def spread_join(left: DataFrame, right: DataFrame, on: str, weight: str, how: str = "inner",
@@ -13,16 +14,17 @@ def spread_join(left: DataFrame, right: DataFrame, on: str, weight: str, how: st
 
     Adaptive execution splits a skewed join only if both sides come straight from a shuffle, and a
     side aggregated on the join key does not. So hot keys get a salt here: their left rows take
-    one of n pieces, and their single right row is repeated n times.
+    one of n pieces, and their single right row is repeated n times. Rows without a key match nothing,
+    so any salt will do for them and keeps them from meeting in one task.
     """
     hot_rows = HOT_ROWS if hot_rows is None else hot_rows
     pieces = F.ceil(F.col(weight) / F.lit(hot_rows)).cast("int")
     hot = right.where(F.col(weight) > hot_rows).select(on, pieces.alias("_pieces"))
+    number = F.monotonically_increasing_id()
+    spread = F.when(F.col(on).isNull(), F.lit(KEYLESS_PIECES)).otherwise(F.coalesce("_pieces", F.lit(1)))
     salted_left = (
         left.join(F.broadcast(hot), on, "left")
-        .withColumn("_salt", F.coalesce(
-            F.pmod(F.monotonically_increasing_id(), F.col("_pieces")).cast("int"), F.lit(0)))
-        .drop("_pieces"))
+        .withColumn("_salt", F.pmod(number, spread).cast("int")).drop("_pieces"))
     salted_right = right.withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.greatest(pieces, F.lit(1)) - 1)))
     return salted_left.join(salted_right, [on, "_salt"], how).drop("_salt")
