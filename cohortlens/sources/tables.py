@@ -52,7 +52,7 @@ def read_by_name(spark: SparkSession, paths: list[str] | str, comment: bool = Fa
     headers = stage(
         lines.where(f"{ORDER}.block = 0").groupBy(F.col(f"{ORDER}.path").alias("_path"))
         .agg(first.alias("_header"), F.min(f"{ORDER}.row").alias("_header_row")), "headers")
-    variants = [r[0] for r in headers.select("_header").distinct().limit(HEADER_VARIANTS + 1).collect()]
+    variants = sorted(r[0] for r in headers.select("_header").distinct().limit(HEADER_VARIANTS + 1).collect())
     if len(variants) > HEADER_VARIANTS:
         raise ValueError(f"more than {HEADER_VARIANTS} different headers under {paths}")
     layouts, names = [], {}
