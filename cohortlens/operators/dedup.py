@@ -1,6 +1,6 @@
 """Choosing one row per key."""
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from cohortlens.functions import nan_to_null
 from cohortlens.model import KEY, ORDER
@@ -29,8 +29,10 @@ def _preference(df: DataFrame, column: str, rule: str, key: str) -> list[Column]
     if not is_numeric(df, column):
         return [F.when(ranked, F.coalesce(F.col(column) != F.lit(rule), F.lit(True)))]
     value = nan_to_null(df, column)
+    if rule == "max":   # reversed; the complement of an integer cannot overflow as its negative can
+        value = F.bitwise_not(value) if isinstance(df.schema[column].dataType, T.IntegralType) else -value
     # A struct sorts NULL first, so a flag before each number puts missing ones last.
-    return [F.when(ranked, value.isNull()), F.when(ranked, -value if rule == "max" else value)]
+    return [F.when(ranked, value.isNull()), F.when(ranked, value)]
 
 
 def best_per_key(df: DataFrame, criteria: list[tuple[str, str]], key: str = KEY,

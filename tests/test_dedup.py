@@ -90,6 +90,14 @@ def test_stages_then_first_equal_the_choice(spark):
         sorted(r.n for r in best_per_key(df, criteria, order=["n"]).collect())
 
 
+def test_extreme_integers(frame, rows):
+    low, high = -2 ** 63, 2 ** 63 - 1
+    df = frame("Submission string, x bigint, name string",
+               [("a", low, "1"), ("a", 0, "2"), ("a", None, "3"), ("b", low, "4"), ("b", high, "5"), ("c", None, "6")])
+    assert rows(best_per_key(df, [("x", "max")]), "name") == [("2",), ("5",), ("6",)]
+    assert rows(best_per_key(df, [("x", "min")]), "name") == [("1",), ("4",), ("6",)]
+
+
 def test_each_task_sends_one_row_per_key(spark):
     df = spark.range(1000).selectExpr("id % 10 AS Submission", "cast(id AS double) AS x")
     plan = best_per_key(df, [("x", "max")], order=["x"])._jdf.queryExecution().executedPlan().toString()
