@@ -2,7 +2,8 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortlens.llm import near_dedup, quality
+from cohortlens.llm import decontaminate, mixing, near_dedup, quality, token_output
+from cohortlens.plans.staging import fresh_path, stage
 
 QUERIES, SQL = {}, {}
 
@@ -16,6 +17,57 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def tokenizer() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query
+def op1_token_output(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's place, length and checksum in the token files, found through their index."""
+    folder = fresh_path(spark, "tokens")
+    parts = token_output.write(table(spark, sf, "documents"), folder, tokenizer())
+    return token_output.read_back(spark, folder, parts)
+
+
+@query
+def op3_source_mix(spark: SparkSession, sf: str) -> DataFrame:
+    """The words that a mix of the sources by their weights takes of each document."""
+    docs = table(spark, sf, "documents").select("doc_id", "source", mixing.word_count("text").alias("size"))
+    return mixing.mixed(stage(docs, "sizes")).select(
+        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+SQL["op3_source_mix"] = """
+WITH RECURSIVE sized AS (
+  SELECT doc_id, source,
+         CASE WHEN text IS NULL THEN 0 ELSE len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) END::BIGINT AS size
+  FROM documents),
+sums AS (
+  SELECT source, sum(size)::DOUBLE AS s, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM sized GROUP BY source),
+placed AS (
+  SELECT source, s, CASE place % 3 WHEN 0 THEN 3.0 WHEN 1 THEN 1.0 ELSE 2.0 END::DOUBLE AS w, 2.0::DOUBLE * s AS room FROM sums),
+-- A source is full once the level reaches room / w, so sources fill up in that order and each prefix of it gives a level.
+levels AS (
+  SELECT source, s, w, room, 1.5::DOUBLE * (SELECT sum(s) FROM placed) AS everything,
+         coalesce(sum(room) OVER before, 0) AS full_room, (SELECT sum(w) FROM placed) - coalesce(sum(w) OVER before, 0) AS open_w
+  FROM placed WINDOW before AS (ORDER BY room / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+level AS (   -- the first level that does not fill the source it is taken at
+  SELECT (everything - full_room) / open_w AS filled FROM levels WHERE w * ((everything - full_room) / open_w) <= room
+  ORDER BY room / w, source NULLS LAST LIMIT 1),
+targets AS (
+  SELECT source, s, least(w * coalesce((SELECT filled FROM level), room / w), room) AS target FROM placed),
+ranked AS (
+  SELECT d.doc_id, d.size, t.s, t.target, CASE WHEN t.s > 0 THEN t.target / t.s ELSE 0 END AS rate,
+         row_number() OVER (PARTITION BY d.source ORDER BY d.size, d.doc_id) - 1 AS k,
+         ('0x' || substr(md5('mix' || coalesce('s' || d.source, '')), 1, 8))::BIGINT::DOUBLE / 4294967296.0::DOUBLE AS u
+  FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, s::BIGINT AS source_size, target,
+       ((floor(rate * (k + 1) + u) - floor(rate * k + u)) * size)::BIGINT AS taken
+FROM ranked
+"""
+
+
 @query
 def op4_minhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Classes of documents whose sets of 2-word shingles have a similarity of at least 0.8."""
@@ -28,3 +80,9 @@ def op7_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     model = quality.train(docs, table(spark, sf, "labels"), usable=~quality.held_out())
     return quality.score(docs, model).select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
+
+
+@query
+def op10_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    """Occurrences of benchmark items in documents, exact or with few edits."""
+    return decontaminate.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))

@@ -2,8 +2,9 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortlens.llm import near_dedup, quality
-from cohortlens.plans.staging import stage
+from cohortlens.llm import decontaminate, mixing, near_dedup, quality, token_output
+from cohortlens.llm.queries import tokenizer
+from cohortlens.plans.staging import fresh_path, stage
 
 ORACLE_SQL = None    # hashed searches and a trained model have no SQL form; tests compare with brute force
 
@@ -16,13 +17,35 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: sets of 5-word shingles of a similarity of 0.8 or more."""
-    kept = near_dedup.near_duplicates(docs, width=5, percent=80).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+    dropped = near_dedup.near_duplicates(docs, width=5, percent=80).where("NOT kept").select("doc_id").distinct()
+    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without an occurrence of a benchmark item, exact or with few edits."""
+    found = decontaminate.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+
+
+def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix of the sources by their weights: each document as often as it is taken."""
+    sized = docs.withColumn("_size", mixing.word_count("text"))
+    return (mixing.mixed(sized, size="_size").withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("copies"))))
+            .select(docs.columns))
+
+
+def token_id_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The token files of what is left, read back: place, length and checksum of every document."""
+    folder = fresh_path(spark, "tokens")
+    return token_output.read_back(spark, folder, token_output.write(docs, folder, tokenizer()))
 
 
 STAGES = [
     ("quality classifier", quality_classifier),
     ("minhash near-dedup", minhash_near_dedup),
+    ("benchmark decontamination", benchmark_decontamination),
+    ("mixing sources to target weights", mixing_sources),
+    ("token-id / binary output", token_id_output),
 ]
 
 
