@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortlens.llm import decontaminate, mixing, near_dedup, quality, token_output
+from cohortlens.llm import anchors, decontaminate, mixing, near_dedup, quality, token_output
 from cohortlens.plans.staging import fresh_path, stage
 
 QUERIES, SQL = {}, {}
@@ -74,6 +74,14 @@ def op4_minhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf, "documents"), width=2, percent=80)
 
 
+@query
+def op6_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """What is left of every document without windows of 35 words that also start anywhere else."""
+    left = anchors.repeated_words(table(spark, sf, "documents"), window=35)
+    return left.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"),
+                       "n_repeats")
+
+
 @query
 def op7_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     """Scores of all documents by a model fitted to the labels outside the held-out fold."""
