@@ -14,7 +14,6 @@ from cohortlens.llm import exchange
 from cohortlens.llm.words import U, mix, rolling, span_hashes, text_bytes, window_starts, word_spans
 
 BUCKET_BYTES = 16 << 20      # text whose probes meet in one bucket
-KEY_BITS = 46                # of a probe's hash: a false hit costs a comparison of windows and nothing else
 RESULT = "doc_id long, n_words long, n_removed long, n_repeats long, kept_text string"
 
 
@@ -33,10 +32,10 @@ class Group:
         self.window, self.block = window, block_length(window)
         self.n = len(self.words)
 
-    def probes(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def probes(self, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Positions of the rolling blocks, their keys, and whether each is a reference block."""
         at = window_starts(self.bounds, self.block)
-        keys = rolling(self.words, self.block)[at] >> U(64 - KEY_BITS) << U(64 - KEY_BITS) if len(at) else np.empty(0, U)
+        keys = exchange.short(rolling(self.words, self.block)[at], bits) if len(at) else np.empty(0, U)
         text = np.searchsorted(self.bounds, at, "right") - 1
         return at, keys, (at - self.bounds[text]) % self.block == 0
 
@@ -58,7 +57,7 @@ class Group:
 
 def distinct(keys: np.ndarray, flag: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct keys with a byte each: bit 0, one of its rows has the flag; bit 1, it has several rows."""
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys, flag = keys[order], flag[order]
     at = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.empty(0, np.int64)
     if not len(at):
@@ -79,39 +78,16 @@ def _probe_answers(keys: list[np.ndarray], more: list[bytes]) -> list[np.ndarray
     return [np.packbits(good[at]) for at in places]
 
 
-def _window_answers(keys: list[np.ndarray], more: list[bytes]) -> list[np.ndarray]:
-    """1 for each window (its first 64 bits as key, the others beside it) that has more than one place."""
-    low = [np.frombuffer(m, "<u8") for m in more]
-    high, second = np.concatenate(keys), np.concatenate(low)
-    several = (second & U(1)).astype(bool)      # the lowest bit says that the group holds the window more than once
-    second = second | U(1)
-    order = np.lexsort((second, high))
-    h, s = high[order], second[order]
-    new = np.r_[True, (h[1:] != h[:-1]) | (s[1:] != s[:-1])]
-    group = np.cumsum(new) - 1
-    rows = np.bincount(group) + np.bincount(group, weights=several[order]).astype(np.int64)
-    good = np.empty(len(h), bool)
-    good[order] = rows[group] > 1
-    return [np.packbits(part) for part in np.split(good, np.cumsum([len(k) for k in keys])[:-1])]
-
-
-def _bits(table: pa.Table, counts: list[int]) -> np.ndarray:
-    """The packed answers of all buckets as one array; a bucket without keys was not asked."""
-    parts = [np.unpackbits(np.frombuffer(a, np.uint8))[:n].astype(bool)
-             for a, n in zip(table.sort_by("bucket").column("answer").to_pylist(), [n for n in counts if n])]
-    return np.concatenate([*parts, np.empty(0, bool)])
-
-
-def _windows(group: Group, answers: pa.Table, buckets: int):
+def _windows(group: Group, answers: pa.Table, buckets: int, bits: int):
     """Candidate windows of a group: starts, and for the distinct ones the key, the rest and the row of each start."""
-    at, keys, flag = group.probes()
+    at, keys, flag = group.probes(bits)
     known, _ = distinct(keys, flag)
-    good = _bits(answers, np.diff(exchange.cuts(known, buckets)))
+    good = exchange.bits(answers, np.diff(exchange.cuts(known, buckets)))
     hit = good[np.searchsorted(known, keys)] if len(known) else np.empty(0, bool)
     starts = group.candidates(hit, at)
     high, low = group.digests(starts)
     low = low | U(1)
-    order = np.lexsort((low, high))
+    order = exchange.order_by(high, low)
     h, s = high[order], low[order]
     new = np.r_[True, (h[1:] != h[:-1]) | (s[1:] != s[:-1])] if len(h) else np.empty(0, bool)
     row = np.empty(len(h), np.int64)
@@ -139,16 +115,17 @@ def repeated_words(docs: DataFrame, id_column: str = "doc_id", text: str = "text
     """
     groups, n_groups = exchange.grouped(docs, id_column, text, group_bytes)
     buckets = max(1, -(-n_groups * group_bytes // bucket_bytes))
+    bits = exchange.key_bits(n_groups * group_bytes, 16)    # a false hit costs a comparison of windows and nothing else
 
     def probe(table: pa.Table) -> pa.Table:
         group = Group(table, window)
-        _, keys, flag = group.probes()
+        _, keys, flag = group.probes(bits)
         return exchange.ask_rows(table.column("g")[0].as_py(), *distinct(keys, flag), buckets)
 
     def extend(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
             return exchange.ask_rows(0, np.empty(0, U), np.empty(0, U), buckets)
-        _, high, low, _ = _windows(Group(table, window), answers, buckets)
+        _, high, low, _ = _windows(Group(table, window), answers, buckets, bits)
         return exchange.ask_rows(table.column("g")[0].as_py(), high, low, buckets)
 
     def remove(table: pa.Table, answers: pa.Table) -> pa.Table:
@@ -156,13 +133,13 @@ def repeated_words(docs: DataFrame, id_column: str = "doc_id", text: str = "text
             return _empty()
         group = Group(table, window)
         kind = answers.column("kind").to_numpy()
-        starts, high, _, row = _windows(group, answers.filter(pa.array(kind == 0)), buckets)
-        good = _bits(answers.filter(pa.array(kind == 1)), np.diff(exchange.cuts(high, buckets)))
+        starts, high, _, row = _windows(group, answers.filter(pa.array(kind == 0)), buckets, bits)
+        good = exchange.bits(answers.filter(pa.array(kind == 1)), np.diff(exchange.cuts(high, buckets)))
         return _removed(group, starts[good[row]] if len(starts) else starts)
 
     probes = exchange.answer(groups.groupBy("g").applyInArrow(probe, exchange.ASKED), _probe_answers)
     windows = exchange.answer(
-        groups.groupBy("g").cogroup(probes.groupBy("g")).applyInArrow(extend, exchange.ASKED), _window_answers)
+        groups.groupBy("g").cogroup(probes.groupBy("g")).applyInArrow(extend, exchange.ASKED), exchange.several_places)
     both = probes.selectExpr("g", "bucket", "answer", "0 AS kind").union(windows.selectExpr("g", "bucket", "answer", "1 AS kind"))
     return groups.groupBy("g").cogroup(both.groupBy("g")).applyInArrow(remove, RESULT)
 

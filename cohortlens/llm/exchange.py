@@ -46,22 +46,42 @@ def cuts(keys: np.ndarray, buckets: int) -> np.ndarray:
     return np.r_[0, np.searchsorted(keys, edges), len(keys)]
 
 
+def key_bits(size: int, spare: int) -> int:
+    """Bits of a hash that tell ``size`` keys apart but for one in 2**spare; 64 at most."""
+    return min(64, max(size, 1).bit_length() + spare)
+
+
+def short(keys: np.ndarray, bits: int) -> np.ndarray:
+    """The leading bits of hashes, the others zero."""
+    return keys >> U(64 - bits) << U(64 - bits)
+
+
 def pack(values: np.ndarray) -> bytes:
-    """Sorted 64-bit numbers as steps of 4 bytes where they fit, else as they are; the first byte says which."""
-    steps = np.diff(values, prepend=U(0))
-    first = values[:1].tobytes() if len(values) else b""
-    if len(values) and (len(values) == 1 or steps[1:].max() < 1 << 32):
-        return b"\x04" + first + steps[1:].astype("<u4").tobytes()
-    return b"\x08" + values.astype("<u8").tobytes()
+    """Sorted 64-bit numbers, without trailing zero bits that all have, as steps of 4 bytes where they fit, else as they are."""
+    shift = 0
+    if len(values):
+        every = int(np.bitwise_or.reduce(values))
+        shift = (every & -every).bit_length() - 1 if every else 0
+        steps = np.diff(values >> U(shift))
+        if not len(steps) or steps.max() < 1 << 32:
+            return bytes([4, shift]) + (values[:1] >> U(shift)).tobytes() + steps.astype("<u4").tobytes()
+    return bytes([8, shift]) + (values >> U(shift)).astype("<u8").tobytes()
 
 
 def unpack(data: bytes) -> np.ndarray:
     if data[0] == 8:
-        return np.frombuffer(data, "<u8", offset=1).astype(U)
-    steps = np.empty((len(data) - 9) // 4 + 1, U)
-    steps[0] = np.frombuffer(data, "<u8", 1, 1)[0]
-    steps[1:] = np.frombuffer(data, "<u4", offset=9)
-    return np.cumsum(steps, dtype=U)
+        return np.frombuffer(data, "<u8", offset=2).astype(U) << U(data[1])
+    values = np.empty((len(data) - 10) // 4 + 1, U)
+    values[0] = np.frombuffer(data, "<u8", 1, 2)[0]
+    values[1:] = np.frombuffer(data, "<u4", offset=10)
+    return np.cumsum(values, dtype=U) << U(data[1])
+
+
+def order_by(high: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """An order by both; ``low`` only matters where ``high`` collides."""
+    order = np.argsort(high)
+    h, l = high[order], low[order] | U(1)
+    return np.lexsort((low | U(1), high)) if ((h[1:] == h[:-1]) & (l[1:] != l[:-1])).any() else order
 
 
 ASKED = "g int, bucket int, keys binary, more binary"
@@ -96,8 +116,31 @@ def gathered(table: pa.Table, dtype) -> np.ndarray:
 def merged(keys: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
     """The distinct keys of several sorted lists, and where each list's keys stand among them, by binary search."""
     everything = np.concatenate(keys)
-    everything.sort(kind="stable")
+    everything.sort()
     new = np.ones(len(everything), bool)
     new[1:] = everything[1:] != everything[:-1]
     distinct = everything[new]
     return distinct, [np.searchsorted(distinct, k) for k in keys]
+
+
+def several_places(keys: list[np.ndarray], more: list[bytes]) -> list[np.ndarray]:
+    """1 for each string (64 bits of it as key, as many beside it) that has more than one place, as packed bits."""
+    low = [np.frombuffer(m, "<u8") for m in more]
+    high, second = np.concatenate(keys), np.concatenate(low)
+    several = (second & U(1)).astype(bool)      # the lowest bit says that the group holds it more than once
+    second = second | U(1)
+    order = order_by(high, second)
+    h, s = high[order], second[order]
+    new = np.r_[True, (h[1:] != h[:-1]) | (s[1:] != s[:-1])]
+    group = np.cumsum(new) - 1
+    rows = np.bincount(group) + np.bincount(group, weights=several[order]).astype(np.int64)
+    good = np.empty(len(h), bool)
+    good[order] = rows[group] > 1
+    return [np.packbits(part) for part in np.split(good, np.cumsum([len(k) for k in keys])[:-1])]
+
+
+def bits(table: pa.Table, counts: list[int]) -> np.ndarray:
+    """The packed answers of all buckets as one array; a bucket without keys was not asked."""
+    parts = [np.unpackbits(np.frombuffer(a, np.uint8))[:n].astype(bool)
+             for a, n in zip(table.sort_by("bucket").column("answer").to_pylist(), [n for n in counts if n])]
+    return np.concatenate([*parts, np.empty(0, bool)])

@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortlens.llm import anchors, decontaminate, mixing, near_dedup, quality, token_output
+from cohortlens.llm import anchors, decontaminate, mixing, near_dedup, quality, suffixes, token_output
 from cohortlens.plans.staging import fresh_path, stage
 
 QUERIES, SQL = {}, {}
@@ -30,6 +30,13 @@ def op1_token_output(spark: SparkSession, sf: str) -> DataFrame:
     return token_output.read_back(spark, folder, parts)
 
 
+@query
+def op2_suffix_array_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """What is left of every document without strings of 200 bytes that also start anywhere else."""
+    left = suffixes.repeated_bytes(table(spark, sf, "documents"), width=200)
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op3_source_mix(spark: SparkSession, sf: str) -> DataFrame:
     """The words that a mix of the sources by their weights takes of each document."""
