@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortlens.llm import anchors, decontaminate, mixing, near_dedup, quality, suffixes, token_output
+from cohortlens.llm import anchors, backoff, decontaminate, mixing, near_dedup, quality, suffixes, token_output
 from cohortlens.plans.staging import fresh_path, stage
 
 QUERIES, SQL = {}, {}
@@ -97,6 +97,12 @@ def op7_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     return quality.score(docs, model).select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
 
 
+@query
+def op9_lm_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Stupid-backoff scores of all documents by trigram counts of all other documents."""
+    return backoff.scores(table(spark, sf, "documents"), order=3)
+
+
 @query
 def op10_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     """Occurrences of benchmark items in documents, exact or with few edits."""
