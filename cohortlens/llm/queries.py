@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortlens.llm import anchors, backoff, decontaminate, mixing, near_dedup, quality, suffixes, token_output
+from cohortlens.llm import anchors, backoff, decontaminate, fingerprints, mixing, near_dedup, quality, suffixes, token_output
 from cohortlens.plans.staging import fresh_path, stage
 
 QUERIES, SQL = {}, {}
@@ -97,6 +97,20 @@ def op7_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     return quality.score(docs, model).select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
 
 
+@query
+def op8_document_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and how alike they and the next document's are."""
+    rows = (fingerprints.with_next(table(spark, sf, "documents"))
+            .select("doc_id", F.length("text").cast("bigint").alias("n_chars"), "print", "next_print",
+                    fingerprints.edited("text", "next_text").alias("edited")))
+    return fingerprints.fingerprinted(rows, "edited", "edited_print").select(
+        "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        fingerprints.as_string(F.col("print")).alias("fingerprint"),
+        fingerprints.as_string(F.col("edited_print")).alias("edited_fingerprint"),
+        fingerprints.likeness(F.col("print"), F.col("edited_print")).alias("near_edited"),
+        fingerprints.likeness(F.col("print"), F.col("next_print")).alias("near_next"))
+
+
 @query
 def op9_lm_scores(spark: SparkSession, sf: str) -> DataFrame:
     """Stupid-backoff scores of all documents by trigram counts of all other documents."""
