@@ -15,8 +15,8 @@ from cohortlens.plans.staging import stage
 
 PERMUTATIONS = 64
 ROWS = 4                 # 32 bands: a pair of similarity 0.8 is missed with probability 5e-8
-TILE = 2048              # members of a bucket that are compared with as many others in one task
-SLACK = 5                # standard deviations below the threshold down to which an estimate is checked exactly
+TILE = 512               # members of an undecided group that are compared with as many others in one task
+COLUMNS = 1 << 15        # shared shingles of two tiles that are laid out as bits at once
 
 
 def shingle_sets(batch: pa.RecordBatch, text: str, width: int):
@@ -61,11 +61,9 @@ def _sketch(batches, id_column: str, text: str, width: int, permutations: int, r
             sizes = np.array([len(s) for s in sets], np.int64)
             full = np.flatnonzero(sizes)
             bands = np.zeros((len(sets), 2 * permutations // rows), U)
-            low = np.zeros((len(sets), 2 * permutations), np.uint8)
             keys = [None] * len(sets)
             if len(full):
                 values = _signatures([sets[i] for i in full], permutations)
-                low[full] = (mix(values) & U(255)).astype(np.uint8)
                 code = values[:, 0::rows].copy()
                 for k in range(1, rows):
                     code = mix(code) + values[:, k::rows]
@@ -76,9 +74,8 @@ def _sketch(batches, id_column: str, text: str, width: int, permutations: int, r
             lists = pa.ListArray.from_arrays(np.arange(len(sets) + 1, dtype=np.int32) * bands.shape[1],
                                              pa.array(bands.view(np.int64).ravel()))
             yield pa.RecordBatch.from_arrays(
-                [part.column(id_column).cast(pa.int64()), pa.array(sizes), pa.array(keys, pa.binary()), lists,
-                 pa.array([r.tobytes() for r in low], pa.binary())],
-                ["doc_id", "n_shingles", "set_key", "bands", "sketch"])
+                [part.column(id_column).cast(pa.int64()), pa.array(sizes), pa.array(keys, pa.binary()), lists],
+                ["doc_id", "n_shingles", "set_key", "bands"])
 
 
 def _sets(batches, width: int):
@@ -101,30 +98,55 @@ def _confirmed(batches, percent: int):
         yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v")], ["u", "v"]).filter(pa.array(keep))
 
 
-def _confirm(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
-    wanted = pairs.select("u").union(pairs.select(F.col("v").alias("u"))).distinct().withColumnRenamed("u", "doc_id")
-    full = stage(docs.join(wanted, "doc_id", "left_semi")
+def _full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+    return stage(docs.join(ids, "doc_id", "left_semi")
                  .mapInArrow(lambda b: _sets(b, width), "doc_id long, shingles binary").dropDuplicates(["doc_id"]), "sets")
+
+
+def _confirm(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     left = full.select(F.col("doc_id").alias("u"), F.col("shingles").alias("left"))
     right = full.select(F.col("doc_id").alias("v"), F.col("shingles").alias("right"))
     return stage(pairs.join(left, "u").join(right, "v").select("u", "v", "left", "right")
                  .mapInArrow(lambda b: _confirmed(b, percent), "u long, v long"), "confirmed")
 
 
-def _likely(table: pa.Table, least: int) -> pa.Table:
-    """Pairs of two tiles of a bucket, from different components, whose sketches agree often enough."""
+def common_shingles(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """The size of the intersection of each left set with each right one, by bits of the shingles that both sides hold."""
+    shared = np.intersect1d(np.concatenate(left), np.concatenate(right))
+    out = np.zeros((len(left), len(right)), np.int32)
+    for at in range(0, len(shared), COLUMNS):
+        block = shared[at:at + COLUMNS]
+        one, other = (np.packbits(np.stack([np.isin(block, s, assume_unique=True) for s in side]), axis=1) for side in (left, right))
+        for i, row in enumerate(one):
+            out[i] += np.bitwise_count(other & row).sum(axis=1, dtype=np.int32)
+    return out
+
+
+def _open_links(table: pa.Table, percent: int) -> pa.Table:
+    """Links between members of two tiles of a group that join components, no more than join them."""
     ids, parts, tiles = (table.column(c).to_numpy() for c in ("doc_id", "component", "tile"))
-    low = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(len(ids), -1)
-    other, one = table.column("other")[0].as_py(), table.column("one")[0].as_py()
+    sets = [np.frombuffer(s, U) for s in table.column("shingles").to_pylist()]
+    one, other = table.column("one")[0].as_py(), table.column("other")[0].as_py()
     mine, theirs = np.flatnonzero(tiles == one), np.flatnonzero(tiles == other)
     found = []
-    for i in mine:
-        ask = theirs[(parts[theirs] != parts[i]) & ((one != other) | (ids[theirs] > ids[i]))]
-        if len(ask):
-            close = ask[(low[ask] == low[i]).sum(axis=1) >= least]
-            found.append(np.stack([np.minimum(ids[i], ids[close]), np.maximum(ids[i], ids[close])]))
-    pairs = np.concatenate(found, axis=1) if found else np.empty((2, 0), np.int64)
-    return pa.table({"u": pa.array(pairs[0], pa.int64()), "v": pa.array(pairs[1], pa.int64())})
+    if len(mine) and len(theirs):
+        sizes = np.array([len(s) for s in sets])
+        common = common_shingles([sets[i] for i in mine], [sets[i] for i in theirs])
+        union = sizes[mine][:, None] + sizes[theirs][None, :] - common
+        linked = (100 * common.astype(np.int64) >= percent * union) & (parts[mine][:, None] != parts[theirs][None, :])
+        root: dict[int, int] = {}
+
+        def top(x):
+            while root.get(x, x) != x:
+                x = root[x]
+            return x
+        for i, j in zip(*np.nonzero(linked)):
+            a, b = top(int(parts[mine[i]])), top(int(parts[theirs[j]]))
+            if a != b:
+                root[max(a, b)] = min(a, b)
+                found.append((int(ids[mine[i]]), int(ids[theirs[j]])))
+    columns = list(zip(*found)) or [(), ()]
+    return pa.table({"u": pa.array(columns[0], pa.int64()), "v": pa.array(columns[1], pa.int64())})
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text", width: int = 5,
@@ -138,13 +160,14 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
 
     Search: in each bucket of a band every class is compared with the bucket's smallest id, one row for each
     class and band, so a group of any size costs as many comparisons as it has members. Confirmed links give components.
-    Buckets that then still hold several components are compared in full across components, tile by tile on
-    sketches of 2 * permutations bytes, and pairs that come near the threshold are confirmed as well.
+    What then shares a bucket but not a component is undecided. Undecided buckets that overlap form a group; its
+    members' full sets are compared across components in tiles of 512 by 512, and only links that join components leave
+    a tile. That work, but no table, grows with the square of a group of which most members are near, yet below the threshold.
     """
     source = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     sketches = stage(source.mapInArrow(
         lambda b: _sketch(b, "doc_id", "text", width, permutations, rows),
-        "doc_id long, n_shingles long, set_key binary, bands array<long>, sketch binary"), "sketches")
+        "doc_id long, n_shingles long, set_key binary, bands array<long>"), "sketches")
     some = sketches.where("doc_id IS NOT NULL AND set_key IS NOT NULL")
     classes = stage(some.groupBy("set_key").agg(F.min("doc_id").alias("rep")), "classes")
     banded = (some.join(classes.select(F.col("rep").alias("doc_id"), F.col("set_key")), ["doc_id", "set_key"])
@@ -152,30 +175,29 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     buckets = banded.groupBy("band", "value").agg(F.min("doc_id").alias("leader"), F.max("doc_id").alias("last"))
     members = stage(banded.join(buckets.where("leader < last").drop("last"), ["band", "value"]), "members")
     stars = members.where("leader < doc_id").select(F.col("leader").alias("u"), F.col("doc_id").alias("v")).distinct()
-    links = _confirm(source, stage(stars, "stars"), width, percent)
+    stars = stage(stars, "stars")
+    full = _full_sets(source, stars.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct(), width)
+    links = _confirm(stars, full, percent)
     parts = stage(components(links), "components")
 
-    # Buckets of several components: all pairs across components, unless a pair was compared above.
     placed = (members.join(parts.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
               .withColumn("component", F.coalesce("component", "doc_id")))
-    open_ = (placed.groupBy("band", "value")
-             .agg(F.min("component").alias("a"), F.max("component").alias("z"), F.count(F.lit(1)).alias("n"))
-             .where("a < z AND n > 2").select("band", "value", F.ceil(F.col("n") / TILE).cast("int").alias("tiles")))
-    left = placed.join(open_, ["band", "value"]).select(
-        "band", "value", "doc_id", "component", "tiles", F.pmod(F.xxhash64("doc_id"), F.col("tiles")).cast("int").alias("tile"))
-    left = left.join(sketches.select("doc_id", "sketch").dropDuplicates(["doc_id"]), "doc_id")
-    pair_of_tiles = (
-        left.withColumn("_t", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-        .withColumn("one", F.least("tile", "_t")).withColumn("other", F.greatest("tile", "_t")))
-    share = percent / 100 + (1 - percent / 100) / 256
-    least = int(2 * permutations * share - SLACK * (2 * permutations * share * (1 - share)) ** 0.5)
-    more = (pair_of_tiles.groupBy("band", "value", "one", "other")
-            .applyInArrow(lambda t: _likely(t, least), "u long, v long").distinct()
-            .join(stars, ["u", "v"], "left_anti"))
-    more = stage(more, "likely")
-    if not more.isEmpty():
-        links = links.union(_confirm(source, more, width, percent))
-        parts = stage(components(links), "components")
+    undecided = (placed.groupBy("band", "value")
+                 .agg(F.min("component").alias("a"), F.max("component").alias("z"), F.count(F.lit(1)).alias("n"))
+                 .where("a < z AND n > 2").select("band", "value"))
+    left = stage(placed.join(undecided, ["band", "value"]).where("leader < doc_id")
+                 .select(F.col("leader").alias("u"), F.col("doc_id").alias("v")).distinct(), "undecided")
+    if not left.isEmpty():
+        groups = stage(components(left), "groups").select(F.col("node").alias("doc_id"), F.col("component").alias("grp"))
+        sizes = groups.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("tiles"))
+        rows = (groups.join(sizes, "grp").join(parts.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
+                .withColumn("component", F.coalesce("component", "doc_id"))
+                .withColumn("tile", F.pmod(F.xxhash64("doc_id"), F.col("tiles")).cast("int"))
+                .withColumn("_t", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+                .select("doc_id", "grp", "component", "tile", F.least("tile", "_t").alias("one"), F.greatest("tile", "_t").alias("other"))
+                .join(full, "doc_id"))
+        more = stage(rows.groupBy("grp", "one", "other").applyInArrow(lambda t: _open_links(t, percent), "u long, v long"), "links")
+        parts = stage(components(links.union(more)), "components")
     named = (classes.join(parts.withColumnRenamed("node", "rep"), "rep", "left")
              .select("set_key", F.coalesce("component", "rep").alias("component_id")))
     return (sketches.select("doc_id", "n_shingles", "set_key").join(named, "set_key", "left")
