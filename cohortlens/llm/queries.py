@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortlens.llm import anchors, backoff, decontaminate, fingerprints, mixing, near_dedup, quality, suffixes, token_output
+from cohortlens.llm import anchors, backoff, decontaminate, fingerprints, licences, mixing, near_dedup, quality, suffixes, token_output
 from cohortlens.plans.staging import fresh_path, stage
 
 QUERIES, SQL = {}, {}
@@ -81,6 +81,13 @@ def op4_minhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf, "documents"), width=2, percent=80)
 
 
+@query
+def op5_licence_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """The licence family of every document, from its whole text."""
+    docs = table(spark, sf, "documents")
+    return licences.scan(docs, licences.train(docs))
+
+
 @query
 def op6_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """What is left of every document without windows of 35 words that also start anywhere else."""
