@@ -98,9 +98,7 @@ def _windows(group: Group, answers: pa.Table, buckets: int, bits: int):
 
 def covered(n: int, starts: np.ndarray, width: int) -> np.ndarray:
     """Which of n items lie in a window of ``width`` that begins at one of ``starts``."""
-    steps = np.zeros(n + 1, np.int32)
-    np.add.at(steps, starts, 1)
-    np.add.at(steps, np.minimum(starts + width, n), -1)
+    steps = np.bincount(starts, minlength=n + 1) - np.bincount(np.minimum(starts + width, n), minlength=n + 1)
     return np.cumsum(steps[:n]) > 0
 
 

@@ -99,7 +99,8 @@ def _confirmed(batches, percent: int):
 
 
 def _full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    return stage(docs.join(ids, "doc_id", "left_semi")
+    # The ids grow with the corpus, so they are never broadcast.
+    return stage(docs.join(ids.hint("merge"), "doc_id", "left_semi")
                  .mapInArrow(lambda b: _sets(b, width), "doc_id long, shingles binary").dropDuplicates(["doc_id"]), "sets")
 
 

@@ -5,7 +5,7 @@ A string of ``width`` bytes that starts at two places holds the same ``GRAM``-by
 distance from its start. The starts of a text therefore fall into runs by the place of that least hash; no string starts
 twice in a run, and a run can only repeat something if its hash has another run. Shards ask for that first; all else (most of a corpus) never enters an array.
 
-Each shard sorts the suffixes of its remaining runs, equal runs once, down to ``width`` bytes. Neighbours with a common prefix of
+If all runs of a hash are equal, they repeat as a whole. Each shard sorts the suffixes of its other runs down to ``width`` bytes. Neighbours with a common prefix of
 ``width`` bytes repeat within the shard. The strings that are left, one for each class of equal ones, go in sorted order to the
 merge, where each shard's list is searched in the union of all lists of its key range.
 """
@@ -19,6 +19,7 @@ from cohortlens.llm.anchors import covered, distinct
 from cohortlens.llm.words import U, mix, random_words, rolling, span_hashes, text_bytes, window_starts
 
 GRAM = 64
+SLICE = 1 << 18
 BUCKET_BYTES = 24 << 20      # text whose runs meet in one bucket
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
 
@@ -71,42 +72,47 @@ def suffix_array(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     return order, rank[:n]
 
 
-def common_prefixes(text: np.ndarray, order: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def common_prefixes(text: np.ndarray, order: np.ndarray, rank: np.ndarray, ends: np.ndarray, width: int) -> np.ndarray:
     """For each row of a suffix array the common prefix with the row before, not beyond either suffix's ``ends``.
 
-    Kasai: if the row before position i is j, then i + 1 and j + 1 agree on one character less. Positions whose
-    predecessor moves along with them form a chain, of which only the head is compared; the others follow from it.
+    Kasai: if the row before position i is j, and that before i + 1 is j + 1, then these agree on one character less.
+    Positions whose predecessor moves along form a chain, of which only the head is compared. A chain begins anew after
+    ``width`` positions and a head is compared over 2 * ``width`` characters at most, so every value below ``width`` is exact and
+    the others are told to be at least that. Suffixes of one rank agree on ``width`` characters as they are sorted that far.
     """
     n = len(text)
+    places = np.arange(n)
     before = np.full(n, -1, np.int64)
     before[order[1:]] = order[:-1]
     head = np.ones(n, bool)
     head[1:] = (before[1:] != before[:-1] + 1) | (before[1:] < 0) | (before[:-1] < 0) | (ends[1:] != ends[:-1])
-    i = np.flatnonzero(head & (before >= 0))
+    head[1:] |= ends[np.maximum(before[1:], 0)] != ends[np.maximum(before[:-1], 0)]      # bounds hold for one region
+    chain = np.maximum.accumulate(np.where(head, places, 0)) if n else places
+    tied = (before >= 0) & (rank == rank[np.maximum(before, 0)])
+    head |= ((places - chain) % width == 0) | np.r_[False, tied[:-1]]
+    head &= ~tied
+    chain = np.maximum.accumulate(np.where(head, places, 0)) if n else places
+    i = np.flatnonzero(head & (before >= 0))      # none of them tied
     j = before[i]
-    # Within one chain the bound of the predecessor may change as well, so the bound is applied at the end.
-    most = n - np.maximum(i, j)
-    words = np.zeros(n + 16, np.uint16)
-    words[:n] = text
-    quads = np.lib.stride_tricks.sliding_window_view(words, 4)[:n + 8]
-    same = np.zeros(len(i), np.int64)
-    open_ = np.arange(len(i))
+    most = np.minimum(2 * width, np.minimum(ends[i] - i, ends[j] - j))
+    padded = np.zeros(n + 16, np.uint16)
+    padded[:n] = text
+    fours = np.lib.stride_tricks.as_strided(padded, (n + 8, 4), (2, 2)).copy().view(U).ravel()   # four characters from each place on
+    same, open_ = np.zeros(len(i), np.int64), np.arange(len(i))
     while len(open_):
-        a, b = quads[i[open_] + same[open_]], quads[j[open_] + same[open_]]
-        equal = a == b
-        run = np.where(equal.all(axis=1), 4, np.argmin(equal, axis=1))
-        same[open_] += run
-        open_ = open_[(run == 4) & (same[open_] < most[open_])]
-    same = np.minimum(same, most)
-    plcp = np.zeros(n, np.int64)
-    at = np.flatnonzero(head)
+        equal = fours[i[open_] + same[open_]] == fours[j[open_] + same[open_]]
+        same[open_[equal]] += 4
+        open_ = open_[equal]
+        open_ = open_[same[open_] < most[open_]]
+    for _ in range(3):       # what is left of the first group of four that differs
+        at = np.flatnonzero(same < most)
+        more = padded[i[at] + same[at]] == padded[j[at] + same[at]]
+        same[at[more]] += 1
     reach = np.zeros(n, np.int64)
-    reach[i] = same + i                      # where the agreement of a chain ends, from the head on
-    chain = np.maximum.accumulate(np.where(head, np.arange(n), 0)) if n else np.empty(0, np.int64)
-    if len(at):
-        plcp = np.where(before >= 0, np.maximum(reach[chain] - np.arange(n), 0), 0)
-        plcp = np.minimum(plcp, np.minimum(ends - np.arange(n), np.where(before >= 0, ends[before] - before, 0)))
-    return plcp[order]
+    reach[i] = np.minimum(same, most) + i
+    agreed = np.where(tied, width, np.where(before >= 0, np.maximum(reach[chain] - places, 0), 0))
+    bound = np.minimum(ends - places, np.where(before >= 0, ends[before] - before, 0))
+    return np.minimum(agreed, bound)[order]
 
 
 class Shard:
@@ -123,23 +129,29 @@ class Shard:
         starts = window_starts(self.bounds, self.width)
         if not len(starts):
             return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, U)
-        # The upper half of a hash with the place below it: the least is the leftmost of the least hashes.
-        hashes = rolling(self.buf, self.gram, 3)
-        least = (hashes >> U(32) << U(32)) | np.arange(len(hashes), dtype=U)
-        span, reach = 1, self.width - self.gram + 1
-        while 2 * span <= reach:             # the least of each run of ``reach`` hashes, by doubling
-            least = np.minimum(least[:-span], least[span:])
-            span *= 2
-        if reach > span:
-            least = np.minimum(least[:len(least) - (reach - span)], least[reach - span:])
-        place = (least[starts] & U(0xFFFFFFFF)).astype(np.int64)
+        # The upper half of a hash with the place below it: the least is the leftmost of the least hashes. Cut into
+        # slices that fit a cache; each reads on by one string, so its starts see what they would see in the whole.
+        reach = self.width - self.gram + 1
+        place, key = np.empty(len(self.buf) - self.width + 1, np.int64), np.empty(len(self.buf) - self.width + 1, U)
+        for lo in range(0, len(place), SLICE):
+            hashes = rolling(self.buf[lo:lo + SLICE + self.width - 1], self.gram, 3)
+            least = (hashes >> U(32) << U(32)) | np.arange(len(hashes), dtype=U)
+            span = 1
+            while 2 * span <= reach:         # the least of each run of ``reach`` hashes, by doubling
+                least = np.minimum(least[:-span], least[span:])
+                span *= 2
+            if reach > span:
+                least = np.minimum(least[:len(least) - (reach - span)], least[reach - span:])
+            at = (least & U(0xFFFFFFFF)).astype(np.int64)
+            place[lo:lo + len(at)], key[lo:lo + len(at)] = at + lo, hashes[at]
+        place = place[starts]
         new = np.r_[True, (place[1:] != place[:-1]) | (starts[1:] != starts[:-1] + 1)]
         # A new text that follows without a gap begins a new run.
         text_starts = np.zeros(len(self.buf) + 1, bool)
         text_starts[self.bounds] = True
         new |= text_starts[starts]
         at = np.flatnonzero(new)
-        return starts[at], np.diff(np.r_[at, len(starts)]), mix(hashes[place[at]])
+        return starts[at], np.diff(np.r_[at, len(starts)]), mix(key[starts[at]])
 
     def contents(self) -> np.ndarray:
         """64 bits of all bytes of each run, by running sums of a polynomial."""
@@ -174,43 +186,38 @@ def _run_answers(keys: list[np.ndarray], more: list[bytes]) -> list[np.ndarray]:
 
 
 class Strings:
-    """The candidate strings of a shard, sorted: classes of equal ones, and what the shard alone can say of them."""
+    """The candidate strings of a shard in sorted order: classes of equal ones, and what the shard alone can say of them.
+
+    Strings of runs whose hash only has equal runs repeat as a whole and need no order. The other candidate runs are joined to
+    regions where they touch, and the suffixes of all regions are sorted together.
+    """
 
     def __init__(self, shard: Shard, answers: np.ndarray):
-        key, content, row = shard.pairs()
+        _, _, row = shard.pairs()
         state = answers[row] if len(row) else np.empty(0, np.uint8)
-        chosen = np.flatnonzero(state > 0)
-        # Equal runs enter the array once; a run that repeats as a whole stands for all of its strings.
-        rows, pick, self.of = np.unique(row[chosen], return_index=True, return_inverse=True)
-        self.runs, runs = chosen, chosen[pick]
-        self.mixed = state[runs] == 2
-        twice = (content[rows] & U(1)).astype(bool) if len(rows) else np.empty(0, bool)
-        self.width, self.shard = shard.width, shard
-        size = shard.length[runs] + shard.width - 1
-        self.at = np.cumsum(size + 1) - size - 1                 # a separator follows each run
+        self.width, self.shard, self.whole = shard.width, shard, np.flatnonzero(state == 1)
+        first, length = shard.first[state == 2], shard.length[state == 2]
+        new = np.ones(len(first), bool)
+        # Runs of two texts never touch: a string ends before its text does.
+        new[1:] = first[1:] != first[:-1] + length[:-1]
+        begin = np.flatnonzero(new)
+        self.first = first[begin]
+        size = (np.add.reduceat(length, begin) if len(begin) else length) + shard.width - 1
+        self.at = np.cumsum(size + 1) - size - 1                 # a separator follows each region
         total = int((size + 1).sum())
-        where = np.repeat(shard.first[runs] - self.at, size + 1) + np.arange(total)
+        where = np.repeat(self.first - self.at, size + 1) + np.arange(total)
         text = shard.buf[np.minimum(where, max(len(shard.buf) - 1, 0))].astype(np.uint16) + 1 if total else np.empty(0, np.uint16)
         ends = np.repeat(self.at + size, size + 1)
         text[self.at + size] = 0
-        order, _ = suffix_array(text, self.width)
-        prefix = common_prefixes(text, order, ends)
+        order, rank = suffix_array(text, self.width)
+        prefix = common_prefixes(text, order, rank, ends, self.width)
         full = ends[order] - order >= self.width                 # rows at which a whole string starts
         order, prefix = order[full], self._least_since(prefix, full)
         new = prefix < self.width
         if len(new):
             new[0] = True
         self.order, self.cls = order, np.cumsum(new) - 1
-        self.n = int(new.sum())
-        run = np.searchsorted(self.at, order, "right") - 1
-        # Within the shard a class repeats if it has several places, a place in a run that occurs twice included.
-        places = np.bincount(self.cls, minlength=self.n)
-        self.repeated = places > 1
-        self.repeated[self.cls[twice[run]]] = True
-        whole = ~self.mixed[run]
-        self.repeated[self.cls[whole]] = True                    # all runs of the hash are equal and there are several
-        self.asked = np.zeros(self.n, bool)
-        self.asked[self.cls[self.mixed[run]]] = True
+        self.repeated = np.bincount(self.cls, minlength=int(new.sum())) > 1
         self.sample = order[np.flatnonzero(new)]
         self.text = text
 
@@ -223,30 +230,32 @@ class Strings:
         return np.minimum.reduceat(prefix[:at[-1] + 1], np.r_[0, at[:-1] + 1])
 
     def keys(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """128 bits of one string of each class that other shards may hold, sorted, and the classes."""
-        cls = np.flatnonzero(self.asked)
-        at = self.sample[cls]
-        if not len(at):
-            return np.empty(0, U), np.empty(0, U), cls
+        """128 bits of one string of each class, sorted, and the classes."""
+        if not len(self.sample):
+            return np.empty(0, U), np.empty(0, U), self.sample
         codes = random_words(1 << 9, 31)
-        high = rolling(self.text, self.width, 5)[at]
-        low = rolling(codes[self.text], self.width, 9)[at] | U(1)
-        low = np.where(self.repeated[cls], low, low - U(1))
+        high, low = np.empty(len(self.sample), U), np.empty(len(self.sample), U)
+        by_place = np.argsort(self.sample)
+        places = self.sample[by_place]
+        for lo in range(0, len(self.text) - self.width + 1, SLICE):
+            a, z = np.searchsorted(places, (lo, lo + SLICE))
+            part = self.text[lo:lo + SLICE + self.width - 1]
+            at = places[a:z] - lo
+            high[by_place[a:z]] = rolling(part, self.width, 5)[at]
+            low[by_place[a:z]] = rolling(codes[part], self.width, 9)[at]
+        low |= U(1)
+        low = np.where(self.repeated, low, low - U(1))
         order = exchange.order_by(high, low)
-        return high[order], low[order], cls[order]
-
-    def starts(self, repeated: np.ndarray) -> np.ndarray:
-        """Where in the shard's bytes the strings of repeated classes start, in every equal run."""
-        hit = repeated[self.cls]
-        at = self.order[hit]
-        run = np.searchsorted(self.at, at, "right") - 1
-        inside = at - self.at[run]
-        order = np.argsort(run, kind="stable")
-        run, inside = run[order], inside[order]
-        begin, count = np.searchsorted(run, np.arange(len(self.at))), np.bincount(run, minlength=len(self.at))
-        n = count[self.of]                                      # of each run of the shard, through its representative
-        pick = np.repeat(begin[self.of] - np.cumsum(n) + n, n) + np.arange(n.sum())
-        return np.repeat(self.shard.first[self.runs], n) + inside[pick]
+        return high[order], low[order], order
+
+    def starts(self) -> np.ndarray:
+        """Where in the shard's bytes the repeated strings start."""
+        at = self.order[self.repeated[self.cls]]
+        region = np.searchsorted(self.at, at, "right") - 1
+        runs, shard = self.whole, self.shard
+        n = shard.length[runs]
+        whole = np.repeat(shard.first[runs] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        return np.concatenate([whole, self.first[region] + at - self.at[region] if len(at) else at])
 
 
 def repeated_bytes(docs: DataFrame, id_column: str = "doc_id", text: str = "text", width: int = 200,
@@ -280,7 +289,7 @@ def repeated_bytes(docs: DataFrame, id_column: str = "doc_id", text: str = "text
             high, _, cls = strings.keys()
             good = exchange.bits(answers.filter(pa.array(kind == 1)), np.diff(exchange.cuts(high, buckets)))
             strings.repeated[cls] |= good
-            starts = strings.starts(strings.repeated)
+            starts = strings.starts()
         return _removed(shard, starts)
 
     runs = exchange.answer(groups.groupBy("g").applyInArrow(candidates, exchange.ASKED), _run_answers)
