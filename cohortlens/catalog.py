@@ -5,7 +5,7 @@ cattle table is the orders and the movement table the line items. Sequences are
 each number turned into a base.
 """
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cohortlens import functions as fn
 from cohortlens.model import DEFAULT_BUCKET, DEFAULT_CRITERIA, KEY, SAMPLE_COLUMNS
@@ -76,12 +76,24 @@ def sequences(spark: SparkSession, sf: str) -> DataFrame:
         x = x.cast("double")
         return (F.when(F.abs(x) < 0.0001, "N").when(x < -0.1, "A").when(x < 0.0, "C")
                 .when(x < 0.1, "g").otherwise("T"))
-    name = F.concat(F.lit("AF-12-"), F.lpad(F.col("vec_id").cast("string"), 5, "0"), F.lit("-20_consensus"))
+    name = F.concat(F.lit("AF-"), number_of("vec_id"), F.lit("_consensus"))
     return table(spark, sf, "embeddings").select(
         name.alias("id"), F.array_join(F.transform("embedding", base), "").alias("seq"),
         F.struct("vec_id").alias("_ord"))
 
 
+def number_of(key: str) -> Column:
+    """An id as the middle of a name, NN-NNNNN-NN; higher digits go to the front and then to the end."""
+    digits = lambda value, n: F.lpad(value.cast("string"), n, "0")
+    return F.concat(digits(F.expr(f"{key} div 100000 % 100"), 2), F.lit("-"), digits(F.col(key) % 100000, 5), F.lit("-"),
+                    digits(F.expr(f"{key} div 10000000 % 100"), 2))
+
+
+def number_text(key: str) -> str:
+    return (f"(lpad(CAST({key} // 100000 % 100 AS VARCHAR), 2, '0') || '-' || lpad(CAST({key} % 100000 AS VARCHAR), 5, '0') || '-' "
+            f"|| lpad(CAST({key} // 10000000 % 100 AS VARCHAR), 2, '0'))")
+
+
 SM = """sm AS (
   SELECT l_orderkey AS sub, CASE l_returnflag WHEN 'R' THEN 'Pass' ELSE l_returnflag END AS oc,
          CASE l_linestatus WHEN 'O' THEN 'BritishbTB' ELSE l_linestatus END AS fl, l_quantity AS pm,
@@ -104,7 +116,7 @@ PS = """ps AS (SELECT dd.* FROM dd JOIN th ON dd.grp = th.clade WHERE oc = 'Pass
   AND sub NOT IN (SELECT k FROM ex))"""
 INC = """inc AS (SELECT * FROM ps WHERE sub IN (SELECT k FROM ca) AND sub IN (SELECT k FROM mo))"""
 BEST = "sub AS \"Submission\", oc AS \"Outcome\", fl AS flag, pm AS \"pcMapped\", nc AS \"Ncount\", grp AS \"group\""
-SQ = """sq AS (SELECT 'AF-12-' || lpad(CAST(vec_id AS VARCHAR), 5, '0') || '-20_consensus' AS id, vec_id,
+SQ = f"""sq AS (SELECT 'AF-' || {number_text('vec_id')} || '_consensus' AS id, vec_id,
   array_to_string(list_transform(embedding, lambda x: CASE WHEN abs(x::DOUBLE) < 0.0001::DOUBLE THEN 'N'
     WHEN x::DOUBLE < -0.1::DOUBLE THEN 'A' WHEN x < 0 THEN 'C' WHEN x::DOUBLE < 0.1::DOUBLE THEN 'g'
     ELSE 'T' END), '') AS seq FROM embeddings)"""
@@ -162,11 +174,13 @@ def p6_absent_values(spark, sf):
                                  {"event_type": ["error", "nowhere", "click", "never"]})
 
 
-@query("p7_filter_with_count", f"""WITH {SM} SELECT sub AS "Submission", nc AS "Ncount" FROM sm
+@query("p7_filter_with_count", f"""WITH {SM} SELECT sub AS "Submission", nc AS "Ncount", count(*) OVER () AS passed FROM sm
   WHERE oc = 'Pass' AND nc BETWEEN 20000 AND 50000""")
 def p7_filter_with_count(spark, sf):
-    passed, _ = filters.filter_with_count(samples(spark, sf), {"Ncount": (20000, 50000)})
-    return passed.select("Submission", "Ncount")
+    """The filtered rows, each with the count that was observed while they were written."""
+    passed, seen = filters.filter_with_count(samples(spark, sf), {"Ncount": (20000, 50000)})
+    kept = stage(passed.select("Submission", "Ncount"), "passed")
+    return kept.withColumn("passed", F.lit(seen.get["number_of_passed_samples"]).cast("bigint"))
 
 
 # --- One row per key -------------------------------------------------------------------------
@@ -341,7 +355,7 @@ def r3_r4_report_steps(spark, sf):
 
 def names(spark, sf):
     key = F.col("c_custkey").cast("string")
-    number = F.concat(F.substring("c_name", 17, 2), F.lit("-"), F.lpad(key, 5, "0"), F.lit("-20"))
+    number = number_of("c_custkey")
     name = (F.when(F.col("c_mktsegment") == "BUILDING", F.concat(F.lit("AFx-"), number, F.lit("-L1")))
             .when(F.col("c_mktsegment") == "MACHINERY", F.concat(F.lit("af"), number, F.lit("_consensus")))
             .when(F.col("c_mktsegment") == "HOUSEHOLD", F.concat(F.lit("x"), key, F.lit("_consensus")))
@@ -349,10 +363,9 @@ def names(spark, sf):
     return table(spark, sf, "customer").select("c_custkey", name.alias("name"))
 
 
-NM = """nm AS (SELECT c_custkey, CASE c_mktsegment WHEN 'BUILDING' THEN 'AFx-' || num || '-L1'
+NM = f"""nm AS (SELECT c_custkey, CASE c_mktsegment WHEN 'BUILDING' THEN 'AFx-' || num || '-L1'
   WHEN 'MACHINERY' THEN 'af' || num || '_consensus' WHEN 'HOUSEHOLD' THEN 'x' || c_custkey || '_consensus'
-  ELSE 'ab-' || c_custkey END AS name FROM (SELECT *, substr(c_name, 17, 2) || '-' ||
-  lpad(CAST(c_custkey AS VARCHAR), 5, '0') || '-20' AS num FROM customer))"""
+  ELSE 'ab-' || c_custkey END AS name FROM (SELECT *, {number_text('c_custkey')} AS num FROM customer))"""
 NUMBER = r"\d{2}-\d{4,5}-\d{2}"
 
 
@@ -419,14 +432,14 @@ def f7_values(spark, sf):
 def batch_rows(spark, sf):
     """Customers as batch result rows, one batch per nation."""
     location = F.concat(F.lit(f"s3://{DEFAULT_BUCKET}/v3-2/FinalOut/c_nationkey="), F.col("c_nationkey"), F.lit("/"))
-    number = F.concat(F.lit("AF-12-"), F.lpad(F.col("c_custkey").cast("string"), 5, "0"), F.lit("-20-x"))
+    number = F.concat(F.lit("AF-"), number_of("c_custkey"), F.lit("-x"))
     return table(spark, sf, "customer").select(
         "c_nationkey", number.alias("Sample"), F.col("c_acctbal").alias("pcMapped"),
         F.when(F.col("c_acctbal") > 0, "Pass").otherwise("NA").alias("Outcome"),
         F.col("c_mktsegment").alias("group"), location.alias("ResultLoc"))
 
 
-BR = """br AS (SELECT c_custkey, 'AF-12-' || lpad(CAST(c_custkey AS VARCHAR), 5, '0') || '-20' AS sub,
+BR = f"""br AS (SELECT c_custkey, 'AF-' || {number_text('c_custkey')} AS sub,
   c_acctbal, CASE WHEN c_acctbal > 0 THEN 'Pass' END AS oc, c_mktsegment,
   's3://s3-csu-003/v3-2/FinalOut/c_nationkey=' || c_nationkey || '/' AS loc FROM customer)"""
 BATCH_SQL = """sub || '-x' AS "Sample", c_acctbal AS "pcMapped", oc AS "Outcome", c_mktsegment AS "group",
@@ -434,10 +447,11 @@ BATCH_SQL = """sub || '-x' AS "Sample", c_acctbal AS "pcMapped", oc AS "Outcome"
 BATCH_COLUMNS = ["Sample", "pcMapped", "Outcome", "group", "ResultLoc", "Submission"]
 
 
-def write_batches(spark, sf) -> str:
+def write_batches(spark, sf, files: int = 1) -> str:
     """Batch result files in a bucket folder, two column orders, a comment in every second one."""
     root = fresh_path(spark, "buckets")
-    rows = batch_rows(spark, sf).repartition("c_nationkey")
+    rows = batch_rows(spark, sf)
+    rows = rows.repartition("c_nationkey") if files == 1 else rows.repartition(files, F.xxhash64("Sample"))
     first = F.col("c_nationkey") < 12
     note = F.concat("ResultLoc", F.lit(" # checked")).alias("ResultLoc")
     target = f"{root}/{DEFAULT_BUCKET}/v3-2/FinalOut"
@@ -490,7 +504,16 @@ def s3_stream_ingest(spark, sf):
     """All batch files through the stream, run a second time to show that nothing loads twice."""
     root, target = write_batches(spark, sf), fresh_path(spark, "store")
     for _ in range(2):
-        ingest_stream(spark, root, target, f"{target}-checkpoint").awaitTermination()
+        ingest_stream(spark, root, target, f"{target}-checkpoint", identity="file")
+    return trimmed(store.read_store(spark, target))
+
+
+@query("s3_stream_by_directory", f"WITH {BR} SELECT {BATCH_SQL} FROM br")
+def s3_stream_by_directory(spark, sf):
+    """Directories of several files, one file to a micro-batch; a second run finds every directory known."""
+    root, target = write_batches(spark, sf, files=3), fresh_path(spark, "store")
+    for _ in range(2):
+        ingest_stream(spark, root, target, f"{target}-checkpoint", files_per_batch=8)
     return trimmed(store.read_store(spark, target))
 
 
@@ -505,6 +528,21 @@ def s4_append(spark, sf):
     return trimmed(batches.append_batches(empty, rows).select(*SAMPLE_COLUMNS))
 
 
+@query("s1_mixed_headers", """SELECT CAST(o_orderkey AS VARCHAR) AS "Sample", CAST(o_custkey AS DOUBLE) AS matches, o_orderpriority || '
+' || o_orderstatus AS "note, quoted", CAST(o_orderkey % 1200 AS DOUBLE) AS extra FROM orders""")
+def s1_mixed_headers(spark, sf):
+    """Orders in files of 1,200 different headers, with commas and line breaks inside quotes; the extra numbers are typed."""
+    path = fresh_path(spark, "csv")
+    kind = (F.col("o_orderkey") % 1200).cast("string")
+    note = F.concat(F.lit('"'), "o_orderpriority", F.lit("\n"), "o_orderstatus", F.lit('"'))
+    line = F.concat_ws(",", F.col("o_orderkey").cast("string"), kind, note, F.col("o_custkey").cast("string"))
+    head = F.concat(F.lit('Sample,extra,"note, quoted",matches,unused '), kind)
+    files = table(spark, sf, "orders").select(kind.alias("kind"), head.alias("head"), line.alias("line"))
+    (files.groupBy("kind").agg(F.concat_ws("\n", F.first("head"), F.array_join(F.collect_list("line"), "\n")).alias("value"))
+     .write.partitionBy("kind").text(path))
+    return tables.read_samples(spark, f"{path}/*").select("Sample", "matches", "note, quoted", "extra")
+
+
 @query("s6_text_table", """SELECT CAST(o_orderkey AS VARCHAR) AS "CVLRef", o_orderpriority AS "RawEartag2",
   o_orderstatus AS clade FROM orders""")
 def s6_text_table(spark, sf):
@@ -539,6 +577,33 @@ def s10_s12_fasta(spark, sf):
     return fasta.read_fasta(spark, path).select("id", "seq")
 
 
+@query("s10_read_consensus", f"WITH {SQ} SELECT id, vec_id % 7 || ' 50%' AS folder, upper(seq) AS seq FROM sq WHERE vec_id % 3 = 0")
+def s10_read_consensus(spark, sf):
+    """The sequences of every third sample, from folders with blanks and percent signs that hold the others as well."""
+    root = fresh_path(spark, "buckets")
+    n = F.col("_ord.vec_id")
+    folder = F.concat((n % 7).cast("string"), F.lit(" 50%"))
+    seqs = sequences(spark, sf).select("id", F.upper("seq").alias("seq"), folder.alias("folder"), n.alias("n"), "_ord")
+    written = stage(seqs, "sequences")
+    _write_consensus(written, f"{root}/{DEFAULT_BUCKET}")
+    uri = F.concat(F.lit(f"s3://{DEFAULT_BUCKET}/v3-2/"), "folder", F.lit("/"))
+    wanted = written.where("n % 3 = 0").select(F.replace("id", F.lit("_consensus"), F.lit("")).alias("Sample"),
+                                               uri.alias("ResultLoc"), "folder", "_ord")
+    found = fasta.read_consensus(spark, wanted, f"{root}/{{bucket}}/")
+    return found.join(wanted.select("Sample", "folder"), "Sample").select("id", "folder", "seq")
+
+
+def _write_consensus(seqs: DataFrame, bucket: str) -> None:
+    """One file for each sequence under v3-2/<folder>/consensus/, by Hadoop's file system from the driver."""
+    spark = seqs.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    system = path(bucket).getFileSystem(spark._jsc.hadoopConfiguration())
+    for row in seqs.toLocalIterator():
+        out = system.create(path(f"{bucket}/v3-2/{row.folder}/consensus/{row.id}.fas"))
+        out.write(bytearray(f">{row.id}\n{row.seq}\n".encode()))
+        out.close()
+
+
 # --- Sequences -------------------------------------------------------------------------------
 
 @query("g1_sites", f"WITH {ST} SELECT pos, alleles FROM st")
@@ -561,35 +626,58 @@ def g2_snp_count(spark, sf):
     return sites.snp_count(sites.snp_sites(sequences(spark, sf)))
 
 
-PAIRS = f"WITH {AL} SELECT a.id AS i, b.id AS j, CAST(hamming(a.snp_seq, b.snp_seq) AS BIGINT) AS dist FROM al a, al b"
-
+NEAR = 12
+PAIRS = f"""WITH {AL}, pr AS (SELECT a.id AS i, b.id AS j, CAST(hamming(a.snp_seq, b.snp_seq) AS BIGINT) AS dist
+  FROM al a, al b) SELECT * FROM pr WHERE dist <= {NEAR}"""
 
-@query("g3_distances", PAIRS)
-def g3_distances(spark, sf):
-    return distances.snp_distances(alignment(spark, sf))
 
-
-@query("g3_near_pairs", f"SELECT * FROM ({PAIRS}) WHERE dist <= 30")
+@query("g3_near_pairs", PAIRS)
 def g3_near_pairs(spark, sf):
-    return distances.snp_distances(alignment(spark, sf), max_distance=30)
+    return distances.snp_distances(alignment(spark, sf), NEAR)
 
 
 LABEL = "upper('AF-' || regexp_extract(%s, '\\d{2}-\\d{4,5}-\\d{2}', 0))"
 
 
-@query("g4_g5_matrix", f"""WITH {AL}, nb AS (SELECT *, row_number() OVER (ORDER BY vec_id) - 1 AS n,
-    {LABEL % 'id'} AS label FROM al)
-  SELECT -1 AS n, ',' || string_agg(label, ',' ORDER BY n) AS line FROM nb
-  UNION ALL SELECT a.n, a.label || ',' || string_agg(CAST(hamming(a.snp_seq, b.snp_seq) AS VARCHAR), ',' ORDER BY b.n)
-  FROM nb a, nb b GROUP BY a.n, a.label""")
-def g4_g5_matrix(spark, sf):
-    numbered = distances.numbered_alignment(alignment(spark, sf))
-    return distances.matrix_lines(numbered, relabelled=True)
+@query("g5_near_relabel", f"SELECT {LABEL % 'i'} AS i, {LABEL % 'j'} AS j, dist FROM ({PAIRS})")
+def g5_near_relabel(spark, sf):
+    return distances.relabel(distances.snp_distances(alignment(spark, sf), NEAR))
+
 
+# Sequences long enough for several pieces: hashes of the order's id turned into bases.
+LONG_WIDTH = 9_600
+LQ = f"""lq AS (SELECT 'AF-' || {number_text('s_suppkey')} || '_consensus' AS id, s_suppkey,
+  translate(string_agg(md5(CAST(s_suppkey % 7 AS VARCHAR) || '-' || p), '' ORDER BY p), '0123456789abcdef', 'ACGTACGTACGTACGT') AS seq
+  FROM supplier, range(300) r(p) GROUP BY s_suppkey)"""
 
-@query("g5_relabel", f"SELECT {LABEL % 'i'} AS i, {LABEL % 'j'} AS j, dist FROM ({PAIRS})")
-def g5_relabel(spark, sf):
-    return distances.relabel(distances.snp_distances(alignment(spark, sf)))
+
+def long_sequences(spark, sf) -> DataFrame:
+    """One sequence of 9,600 bases per supplier, seven different ones in all."""
+    parts = F.transform(F.sequence(F.lit(0), F.lit(299)), lambda p: F.md5(F.concat(
+        (F.col("s_suppkey") % 7).cast("string"), F.lit("-"), p.cast("string"))))
+    name = F.concat(F.lit("AF-"), number_of("s_suppkey"), F.lit("_consensus"))
+    return table(spark, sf, "supplier").select(
+        name.alias("id"), F.translate(F.array_join(parts, ""), "0123456789abcdef", "ACGTACGTACGTACGT").alias("seq"),
+        F.struct("s_suppkey").alias("_ord"))
+
+
+@query("g1_long_sequences", f"""WITH {LQ}, ba AS (SELECT id, s_suppkey, p AS pos, substr(seq, p, 1) AS b
+    FROM lq, LATERAL (SELECT unnest(range(1, length(seq) + 1)) AS p) r),
+  st AS (SELECT pos FROM ba GROUP BY pos HAVING count(DISTINCT b) > 1)
+  SELECT id, md5(string_agg(b, '' ORDER BY pos)) AS kept, way FROM ba, (VALUES ('direct'), ('shuffled')) w(way)
+  WHERE pos IN (SELECT pos FROM st) GROUP BY s_suppkey, id, way""")
+def g1_long_sequences(spark, sf):
+    """Both ways of reducing sequences of more than one piece."""
+    seqs = long_sequences(spark, sf)
+    found = stage(sites.snp_sites(seqs), "sites")
+    ways = [sites.snp_alignment(seqs, found, broadcast_limit=limit).select("id", F.md5("snp_seq").alias("kept"), F.lit(way).alias("way"))
+            for way, limit in (("direct", None), ("shuffled", 0))]
+    return ways[0].union(ways[1])
+
+
+@query("g6_equal_length", f"WITH {SQ} SELECT id, length(seq) AS bases FROM sq")
+def g6_equal_length(spark, sf):
+    return sites.require_equal_length(sequences(spark, sf)).select("id", F.length("seq").alias("bases"))
 
 
 # --- Combinations ----------------------------------------------------------------------------

@@ -1,5 +1,15 @@
-"""CSV tables read by header name, whatever the column order of each file."""
+"""CSV tables read by header name, whatever the column order of each file and however files are split.
 
+A file's header is the first line of its first split, marked while that split is scanned. Files are cut at line ends
+as long as no line of theirs has an odd number of quotes; the others may hold line breaks inside quotes, and
+are read by one task each, record by record. Which way a file goes depends on its contents alone.
+"""
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from cohortlens.functions import null_tokens_to_null, number, submission_number
@@ -7,8 +17,8 @@ from cohortlens.model import ORDER, SAMPLE_COLUMNS, SAMPLES, STORED_SAMPLES
 from cohortlens.plans.sizing import lookup_join
 from cohortlens.plans.staging import stage
 
-# Files may differ in their headers, but a table with more variants than this is a mistake.
-HEADER_VARIANTS = 1000
+END = "\x01"      # stands behind the last field of a line, so that fields can be counted
+LINES = "line string, path string, block bigint, row bigint, first boolean"
 
 
 def file_order(run: int | Column = 0) -> Column:
@@ -25,62 +35,135 @@ def _without_comment(line: Column) -> Column:
     return F.when(line.contains("#"), before).otherwise(line)
 
 
-def _lines(spark: SparkSession, paths: list[str] | str, run: int, comment: bool) -> DataFrame:
-    text = F.regexp_replace("value", "^\\uFEFF", "")
-    line = _without_comment(text) if comment else text
-    return (spark.read.text(paths).select(line.alias("line"), file_order(run).alias(ORDER))
-            .where(F.trim("line") != ""))
+def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Number the lines of each split and mark the first line of each file; a task reads its splits one after another."""
+    path, block, row = None, None, 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        paths, blocks = batch.column("path"), batch.column("block").to_numpy()
+        new = np.ones(batch.num_rows, bool)
+        new[1:] = (pc.not_equal(paths[1:], paths[:-1]).to_numpy(zero_copy_only=False)) | (blocks[1:] != blocks[:-1])
+        new[0] = paths[0].as_py() != path or blocks[0] != block
+        at = np.flatnonzero(new)
+        start = np.zeros(batch.num_rows, np.int64)
+        start[at] = at
+        rows = np.arange(batch.num_rows) - np.maximum.accumulate(start)
+        until = at[0] if len(at) else batch.num_rows
+        rows[:until] += row
+        path, block, row = paths[-1].as_py(), blocks[-1], int(rows[-1]) + 1
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("line"), paths, pa.array(blocks), pa.array(rows), pa.array(new & (blocks == 0))],
+            ["line", "path", "block", "row", "first"])
+
+
+def _records(content: str, comment: bool) -> Iterator[str]:
+    """The records of a whole file: a line break inside quotes belongs to its field."""
+    record, quoted, lines = "", False, content.split("\n")
+    for n, line in enumerate(lines, 1):
+        line = line.removesuffix("\r") if not quoted else line
+        kept = len(line)
+        for i, c in enumerate(line) if '"' in line or (comment and "#" in line) else ():
+            if c == '"':
+                quoted = not quoted
+            elif comment and c == "#" and not quoted:
+                kept = i
+                break
+        record += line[:kept]
+        if quoted:
+            record += "\n"
+            if n == len(lines):
+                raise ValueError(f"a quote is not closed before the end, in the record before line {n}")
+        else:
+            if record.strip():
+                yield record
+            record = ""
+
+
+def _whole(batches: Iterator[pa.RecordBatch], comment: bool) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for path, content in zip(batch.column("path").to_pylist(), batch.column("value").to_pylist()):
+            try:
+                records = list(_records(content.removeprefix("\ufeff"), comment))
+            except ValueError as error:
+                raise ValueError(f"{path}: {error}") from None
+            n = len(records)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(records, pa.string()), pa.array([path] * n, pa.string()), pa.array([0] * n, pa.int64()),
+                 pa.array(range(n), pa.int64()), pa.array([i == 0 for i in range(n)], pa.bool_())],
+                ["line", "path", "block", "row", "first"])
+
+
+def _lines(spark: SparkSession, paths: list[str] | str, comment: bool) -> DataFrame:
+    """(line, path, block, row, first): the records of all files, blank ones and comments left out."""
+    path, block = F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block")
+    text = spark.read.text(paths).select(F.regexp_replace("value", "^\\uFEFF", "").alias("value"), path, block)
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    broken = stage(text.where(quotes % 2 == 1).select("path").distinct(), "multi-line-files")
+    line = _without_comment(F.col("value")) if comment else F.col("value")
+    some = not broken.isEmpty()
+    plain = lookup_join(text, broken, "path", "left_anti") if some else text
+    lines = (plain.select(line.alias("line"), "path", "block").where(F.trim("line") != "")
+             .mapInArrow(_marked, LINES))
+    if not some:
+        return lines
+    whole = lookup_join(spark.read.text(paths, wholetext=True).select("value", path), broken, "path", "left_semi")
+    return lines.unionByName(whole.mapInArrow(lambda b: _whole(b, comment), LINES))
 
 
 def _fields(line: Column, width: int) -> Column:
-    """The fields of a CSV line as an array of strings."""
-    parsed = F.from_csv(line, F.lit(", ".join(f"c{i} string" for i in range(width))),
-                        {"escape": '"', "mode": "PERMISSIVE"})
-    return F.array(*[parsed.getField(f"c{i}") for i in range(width)])
+    """The fields of a CSV line and the end mark as an array of strings, then NULLs."""
+    parsed = F.from_csv(F.concat(line, F.lit("," + END)), F.lit(", ".join(f"c{i} string" for i in range(width + 1))),
+                        {"escape": '"', "mode": "PERMISSIVE", "multiLine": "true", "maxCharsPerColumn": "-1"})
+    return F.array(*[parsed.getField(f"c{i}") for i in range(width + 1)])
 
 
 def read_by_name(spark: SparkSession, paths: list[str] | str, comment: bool = False,
                  run: int = 0) -> DataFrame:
     """All columns of all files as strings, matched by trimmed header name, null tokens as NULL.
 
-    The headers are the first line of each file. Every line is parsed once into an array of fields
-    and then picked by the position its own file's header gives, so files of any column order
-    share one scan.
+    Every line is parsed once into an array of fields and then picked by the positions that its own file's header
+    gives, so files of any column order share one scan. Only distinct column names reach the driver. A line
+    with more fields than its header, or with a quote that is not closed, fails with its file; one with
+    fewer fields has NULLs at the end. A column without a name is called by its position.
     """
-    lines = _lines(spark, paths, run, comment)
-    first = F.min_by("line", ORDER)
-    headers = stage(
-        lines.where(f"{ORDER}.block = 0").groupBy(F.col(f"{ORDER}.path").alias("_path"))
-        .agg(first.alias("_header"), F.min(f"{ORDER}.row").alias("_header_row")), "headers")
-    variants = sorted(r[0] for r in headers.select("_header").distinct().limit(HEADER_VARIANTS + 1).collect())
-    if len(variants) > HEADER_VARIANTS:
-        raise ValueError(f"more than {HEADER_VARIANTS} different headers under {paths}")
-    layouts, names = [], {}
-    for header in variants:
-        layout = [h.strip().strip('"').strip() for h in header.split(",")]
-        layouts.append(layout)
-        names.update(dict.fromkeys(layout))
-    if not variants:
+    lines = _lines(spark, paths, comment)
+    heads = lines.where("first").select("path", "line")
+    commas = F.length("line") - F.length(F.replace("line", F.lit(","), F.lit("")))
+    width = heads.agg(F.max(commas)).first()[0]
+    if width is None:
         return spark.createDataFrame([], T.StructType([STORED_SAMPLES[ORDER]]))
-    width = max(map(len, layouts))
-    if len(variants) == 1:
-        header_row = (F.col(f"{ORDER}.block") == 0) & (F.col("line") == F.lit(variants[0]))
-        rows = lines.where(~header_row).withColumn("_f", _fields(F.col("line"), width))
-        place = {n: layouts[0].index(n) for n in names}
-        values = [null_tokens_to_null(F.col("_f")[place[n]]).alias(n) for n in names]
-        return rows.select(*values, ORDER)
-    rows = lookup_join(lines.withColumn("_path", F.col(f"{ORDER}.path")), headers, "_path")
-    rows = (rows.where(f"NOT ({ORDER}.block = 0 AND {ORDER}.row = _header_row)")
-            .withColumn("_f", _fields(F.col("line"), width)))
-    values = []
-    for name in names:
-        places = {h: layout.index(name) for h, layout in zip(variants, layouts) if name in layout}
-        value = F.lit(None).cast("string")
-        for place in sorted(set(places.values())):
-            owners = [h for h, p in places.items() if p == place]
-            value = F.when(F.col("_header").isin(owners), F.col("_f")[place]).otherwise(value)
-        values.append(null_tokens_to_null(value).alias(name))
-    return rows.select(*values, ORDER)
+    width += 1
+    fields = _fields(F.col("line"), width)
+    headers = stage(heads.select("path", fields.alias("_f"))
+                    .withColumn("_n", F.array_position("_f", F.lit(END)).cast("int") - 1)
+                    .select("path", "_n", F.transform(
+                        F.slice("_f", 1, F.greatest("_n", F.lit(0))),
+                        lambda f, i: F.coalesce(F.nullif(F.trim(f), F.lit("")), F.concat(F.lit("Unnamed: "), i.cast("string")))).alias("_names")),
+                    "headers")
+    if bad := headers.where("_n < 0").select("path").first():
+        raise ValueError(f"the header of {bad.path} cannot be read: a quote is not closed")
+    names = [r.name for r in headers.select("path", F.posexplode("_names").alias("at", "name"))
+             .groupBy("name").agg(F.min(F.struct("path", "at")).alias("first")).orderBy("first").toLocalIterator()]
+    at = F.transform(F.array(*[F.lit(n) for n in names]), lambda name: F.array_position("_names", name).cast("int"))
+    layouts = stage(headers.select("path", "_n", at.alias("_at")), "layouts")
+    rows = lines.where("NOT first").withColumn("_f", _fields(F.col("line"), width))
+    found = layouts.select("_n", "_at").distinct().take(2)
+    if len(found) == 1:      # one layout for all files needs no join
+        rows = rows.withColumns({"_n": F.lit(found[0]["_n"]), "_at": F.lit(found[0]["_at"])})
+    else:
+        rows = lookup_join(rows, layouts, "path")
+    count = F.array_position("_f", F.lit(END)) - 1
+    where = F.concat(F.lit("line "), (F.col("row") + 1).cast("string"), F.lit(" of the part of "), "path",
+                     F.lit(" that starts at byte "), F.col("block").cast("string"))
+    checked = F.when((count >= 0) & (count <= F.col("_n")), F.col("_f")).otherwise(F.raise_error(
+        F.concat(where, F.lit(" has more fields than its header, or a quote that is not closed"))))
+    rows = rows.withColumn("_f", checked)
+    count = F.array_position("_f", F.lit(END))
+    values = [null_tokens_to_null(F.when((F.col("_at")[i] > 0) & (F.col("_at")[i] < count), F.get("_f", F.col("_at")[i] - 1)))
+              .alias(name) for i, name in enumerate(names)]
+    order = F.struct(F.lit(run).cast("bigint").alias("run"), "path", "block", "row").alias(ORDER)
+    return rows.select(*values, order)
 
 
 def empty_samples(spark: SparkSession) -> DataFrame:
@@ -103,9 +186,19 @@ def typed_samples(raw: DataFrame, with_key: bool = True, permissive: bool = Fals
     return raw.select(*columns, *[F.col(f"`{c}`") for c in extra], ORDER)
 
 
+def typed_extras(df: DataFrame) -> DataFrame:
+    """Columns beyond the known ones as numbers where every value is one; a scan tells, if there are such columns."""
+    extra = [c for c, kind in df.dtypes if c not in SAMPLE_COLUMNS and kind == "string"]
+    if not extra:
+        return df
+    seen = df.agg(*[F.coalesce(F.bool_and(number(F.col(f"`{c}`"), True).isNotNull() | F.col(f"`{c}`").isNull()), F.lit(False))
+                    & (F.count(f"`{c}`") > 0) for c in extra]).first()
+    return df.withColumns({c: number(F.col(f"`{c}`"), True) for c, numeric in zip(extra, seen) if numeric})
+
+
 def read_samples(spark: SparkSession, paths: list[str] | str, permissive: bool = False) -> DataFrame:
     """The samples table from CSV; ``#`` starts a comment anywhere in a line."""
-    return typed_samples(read_by_name(spark, paths, comment=True), True, permissive)
+    return typed_extras(typed_samples(read_by_name(spark, paths, comment=True), True, permissive))
 
 
 def read_batches(spark: SparkSession, paths: list[str] | str, permissive: bool = False,

@@ -1,12 +1,13 @@
 """Incremental ingest as a stream: each run appends the batch files that earlier runs have not seen."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cohortlens.functions import key_in_bucket, result_location
 from cohortlens.model import BATCH_FILE_MARK, DEFAULT_BUCKET
 from cohortlens.sources.batches import load_batches, new_batches
-from cohortlens.sources.store import append_ingest, next_run, read_store
+from cohortlens.sources.store import append_ingest, before_run, next_run, read_store
 
 # Files per micro-batch, which bounds the list of paths that the driver holds.
 FILES_PER_BATCH = 10_000
@@ -21,28 +22,52 @@ def batch_files(spark: SparkSession, root: str, files_per_batch: int = FILES_PER
         .load(root).select("path").where(F.col("path").contains(BATCH_FILE_MARK)))
 
 
-def ingest_stream(spark: SparkSession, root: str, store: str, checkpoint: str, identity: str = "file",
+def ingest_stream(spark: SparkSession, root: str, store: str, checkpoint: str, identity: str = "directory",
                   bucket: str = DEFAULT_BUCKET, permissive: bool = False,
                   files_per_batch: int = FILES_PER_BATCH) -> StreamingQuery:
-    """Append all files that are new since the last run, then stop.
+    """Append all files that are new since the last run, wait until that is done, and return the stopped stream.
 
-    ``identity="file"`` trusts the stream's checkpoint alone; ``"directory"`` also skips files whose
-    directory is already a result location in the store. Each micro-batch replaces its own
-    partition of the store, so a repeated one after a failure adds nothing twice.
+    ``identity="directory"`` skips files whose directory was a result location in the store before the run began;
+    ``"file"`` trusts the stream's checkpoint alone. Each micro-batch replaces its own partition of the store, so a repeated
+    one after a failure adds nothing twice. All micro-batches of a run carry one run number, kept beside
+    the checkpoint until the run is complete: a run that failed is taken up under its number, so files of one directory
+    load together however they fall into micro-batches and attempts.
     """
     if identity not in ("file", "directory"):
         raise ValueError("identity must be 'file' or 'directory'")
 
+    marker = f"{checkpoint}-run"
+    run = _unfinished(spark, marker)
+    if run is None:
+        run = next_run(read_store(spark, store))
+        _mark(spark, marker, str(run))
+
     def append(files: DataFrame, batch_id: int) -> None:
-        name = f"stream-{batch_id}"
-        stored = read_store(spark, store, without=name)
         if identity == "directory":
             key = key_in_bucket(F.col("path"), bucket)
             listing = files.withColumn("location", result_location(key, bucket))
-            files = new_batches(listing, stored)
-        paths = [row.path for row in files.select("path").distinct().collect()]
+            files = new_batches(listing, before_run(read_store(spark, store), run))
+        paths = [row.path for row in files.select("path").distinct().collect()]   # one micro-batch bounds them
         if paths:
-            append_ingest(load_batches(spark, paths, next_run(stored), permissive), store, name)
+            append_ingest(load_batches(spark, paths, run, permissive), store, f"stream-{batch_id}")
+
+    query = (batch_files(spark, root, files_per_batch).writeStream.foreachBatch(append)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    query.awaitTermination()
+    _mark(spark, marker, "")
+    return query
+
+
+def _mark(spark: SparkSession, marker: str, text: str) -> None:
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(marker)
+
 
-    return (batch_files(spark, root, files_per_batch).writeStream.foreachBatch(append)
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+def _unfinished(spark: SparkSession, marker: str) -> int | None:
+    """The number of a run that began and was not completed."""
+    try:
+        row = spark.read.text(marker).where("value != ''").first()
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    return int(row.value) if row else None

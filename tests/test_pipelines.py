@@ -69,9 +69,10 @@ def test_production(spark, world):
         "consistified_number_of_cattle_records": 4, "consistified_number_of_movement_records": 8,
         "number_of_snps": 2}
     # Rows follow the threshold table (class y first), then the order of the batch files.
-    assert lines(f"{results}/snps") == [
-        ",AF-12-3333-20,AF-12-1111-20,AF-12-2222-20,AF-12-4444-20", "AF-12-3333-20,0,2,1,1", "AF-12-1111-20,2,0,1,2",
-        "AF-12-2222-20,1,1,0,2", "AF-12-4444-20,1,2,2,0"]
+    names = [f"AF-12-{k}-20" for k in ("3333", "1111", "2222", "4444")]
+    grid = ["0211", "2012", "1102", "1220"]
+    assert [line for line in lines(f"{results}/snps") if line != "i,j,dist"] == [
+        f"{a},{b},{d}" for a, row in zip(names, grid) for b, d in zip(names, row)]
     assert lines(f"{results}/snps_fasta") == [
         ">AFx-12-3333-20-C_consensus", "TC", ">AFx-12-1111-20-A_consensus", "CA",
         ">AFx-12-2222-20-B_consensus", "CC", ">AFx-12-4444-20-D_consensus", "TG"]
@@ -86,8 +87,10 @@ def test_production(spark, world):
     cattle = tables.read_text_table(spark, f"{results}/cattle")
     assert {r.CVLRef: r.clade for r in cattle.collect()} == {
         "AF-12-1111-20": "x", "AF-12-2222-20": "x", "AF-12-3333-20": "y", "AF-12-4444-20": "x"}
-    assert record(f"{results}/metadata/filters.json") == {
-        "not_Submission": ["AF-12-7777-20", "nobody"], "y": {"Ncount": [0, 7.0]}, "x": {"Ncount": [0, 50.0]}}
+    named = record(f"{results}/metadata/filters.json")
+    assert lines(named["not_Submission"]) == ["AF-12-7777-20", "nobody"]
+    assert [json.loads(line) for line in lines(named["classes"])] == [
+        {"clade": "y", "Ncount": [0.0, 7.0]}, {"clade": "x", "Ncount": [0.0, 50.0]}]
     assert record(f"{results}/metadata/metadata.json")["number_of_snps"] == 2
     # A second phylo run finds the consistent samples of the first.
     assert curation.phylo(spark, results, base=f"file:{world}/{{bucket}}/", light_mode=True) == {"number_of_snps": 2}
@@ -99,7 +102,7 @@ def test_full_pipeline_and_second_update(spark, world):
     metrics = curation.full_pipeline(spark, results, config=spec, cattle_movements=f"{world}/cm", **common(world))
     assert metrics["number_of_passed_samples"] == 6 and metrics["consistified_number_of_wgs_records"] == 5
     assert record(f"{results}/metadata/filters.json") == {"pcMapped": [90, 100], "Ncount": [0, 50]}
-    assert len(lines(f"{results}/snps")) == 6
+    assert len([line for line in lines(f"{results}/snps") if line != "i,j,dist"]) == 25
     metrics, samples = curation.update_samples(spark, **common(world))
     assert metrics["total_number_of_wgs_samples"] == 9
     write(world / BUCKET / "v3-2" / "b3" / "FinalOut.csv", HEADER + sample("A", 1111, folder="b3") + "\n")
@@ -131,6 +134,13 @@ def test_phylo_needs_a_cohort(spark, tmp_path):
         curation.phylo(spark, str(tmp_path))
 
 
+def test_update_in_rounds_loads_every_file(spark, world, monkeypatch):
+    monkeypatch.setattr(curation, "PATHS_PER_ROUND", 1)
+    metrics, samples = curation.update_samples(spark, **common(world))
+    assert metrics["total_number_of_wgs_samples"] == 9
+    assert curation.update_samples(spark, **common(world))[0]["total_number_of_wgs_samples"] == 9
+
+
 def test_update_needs_batches(spark, tmp_path):
     (tmp_path / BUCKET / "v3-2").mkdir(parents=True)
     with pytest.raises(FileNotFoundError):

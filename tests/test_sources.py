@@ -23,7 +23,7 @@ def test_files_of_different_column_order(spark, tmp_path):
     df = tables.read_samples(spark, str(tmp_path))
     assert df.columns == [*SAMPLE_COLUMNS, "extra", "_ord"]
     assert in_order(df, "Sample", "pcMapped", "Outcome", "extra") == [
-        ("S1", 99.5, "Pass", None), ("S2", None, None, None), ("S3 ", None, "Fail", "7"), ("S4", None, "Fa,il", None)]
+        ("S1", 99.5, "Pass", None), ("S2", None, None, None), ("S3 ", None, "Fail", 7.0), ("S4", None, "Fa,il", None)]
     assert dict(df.dtypes)["Ncount"] == "double" and dict(df.dtypes)["group"] == "string"
 
 
@@ -112,9 +112,9 @@ def base_of(tmp_path):
     return f"file:{tmp_path}/{{bucket}}/"
 
 
-@pytest.mark.parametrize("directories", [10_000, 0])
-def test_consensus_of_samples(spark, tmp_path, frame, monkeypatch, directories):
-    monkeypatch.setattr(fasta, "MAX_DIRECTORIES", directories)
+@pytest.mark.parametrize("files", [10_000, 1])
+def test_consensus_of_samples(spark, tmp_path, frame, monkeypatch, files):
+    monkeypatch.setattr(fasta, "FILES_PER_SCAN", files)
     for name in "ABCX":
         batch = "one" if name in "AX" else "two"
         write(tmp_path / "s3-csu-003" / "v" / batch / "consensus" / f"{name}_consensus.fas", f">{name}_consensus\nAC{name}\n")
@@ -128,6 +128,61 @@ def test_consensus_of_samples(spark, tmp_path, frame, monkeypatch, directories):
         fasta.read_consensus(spark, lost, base_of(tmp_path))
 
 
+def test_consensus_paths_with_odd_characters(spark, tmp_path, frame):
+    names = ["c", "a b", "a#b", "a%b", "a\u00e9b", "a+b", "a%20b", "a[b]"]
+    for name in names:
+        write(tmp_path / "s3-csu-003" / "v 50%" / "consensus" / f"{name}_consensus.fas", f">{name.split()[0]}\nAC\n")
+    df = frame("Sample string, ResultLoc string", [(n, "s3://s3-csu-003/v 50%/") for n in names])
+    assert in_order(fasta.read_consensus(spark, df, base_of(tmp_path)), "Sample") == [(n,) for n in names]
+    write(tmp_path / "s3-csu-003" / "v 50%" / "consensus" / "empty_consensus.fas", "")
+    with pytest.raises(FileNotFoundError, match="of sample 'empty'"):
+        fasta.read_consensus(spark, frame("Sample string, ResultLoc string", [("empty", "s3://s3-csu-003/v 50%/")]), base_of(tmp_path))
+
+
+@pytest.fixture
+def split_bytes(spark):
+    """Set how many bytes of a file a task reads."""
+    settings = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(s) for s in settings]
+
+    def cut(size):
+        for setting, value in zip(settings, (size, "1")):
+            spark.conf.set(setting, value)
+    yield cut
+    for setting, value in zip(settings, before):
+        spark.conf.set(setting, value)
+
+
+def test_headers_and_records_whatever_the_split(spark, tmp_path, split_bytes):
+    for i in range(12):
+        head, line = ("k,v", "k{0}_{1},{1}") if i % 2 else ("v,k", "{1},k{0}_{1}")
+        write(tmp_path / "t" / f"f{i:02}.csv", "\n".join([head, *[line.format(i, j) for j in range(3)]]) + "\n")
+    write(tmp_path / "t" / "g.csv", 'k,"a,b",v\nx,"1\n2",7\n"q""r",z,8\nk,"a,b",v\n')
+    results = []
+    for size in ("128m", "100", "20", "7"):
+        split_bytes(size)
+        df = tables.read_by_name(spark, str(tmp_path / "t"))
+        results.append(sorted(((r.k, r.v, r["a,b"]) for r in df.collect()), key=repr))
+    assert len(results[0]) == 39 and all(r == results[0] for r in results)
+    assert ("x", "7", "1\n2") in results[0] and ('q"r', "8", "z") in results[0] and ("k", "v", "a,b") in results[0]
+
+
+def test_lines_that_do_not_fit_their_header_fail(spark, tmp_path):
+    for text, message in (("k,v\n1,2,EXTRA\n", "more fields"), ('k,v\n1,"2\n3,4\n', "not closed")):
+        write(tmp_path / "bad.csv", text)
+        with pytest.raises(Exception, match=message):
+            tables.read_by_name(spark, str(tmp_path / "bad.csv")).collect()
+    write(tmp_path / "short.csv", "k,v,w\n1\n,2\n")
+    df = tables.read_by_name(spark, str(tmp_path / "short.csv"))
+    assert in_order(df, "k", "v", "w") == [("1", None, None), (None, "2", None)]
+
+
+def test_unknown_columns_become_numbers_where_all_values_are(spark, tmp_path):
+    write(tmp_path / "t.csv", "Sample,depth,note,none\na,1.5,x,\nb,NA,2,\n")
+    df = tables.read_samples(spark, str(tmp_path / "t.csv"))
+    assert dict(df.dtypes)["depth"] == "double" and dict(df.dtypes)["note"] == dict(df.dtypes)["none"] == "string"
+
+
 def batch(tmp_path, folder, name="FinalOut.csv", sample=None, location=None):
     location = location or f"s3://s3-csu-003/v3-2/{folder}/"
     write(tmp_path / "s3-csu-003" / "v3-2" / folder / name,
@@ -161,7 +216,7 @@ def test_append_by_name(spark, rows):
 def test_stream_loads_each_file_once(spark, tmp_path, rows, identity, late):
     def run():
         ingest_stream(spark, str(tmp_path / "s3-csu-003"), str(tmp_path / "store"), str(tmp_path / "state"),
-                      identity, files_per_batch=1 if identity == "file" else 100).awaitTermination()
+                      identity, files_per_batch=1)
         return rows(store.read_store(spark, str(tmp_path / "store")), "Submission")
     for folder in ("01", "02"):
         batch(tmp_path, folder)
@@ -174,6 +229,13 @@ def test_stream_loads_each_file_once(spark, tmp_path, rows, identity, late):
     assert len(set(orders)) > 1
 
 
+def test_new_directory_loads_whole_however_it_falls_into_micro_batches(spark, tmp_path, rows):
+    for i in range(3):
+        batch(tmp_path, "01", f"FinalOut_{i}.csv", sample=f"AFx-12-345{i}-01")
+    ingest_stream(spark, str(tmp_path / "s3-csu-003"), str(tmp_path / "store"), str(tmp_path / "state"), files_per_batch=1)
+    assert len(rows(store.read_store(spark, str(tmp_path / "store")), "Submission")) == 3
+
+
 def test_repeated_micro_batch_replaces_its_rows(spark, tmp_path, rows):
     target = str(tmp_path / "store")
     batch(tmp_path, "01")
