@@ -47,7 +47,7 @@ class Grams:
         keys = np.concatenate([np.repeat(self.root, len(self.keys[0])), *self.keys])
         keys.sort()
         at = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.empty(0, np.int64)
-        return keys[at], np.diff(np.r_[at, len(keys)]).astype("<u4")
+        return keys[at], np.diff(np.r_[at, len(keys)])
 
     def elsewhere(self, known: np.ndarray, totals: np.ndarray) -> list[np.ndarray]:
         """For each order from 0 on, how often other documents hold the n-gram that ends at each word (0 if none does)."""
@@ -85,19 +85,17 @@ def word_scores(counts: list[np.ndarray], place: np.ndarray, backoff: float) ->
     return score + np.log(backoff) * (longest - np.maximum(level, 1)), level
 
 
-def _totals(keys: list[np.ndarray], more: list[bytes]) -> list[np.ndarray]:
-    counts = [np.frombuffer(m, "<u4") for m in more]
+def _totals(keys: list[np.ndarray], more: list[bytes]) -> list[bytes]:
+    counts = [exchange.widen(m, len(k)) for k, m in zip(keys, more)]
     known, places = exchange.merged(keys)
     totals = np.zeros(len(known), np.int64)
     for at, n in zip(places, counts):
         totals[at] += n
-    # Most counts are small; a wide answer is eight bytes a key, a narrow one four.
-    kind = "<u4" if totals.max(initial=0) < 1 << 32 else "<u8"
-    return [totals[at].astype(kind) for at in places]
+    return [exchange.narrow(totals[at]) for at in places]      # most counts are small
 
 
 def _read(answers: pa.Table, sizes: np.ndarray) -> np.ndarray:
-    parts = [np.frombuffer(a, f"<u{len(a) // n}").astype(np.int64)
+    parts = [exchange.widen(a, n)
              for a, n in zip(answers.sort_by("bucket").column("answer").to_pylist(), [n for n in sizes if n])]
     return np.concatenate([*parts, np.empty(0, np.int64)])
 
@@ -116,7 +114,7 @@ def scores(docs: DataFrame, id_column: str = "doc_id", text: str = "text", order
     bits = exchange.key_bits(n_groups * group_bytes, 18)
 
     def ask(table: pa.Table) -> pa.Table:
-        return exchange.ask_rows(table.column("g")[0].as_py(), *Grams(table, order, bits).counts(), buckets)
+        return exchange.ask_rows(table.column("g")[0].as_py(), *Grams(table, order, bits).counts(), buckets, exchange.narrow)
 
     def score(table: pa.Table, answers: pa.Table) -> pa.Table:
         grams = Grams(table, order, bits)

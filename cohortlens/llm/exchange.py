@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from cohortlens.llm.words import U
 
-GROUP_BYTES = 6 << 20
+GROUP_BYTES = 4 << 20
 FULL = 1 << 64
 
 
@@ -77,6 +77,18 @@ def unpack(data: bytes) -> np.ndarray:
     return np.cumsum(values, dtype=U) << U(data[1])
 
 
+def narrow(counts: np.ndarray) -> bytes:
+    """Counts of 0 or more as one byte each, and those of 255 or more as eight bytes behind."""
+    wide = counts[counts >= 255].astype("<u8")
+    return np.minimum(counts, 255).astype(np.uint8).tobytes() + wide.tobytes()
+
+
+def widen(data: bytes, n: int) -> np.ndarray:
+    counts = np.frombuffer(data, np.uint8, n).astype(np.int64)
+    counts[counts == 255] = np.frombuffer(data, "<u8", offset=n)
+    return counts
+
+
 def order_by(high: np.ndarray, low: np.ndarray) -> np.ndarray:
     """An order by both; ``low`` only matters where ``high`` collides."""
     order = np.argsort(high)
@@ -88,23 +100,23 @@ ASKED = "g int, bucket int, keys binary, more binary"
 ANSWERED = "g int, bucket int, answer binary"
 
 
-def ask_rows(g: int, keys: np.ndarray, more: np.ndarray, buckets: int) -> pa.Table:
-    """One row for each bucket that has keys; ``keys`` sorted, ``more`` an array aligned with them."""
+def ask_rows(g: int, keys: np.ndarray, more: np.ndarray, buckets: int, write=np.ndarray.tobytes) -> pa.Table:
+    """One row for each bucket that has keys; ``keys`` sorted, ``more`` an array aligned with them, written by ``write``."""
     at = cuts(keys, buckets)
     filled = np.flatnonzero(np.diff(at))
     return pa.table({
         "g": pa.array([g] * len(filled), pa.int32()), "bucket": pa.array(filled, pa.int32()),
         "keys": pa.array([pack(keys[at[b]:at[b + 1]]) for b in filled], pa.binary()),
-        "more": pa.array([more[at[b]:at[b + 1]].tobytes() for b in filled], pa.binary())})
+        "more": pa.array([write(more[at[b]:at[b + 1]]) for b in filled], pa.binary())})
 
 
 def answer(asked: DataFrame, merge: Callable[[list[np.ndarray], list[bytes]], list[np.ndarray]]) -> DataFrame:
-    """Each bucket answers its groups; ``merge`` gets their sorted keys and further bytes."""
+    """Each bucket answers its groups; ``merge`` gets their sorted keys and further bytes, and gives arrays or bytes."""
     def of(table: pa.Table) -> pa.Table:
         table = table.sort_by("g")
         keys = [unpack(k) for k in table.column("keys").to_pylist()]
         return pa.table({"g": table.column("g"), "bucket": table.column("bucket"),
-                         "answer": pa.array([a.tobytes() for a in merge(keys, table.column("more").to_pylist())], pa.binary())})
+                         "answer": pa.array([bytes(a) for a in merge(keys, table.column("more").to_pylist())], pa.binary())})
     return asked.groupBy("bucket").applyInArrow(of, ANSWERED)
 
 

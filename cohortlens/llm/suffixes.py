@@ -20,6 +20,7 @@ from cohortlens.llm.words import U, mix, random_words, rolling, span_hashes, tex
 
 GRAM = 64
 SLICE = 1 << 18
+GROUP_BYTES = 3 << 20       # of text in a shard, whose suffixes one task holds
 BUCKET_BYTES = 24 << 20      # text whose runs meet in one bucket
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
 
@@ -33,6 +34,8 @@ def suffix_array(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     below 2**16; the end of the text sorts before all else.
     """
     n = len(text)
+    if not n:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
     padded = np.zeros(n + 8, U)
     padded[:n] = text.astype(U) + U(1)
     # Characters are renumbered densely, so that as many as possible fit into the first key.
@@ -81,6 +84,8 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, rank: np.ndarray, ends:
     the others are told to be at least that. Suffixes of one rank agree on ``width`` characters as they are sorted that far.
     """
     n = len(text)
+    if not n:
+        return np.empty(0, np.int64)
     places = np.arange(n)
     before = np.full(n, -1, np.int64)
     before[order[1:]] = order[:-1]
@@ -259,7 +264,7 @@ class Strings:
 
 
 def repeated_bytes(docs: DataFrame, id_column: str = "doc_id", text: str = "text", width: int = 200,
-                   group_bytes: int = exchange.GROUP_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+                   group_bytes: int = GROUP_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept) for every row, of the UTF-8 bytes of its whole text.
 
     A byte is removed if a string of ``width`` bytes covers it that also starts anywhere else, in the same text or
