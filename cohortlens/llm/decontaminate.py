@@ -96,12 +96,12 @@ def align(item: np.ndarray, text: np.ndarray, low: int, high: int, most: int) ->
     width = high - low + 1
     far = (most + width + len(item) + 2) * SHIFT
     span = np.arange(width, dtype=np.int64)
-    start = low + span
+    start, padded = low + span, np.append(text, text.dtype.type(0))
     row = np.where((start >= 0) & (start <= len(text)), start, far)       # an occurrence may begin anywhere
     for i, c in enumerate(item):
         at = low + i + span                                               # text position of the diagonal step
         inside = (at >= 0) & (at < len(text))
-        step = row + np.where(inside & (text[np.clip(at, 0, max(len(text) - 1, 0))] == c), 0, SHIFT)
+        step = row + np.where(inside & (padded[np.clip(at, 0, len(text))] == c), 0, SHIFT)
         step[~inside] = far
         step[:-1] = np.minimum(step[:-1], row[1:] + SHIFT)                # a character of the item is missing
         row = np.minimum.accumulate(step - span * SHIFT) + span * SHIFT   # extra characters in the text
