@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from cohortlens import functions as fn
 from cohortlens.model import DEFAULT_BUCKET, DEFAULT_CRITERIA, KEY, SAMPLE_COLUMNS
 from cohortlens.operators import consistency, dedup, distances, filters, report, sites, thresholds
-from cohortlens.plans.curation import curate
+from cohortlens.plans.curation import consistify, curate, de_duplicate, sample_filter, save_metrics, update_samples
 from cohortlens.plans.staging import fresh_path, stage
 from cohortlens.sources import batches, fasta, sinks, store, tables
 from cohortlens.streaming.ingest import ingest_stream
@@ -447,13 +447,13 @@ BATCH_SQL = """sub || '-x' AS "Sample", c_acctbal AS "pcMapped", oc AS "Outcome"
 BATCH_COLUMNS = ["Sample", "pcMapped", "Outcome", "group", "ResultLoc", "Submission"]
 
 
-def write_batches(spark, sf, files: int = 1) -> str:
+def write_batches(spark, sf, files: int = 1, comments: bool = True) -> str:
     """Batch result files in a bucket folder, two column orders, a comment in every second one."""
     root = fresh_path(spark, "buckets")
     rows = batch_rows(spark, sf)
     rows = rows.repartition("c_nationkey") if files == 1 else rows.repartition(files, F.xxhash64("Sample"))
     first = F.col("c_nationkey") < 12
-    note = F.concat("ResultLoc", F.lit(" # checked")).alias("ResultLoc")
+    note = F.concat("ResultLoc", F.lit(" # checked" if comments else "")).alias("ResultLoc")
     target = f"{root}/{DEFAULT_BUCKET}/v3-2/FinalOut"
     (rows.where(first).write.partitionBy("c_nationkey").option("header", True).csv(target))
     (rows.where(~first).select("c_nationkey", "group", "Outcome", "Sample", "pcMapped", note)
@@ -695,6 +695,60 @@ def x6_selection(spark, sf):
         "pcMapped": [10, 45], "Ncount": [0, 60000], "group": ["Brand#1", "Brand#2", "Brand#3"]}))
 
 
+@query("x1_update", f"WITH {BR} SELECT {BATCH_SQL}, (SELECT count(*) FROM br) AS total FROM br")
+def x1_update(spark, sf):
+    """The store after two updates; the second finds nothing new."""
+    root, target = write_batches(spark, sf, comments=False), fresh_path(spark, "store")
+    for _ in range(2):
+        metrics, stored = update_samples(spark, target, f"{root}/{{bucket}}/", prefix="v3-2")
+    return trimmed(stored).withColumn("total", F.lit(metrics["total_number_of_wgs_samples"]).cast("bigint"))
+
+
+BEST_TEXT = BEST.replace('sub AS', 'CAST(sub AS VARCHAR) AS')
+
+
+@query("x2_de_duplicate", f"""WITH {DD} SELECT {BEST_TEXT}, (SELECT count(*) FROM sm) - (SELECT count(*) FROM dd) AS removed FROM dd""")
+def x2_de_duplicate(spark, sf):
+    """The step's table read back, with the number of rows that went."""
+    results = fresh_path(spark, "results")
+    metrics, _ = de_duplicate(results, samples(spark, sf))
+    back = best_columns(tables.read_samples(spark, f"{results}/metadata/deduped_wgs"))
+    return back.withColumn("removed", F.lit(metrics["number_of_duplicate_WGS_submissions"]).cast("bigint"))
+
+
+@query("x3_filter_by_file", f"""WITH {SM} SELECT {BEST_TEXT}, count(*) OVER () AS passed FROM sm WHERE oc = 'Pass'
+  AND nc BETWEEN 20000 AND 50000 AND grp IN ('Brand#1', 'Brand#2', 'Brand#3')""")
+def x3_filter_by_file(spark, sf):
+    """Samples filtered by a specification file, the step's table read back, with its count."""
+    results, config = fresh_path(spark, "results"), fresh_path(spark, "spec")
+    sinks.write_json(spark, {"Ncount": [20000, 50000], "group": ["Brand#1", "Brand#2", "Brand#3"]}, config)
+    metrics, _, _ = sample_filter(results, samples(spark, sf), config)
+    back = best_columns(tables.read_samples(spark, f"{results}/metadata/passed_wgs"))
+    return back.withColumn("passed", F.lit(metrics["number_of_passed_samples"]).cast("bigint"))
+
+
+@query("x4_consistify", f"""WITH {PA}, {CA}, {MO} SELECT {BEST_TEXT}, (SELECT count(*) FROM mo WHERE k IN {COMMON}) AS movements
+  FROM pa WHERE sub IN {COMMON}""")
+def x4_consistify(spark, sf):
+    """Samples reduced to the keys that all three tables hold, read back, with the number of movements kept."""
+    results = fresh_path(spark, "results")
+    passing = filters.apply_filter(samples(spark, sf), {})
+    cows = cattle(spark, sf).withColumn("_ord", F.struct("CVLRef"))
+    metrics, _ = consistify(results, passing, cows, movement(spark, sf))
+    back = best_columns(tables.read_samples(spark, f"{results}/metadata/consistified_wgs"))
+    return back.withColumn("movements", F.lit(metrics["consistified_number_of_movement_records"]).cast("bigint"))
+
+
+@query("s14_run_record", f"""WITH {SM}, passed AS (SELECT count(*) AS n FROM sm WHERE oc = 'Pass')
+  SELECT (SELECT count(*) FROM sm) AS samples, n AS passed FROM passed""")
+def s14_run_record(spark, sf):
+    """The record of a run, written and read back."""
+    results, rows = fresh_path(spark, "results"), samples(spark, sf)
+    save_metrics(spark, results, {"samples": rows.count(), "passed": filters.apply_filter(rows, {}).count()})
+    text = spark.read.text(f"{results}/metadata/metadata.json", wholetext=True)
+    return text.select(F.from_json("value", "samples bigint, passed bigint").alias("r")).select("r.*")
+
+
 @query("x8_thresholds", f"""WITH {SM}, pd AS (SELECT * FROM sm WHERE oc = 'Pass' QUALIFY row_number() OVER
     (PARTITION BY sub ORDER BY (fl = 'BritishbTB') DESC, pm DESC, nc, ln, pk, sk, sd) = 1)
   SELECT grp AS clade, round_even(quantile_cont(nc, 0.85), 0) AS "maxN" FROM pd GROUP BY grp""")
