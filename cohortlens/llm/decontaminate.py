@@ -20,7 +20,6 @@ GRAM = 8
 EDIT_RATE = 0.08                 # edits allowed per character of an item
 CHUNK_BYTES = 16 << 20           # of benchmark text held by a task at once; a larger benchmark takes several passes
 TABLE_BITS = 22
-SHIFT = 1 << 22                  # keeps an origin beside a cost in one number
 RESULT = "doc_id long, item_id long, start long, end long, edits int"
 
 
@@ -93,23 +92,23 @@ def align(item: np.ndarray, text: np.ndarray, low: int, high: int, most: int) ->
     One row of the edit-distance table per character of the item, only the band's cells. A cell holds the cost and the
     start of its occurrence in one number, so the earliest of the cheapest starts wins.
     """
-    width = high - low + 1
-    far = (most + width + len(item) + 2) * SHIFT
+    width, shift = high - low + 1, 1 << (len(text) + 1).bit_length()     # room for any start below the cost
+    far = (most + width + len(item) + 2) * shift
     span = np.arange(width, dtype=np.int64)
     start, padded = low + span, np.append(text, text.dtype.type(0))
     row = np.where((start >= 0) & (start <= len(text)), start, far)       # an occurrence may begin anywhere
     for i, c in enumerate(item):
         at = low + i + span                                               # text position of the diagonal step
         inside = (at >= 0) & (at < len(text))
-        step = row + np.where(inside & (padded[np.clip(at, 0, len(text))] == c), 0, SHIFT)
+        step = row + np.where(inside & (padded[np.clip(at, 0, len(text))] == c), 0, shift)
         step[~inside] = far
-        step[:-1] = np.minimum(step[:-1], row[1:] + SHIFT)                # a character of the item is missing
-        row = np.minimum.accumulate(step - span * SHIFT) + span * SHIFT   # extra characters in the text
+        step[:-1] = np.minimum(step[:-1], row[1:] + shift)                # a character of the item is missing
+        row = np.minimum.accumulate(step - span * shift) + span * shift   # extra characters in the text
         row[(at + 1 < 0) | (at + 1 > len(text))] = far
-        if row.min() >= (most + 1) * SHIFT:
+        if row.min() >= (most + 1) * shift:
             return None
     best = int(np.argmin(row))
-    cost, begin = divmod(int(row[best]), SHIFT)
+    cost, begin = divmod(int(row[best]), shift)
     return (cost, begin, low + best + len(item)) if cost <= most else None
 
 
