@@ -644,6 +644,44 @@ def g5_near_relabel(spark, sf):
     return distances.relabel(distances.snp_distances(alignment(spark, sf), NEAR))
 
 
+# Families of mutants: 14 suppliers share a sequence of 9,600 bases, in which seven of them change 0 to 12 bases and seven copy those.
+MUTANT = "s_suppkey % 7"
+MU = f"""mu AS (SELECT 'AF-' || {number_text('s_suppkey')} || '_consensus' AS id, string_agg(translate(
+    CASE WHEN p % 24 = 1 + 12 * ({MUTANT} % 2) AND p // 24 < {MUTANT} * 5 % 13 THEN translate(h[1], '0123456789abcdef', '1230123012301230') ELSE h[1] END
+    || h[2:], '0123456789abcdef', 'ACGTACGTACGTACGT'), '' ORDER BY p) AS seq
+  FROM (SELECT s_suppkey, p, md5(CAST(s_suppkey // 14 AS VARCHAR) || '-' || p) AS h FROM supplier, range(300) r(p)) GROUP BY s_suppkey)"""
+MUTANT_PAIRS = f"""WITH {MU}, pr AS (SELECT a.id AS i, b.id AS j, CAST(hamming(a.seq, b.seq) AS BIGINT) AS dist
+  FROM mu a, mu b) SELECT * FROM pr WHERE dist <= {NEAR}"""
+
+
+def mutants(spark, sf) -> DataFrame:
+    """One sequence per supplier; members of a family differ at 0 to 22 places, those of different families nearly everywhere."""
+    def piece(p):
+        text = F.md5(F.concat(F.expr("s_suppkey div 14").cast("string"), F.lit("-"), p.cast("string")))
+        changed = (p % 24 == 1 + 12 * (F.expr(MUTANT) % 2)) & (F.floor(p / 24) < F.expr(MUTANT) * 5 % 13)
+        first = F.substring(text, 1, 1)
+        return F.concat(F.when(changed, F.translate(first, "0123456789abcdef", "1230123012301230")).otherwise(first), F.substring(text, 2, 31))
+    bases = F.translate(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(299)), piece), ""), "0123456789abcdef", "ACGTACGTACGTACGT")
+    name = F.concat(F.lit("AF-"), number_of("s_suppkey"), F.lit("_consensus"))
+    return table(spark, sf, "supplier").select(name.alias("id"), bases.alias("seq"), F.struct("s_suppkey").alias("_ord"))
+
+
+def mutant_distances(spark, sf) -> DataFrame:
+    seqs = mutants(spark, sf)
+    return distances.snp_distances(sites.snp_alignment(seqs, stage(sites.snp_sites(seqs), "sites")), NEAR)
+
+
+@query("g3_near_mutants", MUTANT_PAIRS)
+def g3_near_mutants(spark, sf):
+    """Near pairs of different sequences, beside copies and members of a family that are further apart."""
+    return mutant_distances(spark, sf)
+
+
+@query("g5_mutant_relabel", f"SELECT {LABEL % 'i'} AS i, {LABEL % 'j'} AS j, dist FROM ({MUTANT_PAIRS})")
+def g5_mutant_relabel(spark, sf):
+    return distances.relabel(mutant_distances(spark, sf))
+
+
 # Sequences long enough for several pieces: hashes of the order's id turned into bases.
 LONG_WIDTH = 9_600
 LQ = f"""lq AS (SELECT 'AF-' || {number_text('s_suppkey')} || '_consensus' AS id, s_suppkey,

@@ -31,3 +31,12 @@ def test_query_equals_sql(spark, db, name):
 
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
+
+
+def test_near_queries_compare_different_sequences(db):
+    """The limit leaves pairs on both sides of it, so that bands, tiles and copies have something to put out."""
+    from cohortlens import catalog
+    pairs = db.execute(contract.oracle_sql()["g3_near_mutants"]).df()
+    suppliers = db.execute("SELECT count(*) FROM supplier").fetchone()[0]
+    assert {0, catalog.NEAR} <= set(pairs.dist) and len(set(pairs.dist)) > 5
+    assert (pairs.i != pairs.j)[pairs.dist == 0].any() and len(pairs) < suppliers ** 2
