@@ -116,6 +116,20 @@ def test_full_pipeline_and_second_update(spark, world):
     assert metrics == {"number_of_passed_samples": 8}
 
 
+def test_pipelines_put_out_far_pairs_unless_limited(spark, world):
+    letters = {"A": "A", "B": "C", "C": "G", "D": "T"}     # unlike letters differ at 20 sites; four sequences that pass all filters hold A
+    for path in glob.glob(f"{world}/{BUCKET}/v3-2/*/consensus/*.fas"):
+        head = open(path).readline()
+        open(path, "w").write(f"{head}{letters.get(head.split('_')[0][-1], 'A') * 20}\n")
+    production = {"cattle_movements": f"{world}/cm", "thresholds": f"{world}/clades.csv", "exclusions": f"{world}/outliers.txt"}
+    for name, arguments, limit, count in (("production_pipeline", production, None, 16), ("full_pipeline", {}, 19, 19)):
+        results = f"{world}/{name}"
+        given = {} if limit is None else {"max_distance": limit}
+        getattr(curation, name)(spark, results, **arguments, **given, **common(world))
+        assert len([line for line in lines(f"{results}/snps") if line != "i,j,dist"]) == count
+        assert record(f"{results}/metadata/metadata.json").get("max_distance") == limit
+
+
 def test_full_pipeline_on_all_samples(spark, world):
     metrics = curation.full_pipeline(spark, f"{world}/r", filter_input="all", download_only=True,
                                      group=["x"], **common(world))
