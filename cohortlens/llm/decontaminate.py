@@ -202,17 +202,44 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id
     by a hash into chunks below it, each searched in a pass of its own whose matches are written before the next begins.
     """
     source = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    items = (benchmark.select(F.col(item_column).cast("long").alias("item_id"), F.col(item_text).cast("string").alias("text"))
-             .where(F.length("text") >= q).distinct())
-    chunks = -(-measured_bytes(items) // chunk_bytes)
-    spark, found = docs.sparkSession, []
-    for c in range(max(1, chunks)):
-        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, chunks))) == c)
-        index = spark.sparkContext.broadcast(
-            Index.of(sorted((r.item_id, r.text) for r in rows.where("item_id IS NOT NULL").toLocalIterator()), q, edit_rate))
+    found = []
+    for index, last in _indexes(benchmark, item_column, item_text, q, edit_rate, chunk_bytes):
         hits = source.mapInArrow(lambda b, shared=index: _scan(b, shared, q), RESULT)
-        found.append(stage(hits, "contaminated") if chunks > 1 else hits)
+        found.append(hits if last and not found else stage(hits, "contaminated"))
     out = found[0]
     for more in found[1:]:
         out = out.union(more)
     return out
+
+
+def without_items(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_column: str = "item_id", item_text: str = "text",
+                  q: int = GRAM, edit_rate: float = EDIT_RATE, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """The rows of ``docs`` in whose text no item occurs, by the rules of ``contaminated``.
+
+    A row is decided by its own text where it stands, so ids may be missing or repeated.
+    """
+    schema, passes = docs.schema, 0
+    for index, last in _indexes(benchmark, item_column, item_text, q, edit_rate, chunk_bytes):
+        docs = docs.mapInArrow(lambda b, shared=index: _clean(b, shared, text, q), schema)
+        docs = docs if last and not passes else stage(docs, "clean")
+        passes += 1
+    return docs
+
+
+def _clean(batches, shared, text: str, q: int):
+    index = shared.value
+    for batch in batches:
+        for part in slices(batch, text):
+            hit = {t for t, *_ in search(index, [t or "" for t in part.column(text).to_pylist()], q)}
+            yield part.filter(pa.array([t not in hit for t in range(part.num_rows)]))
+
+
+def _indexes(benchmark: DataFrame, item_column: str, item_text: str, q: int, edit_rate: float, chunk_bytes: int):
+    """(broadcast index, is it the last) for each chunk of the items."""
+    items = (benchmark.select(F.col(item_column).cast("long").alias("item_id"), F.col(item_text).cast("string").alias("text"))
+             .where(F.length("text") >= q).distinct())
+    chunks = max(1, -(-measured_bytes(items) // chunk_bytes))
+    for c in range(chunks):
+        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(chunks)) == c)
+        yield benchmark.sparkSession.sparkContext.broadcast(
+            Index.of(sorted((r.item_id, r.text) for r in rows.where("item_id IS NOT NULL").toLocalIterator()), q, edit_rate)), c == chunks - 1

@@ -16,15 +16,23 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: sets of 5-word shingles of a similarity of 0.8 or more."""
-    dropped = near_dedup.near_duplicates(docs, width=5, percent=80).where("NOT kept").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    """One document of each group of near-duplicates: sets of 5-word shingles of a similarity of 0.8 or more.
+
+    Rows are told apart by numbers of their own, since ids may be missing or repeated. Of a group the row of the smallest
+    id stays, one without an id only if no other has one.
+    """
+    rows = stage(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    found = stage(near_dedup.near_duplicates(rows, "_row", width=5, percent=80)
+                  .select(F.col("doc_id").alias("_row"), "component_id"), "found")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "_row")).alias("first")
+    stays = found.join(rows.select("_row", "doc_id"), "_row").groupBy("component_id").agg(first).select("first._row")
+    dropped = found.select("_row").join(stays, "_row", "left_anti")
+    return rows.join(dropped, "_row", "left_anti").select(docs.columns)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without an occurrence of a benchmark item, exact or with few edits."""
-    found = decontaminate.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    """Documents without an occurrence of a benchmark item, exact or with few edits; each row is decided by its own text."""
+    return decontaminate.without_items(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -253,3 +253,26 @@ def test_pipeline_stages_keep_their_promises(spark):
             assert docs.columns == columns
         before = set(ids)
     assert docs.columns[:4] == ["doc_id", "start", "n_tokens", "ids_crc32"]
+
+
+def test_pipeline_stages_decide_rows_without_or_with_repeated_ids(spark, corpus):
+    stages = {name.split()[0]: function for name, function in corpus_pipeline.STAGES}
+    rows = lambda df: sorted(((r.doc_id, r.text) for r in df.collect()), key=repr)
+    same, twin, other, lone = (prose(seed, 60) for seed in (1, 2, 3, 4))
+    docs = [(None, same), (None, same), (5, same), (6, same), (5, other), (None, twin), (None, twin), (None, lone), (8, None)]
+    assert rows(stages["minhash"](spark, corpus(docs), SF)) == sorted(
+        [(5, same), (5, other), (None, twin), (None, lone), (8, None)], key=repr)
+
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").where("length(text) > 60").first().text
+    docs = [(None, f"{other} {item} {same}"), (7, item), (7, other), (None, lone), (None, None), (9, "")]
+    clean = [(7, other), (None, lone), (None, None), (9, "")]
+    assert rows(stages["benchmark"](spark, corpus(docs), SF)) == sorted(clean, key=repr)
+    chunked = decontaminate.without_items(corpus(docs), spark.read.parquet(f"{SF}/benchmark.parquet"), chunk_bytes=2000)
+    assert rows(chunked) == sorted(clean, key=repr)
+
+    mixed, written = stages["mixing"](spark, corpus(docs), SF), stages["token-id"](spark, corpus(docs), SF)
+    assert {t for _, t in rows(mixed)} <= {t for _, t in docs} and written.count() == len(docs)
+    source = spark.read.parquet(f"{SF}/documents.parquet")
+    nameless = source.withColumn("doc_id", F.lit(None).cast("bigint"))
+    good = stages["quality"](spark, source.union(nameless), SF).collect()
+    assert sorted(r.text for r in good if r.doc_id is None) == sorted(r.text for r in good if r.doc_id is not None) != []
