@@ -1,13 +1,12 @@
 """Incremental ingest as a stream: each run appends the batch files that earlier runs have not seen."""
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cohortlens.functions import key_in_bucket, result_location
 from cohortlens.model import BATCH_FILE_MARK, DEFAULT_BUCKET
 from cohortlens.sources.batches import load_batches, new_batches
-from cohortlens.sources.store import append_ingest, before_run, next_run, read_store
+from cohortlens.sources.store import append_ingest, before_run, mark_run, next_run, read_store, unfinished_run
 
 # Files per micro-batch, which bounds the list of paths that the driver holds.
 FILES_PER_BATCH = 10_000
@@ -37,10 +36,10 @@ def ingest_stream(spark: SparkSession, root: str, store: str, checkpoint: str, i
         raise ValueError("identity must be 'file' or 'directory'")
 
     marker = f"{checkpoint}-run"
-    run = _unfinished(spark, marker)
+    run = unfinished_run(spark, marker)
     if run is None:
         run = next_run(read_store(spark, store))
-        _mark(spark, marker, str(run))
+        mark_run(spark, marker, str(run))
 
     def append(files: DataFrame, batch_id: int) -> None:
         if identity == "directory":
@@ -54,20 +53,5 @@ def ingest_stream(spark: SparkSession, root: str, store: str, checkpoint: str, i
     query = (batch_files(spark, root, files_per_batch).writeStream.foreachBatch(append)
              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     query.awaitTermination()
-    _mark(spark, marker, "")
+    mark_run(spark, marker, "")
     return query
-
-
-def _mark(spark: SparkSession, marker: str, text: str) -> None:
-    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(marker)
-
-
-def _unfinished(spark: SparkSession, marker: str) -> int | None:
-    """The number of a run that began and was not completed."""
-    try:
-        row = spark.read.text(marker).where("value != ''").first()
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-    return int(row.value) if row else None

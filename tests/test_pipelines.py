@@ -155,6 +155,29 @@ def test_update_in_rounds_loads_every_file(spark, world, monkeypatch):
     assert curation.update_samples(spark, **common(world))[0]["total_number_of_wgs_samples"] == 9
 
 
+@pytest.mark.parametrize("failing", [2, 3])
+def test_update_that_failed_after_a_round_is_completed(spark, world, monkeypatch, failing):
+    """The files of directory b1 are cut by a round border."""
+    extra = HEADER + sample("I", 9999) + "\n"
+    write(world / BUCKET / "v3-2" / "b1" / "MoreFinalOut.csv", extra)
+    monkeypatch.setattr(curation, "PATHS_PER_ROUND", 1)
+    calls, append = [], curation.append_ingest
+
+    def fail(*args):
+        calls.append(args)
+        if len(calls) == failing:
+            raise OSError("lost")
+        append(*args)
+    monkeypatch.setattr(curation, "append_ingest", fail)
+    with pytest.raises(OSError, match="lost"):
+        curation.update_samples(spark, **common(world))
+    write(world / BUCKET / "v3-2" / "a0" / "FinalOut.csv", HEADER + sample("J", 1010, folder="a0") + "\n")
+    for _ in range(2):
+        metrics, samples = curation.update_samples(spark, **common(world))
+        assert metrics["total_number_of_wgs_samples"] == 11 == samples.select("Sample").distinct().count()
+    assert metrics["batches_with_mismatched_location"] == 0
+
+
 def test_update_needs_batches(spark, tmp_path):
     (tmp_path / BUCKET / "v3-2").mkdir(parents=True)
     with pytest.raises(FileNotFoundError):
