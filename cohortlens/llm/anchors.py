@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from cohortlens.llm import exchange
-from cohortlens.llm.words import U, mix, rolling, span_hashes, text_bytes, window_starts, word_spans
+from cohortlens.llm.words import U, rolling, span_hashes, text_bytes, window_starts, word_spans
 
 BUCKET_BYTES = 16 << 20      # text whose probes meet in one bucket
 RESULT = "doc_id long, n_words long, n_removed long, n_repeats long, kept_text string"
@@ -49,10 +49,11 @@ class Group:
         return starts[before[np.minimum(starts + reach + 1, self.n)] > before[starts]] if len(starts) else starts
 
     def digests(self, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """128 bits of each window: two rolling hashes with different factors."""
+        """128 bits of each window: two rolling hashes with different factors, over independent hashes of the words."""
         if not len(starts):
             return np.empty(0, U), np.empty(0, U)
-        return rolling(self.words, self.window, 5)[starts], rolling(mix(self.words ^ U(0x1234567)), self.window, 9)[starts]
+        other = span_hashes(self.buf, self.first, self.last, 2)
+        return rolling(self.words, self.window, 5)[starts], rolling(other, self.window, 9)[starts]
 
 
 def distinct(keys: np.ndarray, flag: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -101,7 +101,7 @@ def _confirmed(batches, percent: int):
 def _full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     # The ids grow with the corpus, so they are never broadcast.
     return stage(docs.join(ids.hint("merge"), "doc_id", "left_semi")
-                 .mapInArrow(lambda b: _sets(b, width), "doc_id long, shingles binary").dropDuplicates(["doc_id"]), "sets")
+                 .mapInArrow(lambda b: _sets(b, width), "doc_id long, shingles binary").distinct(), "sets")
 
 
 def _confirm(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
@@ -111,6 +111,13 @@ def _confirm(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
                  .mapInArrow(lambda b: _confirmed(b, percent), "u long, v long"), "confirmed")
 
 
+def _same_row_ids(some: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links between the classes that share an id, for ids that stand before different texts."""
+    texts = some.groupBy("doc_id").agg(F.min("set_key").alias("a"), F.max("set_key").alias("z")).where("a < z").select("doc_id")
+    return (some.join(texts, "doc_id").select("doc_id", "set_key").distinct().join(classes, "set_key")
+            .select(F.col("doc_id").alias("u"), F.col("rep").alias("v")).where("u != v"))
+
+
 def common_shingles(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     """The size of the intersection of each left set with each right one, by bits of the shingles that both sides hold."""
     shared = np.intersect1d(np.concatenate(left), np.concatenate(right))
@@ -157,13 +164,15 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     Texts are lower-cased (A-Z) and cut into words; the set of a text is its distinct ``width``-word shingles, or
     the whole sequence if it has fewer words. A text without words, or a missing one, has an empty set and links to
     nothing. Rows without an id are returned with no component and kept. Rows that repeat an id are returned once
-    each. Equal sets form a class; only its smallest id takes part in the search. Other columns are ignored.
+    each and belong together, whatever their texts link to. Equal sets form a class; only its smallest id takes part in the
+    search. Other columns are ignored.
 
     Search: in each bucket of a band every class is compared with the bucket's smallest id, one row for each
     class and band, so a group of any size costs as many comparisons as it has members. Confirmed links give components.
     What then shares a bucket but not a component is undecided. Undecided buckets that overlap form a group; its
     members' full sets are compared across components in tiles of 512 by 512, and only links that join components leave
-    a tile. That work, but no table, grows with the square of a group of which most members are near, yet below the threshold.
+    a tile. That work, and the sets sent to tiles, grow with the square of a group of which most members are near, yet below
+    the threshold.
     """
     source = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     sketches = stage(source.mapInArrow(
@@ -178,7 +187,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     stars = members.where("leader < doc_id").select(F.col("leader").alias("u"), F.col("doc_id").alias("v")).distinct()
     stars = stage(stars, "stars")
     full = _full_sets(source, stars.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct(), width)
-    links = _confirm(stars, full, percent)
+    links = _confirm(stars, full, percent).union(_same_row_ids(some, classes))
     parts = stage(components(links), "components")
 
     placed = (members.join(parts.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")

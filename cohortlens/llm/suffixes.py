@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 
 from cohortlens.llm import exchange
 from cohortlens.llm.anchors import covered, distinct
-from cohortlens.llm.words import U, mix, random_words, rolling, span_hashes, text_bytes, window_starts
+from cohortlens.llm.words import U, mix, random_words, rolling, running_hashes, text_bytes, window_starts
 
 GRAM = 64
 SLICE = 1 << 18
@@ -160,7 +160,7 @@ class Shard:
 
     def contents(self) -> np.ndarray:
         """64 bits of all bytes of each run, by running sums of a polynomial."""
-        return span_hashes(self.buf, self.first, self.first + self.length + self.width - 1, 21)
+        return running_hashes(self.buf, self.first, self.first + self.length + self.width - 1, 21)
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The distinct (key, content) of the runs, sorted, with the several-runs bit in the content's lowest bit, and each run's row."""

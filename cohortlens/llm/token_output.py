@@ -39,20 +39,21 @@ class Encoder:
 
     The pre-tokenizer never joins characters across the start of a blank that follows other text, so chunks between
     blanks encode alone as they do in place, and most repeat. Texts with two blanks in a row or other white space than
-    blanks and line ends do not allow that cut and are encoded whole.
+    blanks and line ends do not allow that cut and are encoded whole, as are texts that hold a token added to the vocabulary,
+    which the tokenizer takes before it cuts anything.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"    # a task has one core
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True       # their strings in a text are ordinary text
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.known: dict[str, bytes] = {}
         self.blank_first = np.array([(self.tokenizer.id_to_token(i) or "").startswith("\u0120")
                                      for i in range(self.tokenizer.get_vocab_size())])
         import re
-        self.other_space = re.compile(r"  |[^\S \n]")
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.uncut = re.compile("|".join([r"  |[^\S \n]", *added]))
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         code = "H" if self.dtype.itemsize == 2 else "I"
@@ -72,7 +73,7 @@ class Encoder:
         return [data[a:z] for a, z in zip(at, [*at[1:], len(data)])]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        whole = {i for i, t in enumerate(texts) if self.other_space.search(t)}
+        whole = {i for i, t in enumerate(texts) if self.uncut.search(t)}
         # A chunk after the first keeps its blank, so the two kinds cannot be mistaken for each other.
         cut = [None if i in whole else t.split(" ") for i, t in enumerate(texts)]
         known, fresh = self.known, {}
@@ -290,7 +291,7 @@ def read_back(spark: SparkSession, folder: str, parts: int) -> DataFrame:
     document's place; of rows with the same key it is true for the first, and false for rows without a key.
     """
     rows = checksums(spark, folder)
-    found = look_up(spark, folder, rows.select("doc_id").distinct(), parts)
+    found = look_up(spark, folder, _entries(spark, folder).select("doc_id").distinct(), parts)
     checked = rows.join(found.select("doc_id", "shard", "offset", F.col("length").alias("n_tokens"), F.lit(True).alias("indexed")),
                         ["doc_id", "shard", "offset", "n_tokens"], "left")
     shards = spark.read.parquet(f"{folder}/shards").select("shard", "before")

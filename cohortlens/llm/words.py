@@ -5,7 +5,7 @@ white-space bytes (0x09-0x0D and 0x20), so a word never cuts a character.
 """
 
 from collections.abc import Iterator
-from functools import cache
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +17,8 @@ BASE = U(0x9E3779B97F4A7C15 | 1)
 BASE_INVERSE = U(pow(int(BASE), -1, 1 << 64))
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
+LANE_BYTES = 128          # longer spans are hashed one by one
+LANE_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], U)
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32        # A-Z only
 
@@ -36,11 +38,6 @@ def random_words(n: int, seed: int) -> np.ndarray:
     return mix(mix(np.arange(1, n + 1, dtype=U) * U(0x9E3779B97F4A7C15) + U(seed)) + U(seed))
 
 
-@cache
-def byte_codes(seed: int) -> np.ndarray:
-    return random_words(256, seed)
-
-
 class Powers:
     """Powers of the base and of its inverse modulo 2**64, grown as longer slices come."""
     up = down = np.ones(1, U)
@@ -92,10 +89,37 @@ def word_spans(buf: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def span_hashes(buf: np.ndarray, first: np.ndarray, last: np.ndarray, seed: int = 1) -> np.ndarray:
-    """A 64-bit hash of the bytes of each span: a polynomial from running sums, shifted to the span's start."""
+    """A 64-bit hash of the bytes of each span: eight bytes at a time, mixed in between; longer spans by BLAKE2.
+
+    Spans of up to eight bytes and one length never collide. Two seeds give independent halves of a 128-bit hash.
+    """
+    padded = np.concatenate([buf, np.zeros(8, np.uint8)])
+    lanes = np.ndarray(len(buf) + 1, "<u8", padded, strides=(1,))      # the eight bytes from each place
+    size = last - first
+    out = mix(size.astype(U) * U(0x9E3779B97F4A7C15) + mix(np.array([seed], U)))
+    at = np.flatnonzero(size > 0)
+    for done in range(0, LANE_BYTES, 8):
+        left = size[at] - done
+        lane = lanes[first[at] + done] & LANE_MASKS[np.minimum(left, 8)]
+        out[at] = mix(out[at] ^ lane) * U(0xD6E8FEB86659FD93)
+        at = at[left > 8]
+        if not len(at):
+            return mix(out)
+    salt = seed.to_bytes(8, "little")
+    for i in at.tolist():
+        digest = blake2b(buf[first[i]:last[i]].tobytes(), digest_size=8, salt=salt).digest()
+        out[i] = int.from_bytes(digest, "little")
+    return mix(out)
+
+
+def running_hashes(buf: np.ndarray, first: np.ndarray, last: np.ndarray, seed: int = 1) -> np.ndarray:
+    """A 64-bit hash of overlapping spans from running sums: a polynomial, shifted to the span's start.
+
+    Modulo 2**64 such a polynomial is blind to some repetitive spans of a thousand bytes and more; use ``span_hashes`` for words.
+    """
     up, down = Powers.upto(len(buf) + 1)
     sums = np.zeros(len(buf) + 1, U)
-    np.cumsum(byte_codes(seed)[buf] * up[:len(buf)], out=sums[1:])
+    np.cumsum(random_words(256, seed)[buf] * up[:len(buf)], out=sums[1:])
     return mix((sums[last] - sums[first]) * down[first] + (last - first).astype(U))
 
 

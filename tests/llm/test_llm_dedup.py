@@ -61,6 +61,32 @@ def test_near_duplicates_of_odd_rows(spark, corpus, odd_rows):
     assert near_dedup.near_duplicates(corpus([]), width=2).count() == 0
 
 
+def test_links_of_every_text_of_an_id(spark, corpus):
+    """An id before two texts joins what either links to, also across classes whose smallest ids differ."""
+    a, b, c = prose(31, 80), prose(32, 80), prose(33, 80)
+    rows = [(5, a), (5, b), (6, a + " x"), (7, b + " y"), (3, c), (5, c), (9, prose(34, 80))]
+    got = {(r.doc_id, r.component_id) for r in near_dedup.near_duplicates(corpus(rows), width=2).collect()}
+    _, find = near_brute(rows, 2, 80)
+    assert got == {(i, find(i)) for i, _ in rows} and (7, 3) in got and (9, 9) in got
+
+
+def alternating(n):
+    """Thue-Morse words of 2**n letters: polynomial hashes modulo 2**64 can't tell such a word from its complement."""
+    word = "a"
+    for _ in range(n):
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_long_repetitive_words_are_told_apart(spark, corpus):
+    one, other = alternating(10)
+    texts = corpus([(1, f"x {one}"), (2, f"x {other}")])
+    assert {r.component_id for r in near_dedup.near_duplicates(texts, width=2).collect()} == {1, 2}
+    head = prose(40, 34)
+    texts = corpus([(1, f"{head} {one}"), (2, f"{head} {other}")])
+    assert {r.n_removed for r in anchors.repeated_words(texts, window=35).collect()} == {0}
+
+
 def test_min_max_values_of_small_sets_band_alike(spark, corpus):
     rows = [(i, "a b c d e f") for i in range(5)] + [(9, "a b c d e f g")]
     got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(corpus(rows), width=2).collect()}
