@@ -467,7 +467,7 @@ def trimmed(df: DataFrame) -> DataFrame:
 
 
 @query("s1_read_by_name", """SELECT replace(s_name, '#', '') AS "Sample", CASE WHEN s_nationkey <> 7 THEN s_acctbal END AS "pcMapped",
-  CASE WHEN s_nationkey < 12 THEN CAST(s_nationkey AS VARCHAR) END AS extra FROM supplier""")
+  CASE WHEN s_nationkey < 12 THEN CAST(s_nationkey AS DOUBLE) END AS extra FROM supplier""")
 def s1_read_by_name(spark, sf):
     """Suppliers written as CSV in two column orders, with null tokens and comments, and read by name."""
     path = fresh_path(spark, "csv")
