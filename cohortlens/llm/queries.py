@@ -2,7 +2,9 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortlens.llm import anchors, backoff, decontaminate, fingerprints, licences, mixing, near_dedup, quality, suffixes, token_output
+from cohortlens.llm import (
+    anchors, backoff, decontaminate, fingerprints, licences, mixing, near_dedup, quality, search, suffixes, token_output,
+)
 from cohortlens.plans.staging import fresh_path, stage
 
 QUERIES, SQL = {}, {}
@@ -128,3 +130,30 @@ def op9_lm_scores(spark: SparkSession, sf: str) -> DataFrame:
 def op10_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     """Occurrences of benchmark items in documents, exact or with few edits."""
     return decontaminate.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query
+def op13_lexical_search(spark: SparkSession, sf: str) -> DataFrame:
+    """The 20 documents that score highest for each benchmark item."""
+    return search.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+SQL["op13_lexical_search"] = r"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM documents),
+wanted AS (
+  SELECT item_id, t, count(*) AS q FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark) GROUP BY ALL),
+sizes AS (SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id),
+totals AS (SELECT count(*) AS docs, sum(n)::BIGINT AS len FROM sizes),
+tfs AS (SELECT doc_id, t, count(*) AS tf FROM words WHERE t IN (SELECT t FROM wanted) GROUP BY ALL),
+weights AS (SELECT t, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tfs, totals GROUP BY t, docs),
+impacts AS (
+  SELECT doc_id, t, w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // len))) AS impact
+  FROM tfs JOIN weights USING (t) JOIN sizes USING (doc_id), totals),
+scored AS (SELECT item_id, doc_id, sum(q * impact)::BIGINT AS score FROM wanted JOIN impacts USING (t) GROUP BY ALL HAVING sum(q * impact) > 0)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score FROM scored
+QUALIFY rank <= 20
+"""

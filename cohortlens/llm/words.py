@@ -75,9 +75,9 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[starts[0]:starts[-1]], starts - starts[0]
 
 
-def word_spans(buf: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of each word, and the index of the first word of each text (one more at the end)."""
-    inside = ~SPACE[buf]
+def word_spans(buf: np.ndarray, starts: np.ndarray, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of each run of bytes other than ``space``, and the index of the first one of each text (one more at the end)."""
+    inside = ~space[buf]
     edge = np.zeros(len(buf) + 1, bool)
     edge[starts] = True
     begins = inside.copy()
