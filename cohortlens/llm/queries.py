@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortlens.llm import (
-    anchors, backoff, decontaminate, fingerprints, licences, mixing, near_dedup, quality, search, suffixes, token_output,
+    anchors, backoff, decontaminate, fingerprints, licences, mixing, near_dedup, negatives, quality, search, suffixes, token_output,
 )
 from cohortlens.plans.staging import fresh_path, stage
 
@@ -157,3 +157,33 @@ scored AS (SELECT item_id, doc_id, sum(q * impact)::BIGINT AS score FROM wanted
 SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score FROM scored
 QUALIFY rank <= 20
 """
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    """Hard negatives of every hundredth vector: rows of other labels that score just below its positives."""
+    x = F.col("embedding")
+    finite = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))))
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf, "embeddings").where(finite).select(
+        "vec_id", moved.alias("label"), F.transform(x, lambda c: F.floor(c.cast("double") * 256)).alias("vector"))
+    return negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
+SQL["op12_hard_negatives"] = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, a.label AS mine, v.vec_id, v.label, list_inner_product(a.q, v.q)::BIGINT AS score
+  FROM v a, v WHERE a.vec_id % 100 = 0 AND v.vec_id <> a.vec_id),
+p AS (
+  SELECT * FROM s WHERE label = mine QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id,
+       row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank,
+       s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON p.anchor_id = s.anchor_id AND s.label <> s.mine AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score
+QUALIFY rank <= 5
+"""
