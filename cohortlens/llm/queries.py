@@ -3,7 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortlens.llm import (
-    anchors, backoff, decontaminate, fingerprints, licences, mixing, near_dedup, negatives, quality, search, suffixes, token_output,
+    anchors, backoff, decontaminate, fingerprints, licences, mixing, near_dedup, negatives, personal, personal_examples,
+    quality, search, suffixes, token_output,
 )
 from cohortlens.plans.staging import fresh_path, stage
 
@@ -187,3 +188,16 @@ SELECT p.anchor_id, p.vec_id AS positive_id,
 FROM p JOIN s ON p.anchor_id = s.anchor_id AND s.label <> s.mine AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score
 QUALIFY rank <= 5
 """
+
+
+@query
+def op11_personal_data(spark: SparkSession, sf: str) -> DataFrame:
+    """Personal data in every document: matches of fixed patterns, and what the tagger adds."""
+    labelled = spark.createDataFrame(personal_examples.examples(), "text string, spans string")
+    found = personal.personal_data(table(spark, sf, "documents"), personal.train(labelled))
+    base = F.filter("spans", lambda s: s.base)
+    count = lambda kind: F.size(F.filter("spans", lambda s: s.base & (s.kind == kind))).cast("bigint")
+    return found.select(
+        "doc_id", *[count(kind).alias(f"n_{kind}") for kind in personal.KINDS],
+        F.sha2(personal.as_string(base).cast("binary"), 256).alias("base_sha256"), personal.as_string(F.col("spans")).alias("spans"),
+        F.size(F.filter("spans", lambda s: ~s.base)).cast("bigint").alias("n_added"))
