@@ -52,8 +52,8 @@ class Encoder:
         self.blank_first = np.array([(self.tokenizer.id_to_token(i) or "").startswith("\u0120")
                                      for i in range(self.tokenizer.get_vocab_size())])
         import re
-        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.uncut = re.compile("|".join([r"  |[^\S \n]", *added]))
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.other_space = re.compile(r"[^\S \n]")
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         code = "H" if self.dtype.itemsize == 2 else "I"
@@ -72,8 +72,11 @@ class Encoder:
         at = (starts * size).tolist()
         return [data[a:z] for a, z in zip(at, [*at[1:], len(data)])]
 
+    def uncut(self, text: str) -> bool:
+        return "  " in text or any(a in text for a in self.added) or bool(self.other_space.search(text))
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        whole = {i for i, t in enumerate(texts) if self.uncut.search(t)}
+        whole = {i for i, t in enumerate(texts) if self.uncut(t)}
         # A chunk after the first keeps its blank, so the two kinds cannot be mistaken for each other.
         cut = [None if i in whole else t.split(" ") for i, t in enumerate(texts)]
         known, fresh = self.known, {}
