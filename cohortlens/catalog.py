@@ -682,6 +682,39 @@ def g5_mutant_relabel(spark, sf):
     return distances.relabel(mutant_distances(spark, sf))
 
 
+# A clonal cohort: one sequence per part, the common genome with six sites of the part's clade and up to four of its own changed.
+CLONAL_NEAR, CLONAL_SITES, CLADES = 4, 960, 25
+CL = f"""ge AS (SELECT s * 32 + q AS p, md5('genome-' || s)[q + 1] AS h FROM range({CLONAL_SITES // 32}) r(s), range(32) t(q)),
+  cl AS (SELECT 'AF-' || {number_text('p_partkey')} || '_consensus' AS id, string_agg(translate(h, '0123456789abcdef',
+    CASE WHEN list_contains(own, p) THEN 'CGTACGTACGTACGTA' ELSE 'ACGTACGTACGTACGT' END), '' ORDER BY p) AS seq
+  FROM (SELECT p_partkey, list_concat(list_transform(range(6), lambda j: (p_partkey % {CLADES} * 37 + j * 101) % {CLONAL_SITES}),
+    list_transform(range(p_partkey // {CLADES} % 5), lambda j: (p_partkey * 131 + j * 211) % {CLONAL_SITES})) AS own FROM part), ge GROUP BY p_partkey)"""
+
+
+def clonal_alignment(spark, sf) -> DataFrame:
+    """(id, order, snp_seq): the sites of a cohort of which all members are near the same genome."""
+    genome = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(CLONAL_SITES // 32 - 1)), lambda s: F.md5(F.concat(F.lit("genome-"), s.cast("string")))), "")
+    part = F.col("p_partkey")
+    clade = F.transform(F.sequence(F.lit(0), F.lit(5)), lambda j: (part % CLADES * 37 + j * 101) % CLONAL_SITES)
+    changes = F.floor(part / CLADES) % 5
+    private = F.when(changes > 0, F.transform(F.sequence(F.lit(0), F.greatest(changes - 1, F.lit(0))), lambda j: (part * 131 + j * 211) % CLONAL_SITES))
+    rows = table(spark, sf, "part").select("p_partkey", F.concat(clade, F.coalesce(private, F.array().cast("array<bigint>"))).alias("own"),
+                                           F.split(genome, "").alias("genome"))
+    digits = "0123456789abcdef"
+    base = lambda h, p: F.when(F.array_contains("own", p.cast("bigint")), F.translate(h, digits, "CGTACGTACGTACGTA")).otherwise(
+        F.translate(h, digits, "ACGTACGTACGTACGT"))
+    name = F.concat(F.lit("AF-"), number_of("p_partkey"), F.lit("_consensus"))
+    seqs = rows.select(name.alias("id"), F.array_join(F.transform("genome", base), "").alias("seq"), F.struct("p_partkey").alias("_ord"))
+    return sites.snp_alignment(seqs, stage(sites.snp_sites(seqs), "sites"))
+
+
+@query("g3_near_clonal", f"""WITH {CL}, pr AS (SELECT a.id AS i, b.id AS j, CAST(hamming(a.seq, b.seq) AS BIGINT) AS dist
+  FROM cl a, cl b) SELECT * FROM pr WHERE dist <= {CLONAL_NEAR}""")
+def g3_near_clonal(spark, sf):
+    """Near pairs of a cohort of low diversity, where bands of sites are shared by nearly all sequences."""
+    return distances.snp_distances(clonal_alignment(spark, sf), CLONAL_NEAR)
+
+
 # Sequences long enough for several pieces: hashes of the order's id turned into bases.
 LONG_WIDTH = 9_600
 LQ = f"""lq AS (SELECT 'AF-' || {number_text('s_suppkey')} || '_consensus' AS id, s_suppkey,
