@@ -39,6 +39,7 @@ UNBOUNDED_CLASSES = ["MicPin", "Microti", "Pinnipedii", "bTB", "nonbTB"]
 
 KEY = "Submission"
 ORDER = "_ord"
+EXTRA = "_extra"     # columns beyond the known ones, by name
 
 ORDER_TYPE = T.StructType([
     T.StructField("run", T.LongType()),      # which ingest wrote the row
@@ -53,7 +54,7 @@ def column_type(name: str) -> T.DataType:
 
 
 SAMPLES = T.StructType([T.StructField(c, column_type(c)) for c in SAMPLE_COLUMNS])
-STORED_SAMPLES = T.StructType([*SAMPLES.fields, T.StructField(ORDER, ORDER_TYPE)])
+STORED_SAMPLES = T.StructType([*SAMPLES.fields, T.StructField(EXTRA, T.MapType(T.StringType(), T.StringType())), T.StructField(ORDER, ORDER_TYPE)])
 
 
 class ColumnTypeError(TypeError):

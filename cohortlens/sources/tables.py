@@ -1,24 +1,29 @@
 """CSV tables read by header name, whatever the column order of each file and however files are split.
 
-A file's header is the first line of its first split, marked while that split is scanned. Files are cut at line ends
-as long as no line of theirs has an odd number of quotes; the others may hold line breaks inside quotes, and
-are read by one task each, record by record. Which way a file goes depends on its contents alone.
+Files are scanned once: each line is parsed into its fields and written, in a long form in which a row holds its file's names beside its own
+values. Headers, layouts, widths and the kinds of unknown columns all come from that. A column is picked from the long form only
+where it is selected, so tables of very many names cost what is read of them.
+
+A file's header is the first line of its first split. Files are cut at line ends as long as no line of theirs has an odd number of quotes;
+the others may hold line breaks inside quotes, and are read by one task each, record by record. Which way a file goes depends on its
+contents alone.
 """
 
+import csv
+import re
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from cohortlens.functions import null_tokens_to_null, number, submission_number
-from cohortlens.model import ORDER, SAMPLE_COLUMNS, SAMPLES, STORED_SAMPLES
+from cohortlens.model import EXTRA, ORDER, SAMPLE_COLUMNS, SAMPLES, STORED_SAMPLES
 from cohortlens.plans.sizing import lookup_join
 from cohortlens.plans.staging import stage
 
-END = "\x01"      # stands behind the last field of a line, so that fields can be counted
-LINES = "line string, path string, block bigint, row bigint, first boolean"
+PARSED = "path string, block bigint, row bigint, first boolean, broken boolean, fields array<string>"
+LONGEST_FIELD = 2**31 - 1
+BEFORE_COMMENT = re.compile(r'(?:[^"#]++|"(?:[^"]++|"")*+"|")*+')     # up to the first # that is not inside double quotes
 
 
 def file_order(run: int | Column = 0) -> Column:
@@ -29,32 +34,32 @@ def file_order(run: int | Column = 0) -> Column:
                     F.monotonically_increasing_id().alias("row"))
 
 
-def _without_comment(line: Column) -> Column:
-    """Cut a line at the first # that is not inside double quotes."""
-    before = F.regexp_extract(line, r'^((?:[^"#]++|"(?:[^"]++|"")*+"|")*+)', 1)
-    return F.when(line.contains("#"), before).otherwise(line)
+def _fields(record: str) -> list[str]:
+    return next(csv.reader([record])) if '"' in record else record.split(",")
+
 
+def _rows(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.list_(pa.string())]
+    columns = list(zip(*rows)) or [()] * len(kinds)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["path", "block", "row", "first", "broken", "fields"])
 
-def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Number the lines of each split and mark the first line of each file; a task reads its splits one after another."""
+
+def _lines(batches: Iterator[pa.RecordBatch], comment: bool) -> Iterator[pa.RecordBatch]:
+    """Parse the lines of each split and number them; a task reads its splits one after another. Blank lines do not count."""
+    csv.field_size_limit(LONGEST_FIELD)
     path, block, row = None, None, 0
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        paths, blocks = batch.column("path"), batch.column("block").to_numpy()
-        new = np.ones(batch.num_rows, bool)
-        new[1:] = (pc.not_equal(paths[1:], paths[:-1]).to_numpy(zero_copy_only=False)) | (blocks[1:] != blocks[:-1])
-        new[0] = paths[0].as_py() != path or blocks[0] != block
-        at = np.flatnonzero(new)
-        start = np.zeros(batch.num_rows, np.int64)
-        start[at] = at
-        rows = np.arange(batch.num_rows) - np.maximum.accumulate(start)
-        until = at[0] if len(at) else batch.num_rows
-        rows[:until] += row
-        path, block, row = paths[-1].as_py(), blocks[-1], int(rows[-1]) + 1
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("line"), paths, pa.array(blocks), pa.array(rows), pa.array(new & (blocks == 0))],
-            ["line", "path", "block", "row", "first"])
+        out = []
+        for line, *place in zip(*(batch.column(c).to_pylist() for c in ("value", "path", "block"))):
+            line = line.removeprefix("\ufeff")
+            broken = line.count('"') % 2 == 1
+            if comment and "#" in line:
+                line = BEFORE_COMMENT.match(line).group()
+            if broken or line.strip(" "):
+                row = row + 1 if place == [path, block] else 0
+                path, block = place
+                out.append((path, block, row, block == 0 and row == 0, broken, None if broken else _fields(line)))
+        yield _rows(out)
 
 
 def _records(content: str, comment: bool) -> Iterator[str]:
@@ -62,14 +67,11 @@ def _records(content: str, comment: bool) -> Iterator[str]:
     record, quoted, lines = "", False, content.split("\n")
     for n, line in enumerate(lines, 1):
         line = line.removesuffix("\r") if not quoted else line
-        kept = len(line)
-        for i, c in enumerate(line) if '"' in line or (comment and "#" in line) else ():
-            if c == '"':
-                quoted = not quoted
-            elif comment and c == "#" and not quoted:
-                kept = i
-                break
-        record += line[:kept]
+        if comment and "#" in line:
+            before = BEFORE_COMMENT.match('"' + line if quoted else line).group()
+            line = before[1:] if quoted else before
+        quoted ^= line.count('"') % 2 == 1
+        record += line
         if quoted:
             record += "\n"
             if n == len(lines):
@@ -81,130 +83,123 @@ def _records(content: str, comment: bool) -> Iterator[str]:
 
 
 def _whole(batches: Iterator[pa.RecordBatch], comment: bool) -> Iterator[pa.RecordBatch]:
+    csv.field_size_limit(LONGEST_FIELD)
     for batch in batches:
         for path, content in zip(batch.column("path").to_pylist(), batch.column("value").to_pylist()):
             try:
-                records = list(_records(content.removeprefix("\ufeff"), comment))
+                yield _rows([(path, 0, n, n == 0, False, _fields(r)) for n, r in enumerate(_records(content.removeprefix("\ufeff"), comment))])
             except ValueError as error:
                 raise ValueError(f"{path}: {error}") from None
-            n = len(records)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(records, pa.string()), pa.array([path] * n, pa.string()), pa.array([0] * n, pa.int64()),
-                 pa.array(range(n), pa.int64()), pa.array([i == 0 for i in range(n)], pa.bool_())],
-                ["line", "path", "block", "row", "first"])
 
 
-def _lines(spark: SparkSession, paths: list[str] | str, comment: bool) -> DataFrame:
-    """(line, path, block, row, first): the records of all files, blank ones and comments left out."""
+def _parsed(spark: SparkSession, paths: list[str] | str, comment: bool) -> DataFrame:
+    """The records of all files, written out; blank ones and comments are left out."""
     path, block = F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block")
-    text = spark.read.text(paths).select(F.regexp_replace("value", "^\\uFEFF", "").alias("value"), path, block)
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    broken = stage(text.where(quotes % 2 == 1).select("path").distinct(), "multi-line-files")
-    line = _without_comment(F.col("value")) if comment else F.col("value")
-    some = not broken.isEmpty()
-    plain = lookup_join(text, broken, "path", "left_anti") if some else text
-    lines = (plain.select(line.alias("line"), "path", "block").where(F.trim("line") != "")
-             .mapInArrow(_marked, LINES))
-    if not some:
+    lines = stage(spark.read.text(paths).select("value", path, block).mapInArrow(lambda b: _lines(b, comment), PARSED), "csv-lines")
+    broken = lines.where("broken").select("path").distinct()
+    if lines.where("broken").isEmpty():
         return lines
+    broken = stage(broken, "multi-line-files")
     whole = lookup_join(spark.read.text(paths, wholetext=True).select("value", path), broken, "path", "left_semi")
-    return lines.unionByName(whole.mapInArrow(lambda b: _whole(b, comment), LINES))
+    whole = stage(whole.mapInArrow(lambda b: _whole(b, comment), PARSED), "csv-records")
+    return lookup_join(lines, broken, "path", "left_anti").unionByName(whole)
+
 
+def _header_names(fields: Column) -> Column:
+    """Trimmed names; one without a name is called by its position, and repeated ones are numbered."""
+    named = F.transform(fields, lambda f, i: F.coalesce(F.nullif(F.trim(f), F.lit("")), F.concat(F.lit("Unnamed: "), i.cast("string"))))
+    earlier = lambda n, i: F.size(F.filter(F.slice(named, 1, i), lambda x: x == n))
+    return F.transform(named, lambda n, i: F.when((i > 0) & (earlier(n, i) > 0), F.concat(n, F.lit("."), earlier(n, i).cast("string"))).otherwise(n))
 
-def _fields(line: Column, width: int) -> Column:
-    """The fields of a CSV line and the end mark as an array of strings, then NULLs."""
-    parsed = F.from_csv(F.concat(line, F.lit("," + END)), F.lit(", ".join(f"c{i} string" for i in range(width + 1))),
-                        {"escape": '"', "mode": "PERMISSIVE", "multiLine": "true", "maxCharsPerColumn": "-1"})
-    return F.array(*[parsed.getField(f"c{i}") for i in range(width + 1)])
+
+class LongTable:
+    """Rows with their own file's names and their values, and all names in order of appearance; only these reach the driver."""
+
+    def __init__(self, spark: SparkSession, paths: list[str] | str, comment: bool = False, run: int = 0):
+        parsed = _parsed(spark, paths, comment)
+        headers = parsed.where("first").select("path", _header_names(F.col("fields")).alias("names"))
+        layouts = headers.groupBy("names").agg(F.min("path").alias("path")).orderBy("path").collect()
+        self.names = list(dict.fromkeys(name for r in layouts for name in r.names))
+        self.layout = layouts[0].names if len(layouts) == 1 else None
+        rows = parsed.where("NOT first")
+        if self.layout is not None:      # one layout for all files needs no join
+            rows = rows.withColumn("names", F.lit(self.layout))
+        else:
+            rows = lookup_join(rows, headers, "path")
+        where = F.concat(F.lit("line "), (F.col("row") + 1).cast("string"), F.lit(" of the part of "), "path",
+                         F.lit(" that starts at byte "), F.col("block").cast("string"), F.lit(" has more fields than its header"))
+        fields = F.when(F.size("fields") <= F.size("names"), F.col("fields")).otherwise(F.raise_error(where).cast("array<string>"))
+        order = F.struct(F.lit(run).cast("bigint").alias("run"), "path", "block", "row").alias(ORDER)
+        self.rows = rows.select("names", fields.alias("fields"), order)
+
+    def text(self, name: str) -> Column:
+        """The column of a name: NULL where a row's file lacks it, where the row ends before it, and for null tokens."""
+        if name not in self.names:
+            return F.lit(None).cast("string")
+        if self.layout is not None:
+            return null_tokens_to_null(F.get("fields", F.lit(self.layout.index(name))))
+        at = F.array_position("names", F.lit(name)).cast("int")
+        return null_tokens_to_null(F.when(at > 0, F.get("fields", at - 1)))
+
+    def values(self) -> Column:
+        """The (name, value) pairs of a row, without null tokens."""
+        pairs = F.zip_with("names", "fields", lambda n, v: F.struct(n.alias("name"), null_tokens_to_null(v).alias("value")))
+        return F.filter(pairs, lambda p: p["value"].isNotNull())
+
+    def known(self, with_key: bool, permissive: bool) -> list[Column]:
+        """The columns of the samples table, typed; absent ones are NULL."""
+        out = []
+        for name in SAMPLE_COLUMNS if with_key else SAMPLE_COLUMNS[:-1]:
+            text = isinstance(SAMPLES[name].dataType, T.StringType)
+            out.append((self.text(name) if text else number(self.text(name), permissive)).alias(name))
+        return out
+
+    def numeric(self, names: list[str]) -> set[str]:
+        """Which of the names have values, all of them numbers: one aggregation over (name, value) rows."""
+        if not names:
+            return set()
+        values = self.rows.select(F.explode(self.values()).alias("v")).select("v.*")
+        if len(names) < len(self.names):
+            values = values.where(~F.col("name").isin([n for n in self.names if n not in names]))
+        counted = values.groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.count(number(F.col("value"), True)).alias("numbers"))
+        return {r.name for r in counted.where("n = numbers").collect()}
 
 
 def read_by_name(spark: SparkSession, paths: list[str] | str, comment: bool = False,
                  run: int = 0) -> DataFrame:
     """All columns of all files as strings, matched by trimmed header name, null tokens as NULL.
 
-    Every line is parsed once into an array of fields and then picked by the positions that its own file's header
-    gives, so files of any column order share one scan. Only distinct column names reach the driver. A line
-    with more fields than its header, or with a quote that is not closed, fails with its file; one with
-    fewer fields has NULLs at the end. A column without a name is called by its position.
+    A line with more fields than its header, or with a quote that is not closed, fails with its file; one with
+    fewer fields has NULLs at the end. A column without a name is called by its position, a repeated name is numbered.
     """
-    lines = _lines(spark, paths, comment)
-    heads = lines.where("first").select("path", "line")
-    commas = F.length("line") - F.length(F.replace("line", F.lit(","), F.lit("")))
-    width = heads.agg(F.max(commas)).first()[0]
-    if width is None:
-        return spark.createDataFrame([], T.StructType([STORED_SAMPLES[ORDER]]))
-    width += 1
-    fields = _fields(F.col("line"), width)
-    headers = stage(heads.select("path", fields.alias("_f"))
-                    .withColumn("_n", F.array_position("_f", F.lit(END)).cast("int") - 1)
-                    .select("path", "_n", F.transform(
-                        F.slice("_f", 1, F.greatest("_n", F.lit(0))),
-                        lambda f, i: F.coalesce(F.nullif(F.trim(f), F.lit("")), F.concat(F.lit("Unnamed: "), i.cast("string")))).alias("_names")),
-                    "headers")
-    if bad := headers.where("_n < 0").select("path").first():
-        raise ValueError(f"the header of {bad.path} cannot be read: a quote is not closed")
-    names = [r.name for r in headers.select("path", F.posexplode("_names").alias("at", "name"))
-             .groupBy("name").agg(F.min(F.struct("path", "at")).alias("first")).orderBy("first").toLocalIterator()]
-    at = F.transform(F.array(*[F.lit(n) for n in names]), lambda name: F.array_position("_names", name).cast("int"))
-    layouts = stage(headers.select("path", "_n", at.alias("_at")), "layouts")
-    rows = lines.where("NOT first").withColumn("_f", _fields(F.col("line"), width))
-    found = layouts.select("_n", "_at").distinct().take(2)
-    if len(found) == 1:      # one layout for all files needs no join
-        rows = rows.withColumns({"_n": F.lit(found[0]["_n"]), "_at": F.lit(found[0]["_at"])})
-    else:
-        rows = lookup_join(rows, layouts, "path")
-    count = F.array_position("_f", F.lit(END)) - 1
-    where = F.concat(F.lit("line "), (F.col("row") + 1).cast("string"), F.lit(" of the part of "), "path",
-                     F.lit(" that starts at byte "), F.col("block").cast("string"))
-    checked = F.when((count >= 0) & (count <= F.col("_n")), F.col("_f")).otherwise(F.raise_error(
-        F.concat(where, F.lit(" has more fields than its header, or a quote that is not closed"))))
-    rows = rows.withColumn("_f", checked)
-    count = F.array_position("_f", F.lit(END))
-    values = [null_tokens_to_null(F.when((F.col("_at")[i] > 0) & (F.col("_at")[i] < count), F.get("_f", F.col("_at")[i] - 1)))
-              .alias(name) for i, name in enumerate(names)]
-    order = F.struct(F.lit(run).cast("bigint").alias("run"), "path", "block", "row").alias(ORDER)
-    return rows.select(*values, order)
+    table = LongTable(spark, paths, comment, run)
+    return table.rows.select(*[table.text(name).alias(name) for name in table.names], ORDER)
 
 
 def empty_samples(spark: SparkSession) -> DataFrame:
     """The samples table before its first batch."""
-    return spark.createDataFrame([], STORED_SAMPLES)
-
-
-def typed_samples(raw: DataFrame, with_key: bool = True, permissive: bool = False) -> DataFrame:
-    """Cast the known columns by name, add the absent ones as NULL and keep unknown columns."""
-    known = SAMPLE_COLUMNS if with_key else SAMPLE_COLUMNS[:-1]
-    columns = []
-    for name in known:
-        if name not in raw.columns:
-            columns.append(F.lit(None).cast(SAMPLES[name].dataType).alias(name))
-        elif isinstance(SAMPLES[name].dataType, T.StringType):
-            columns.append(F.col(name))
-        else:
-            columns.append(number(F.col(name), permissive).alias(name))
-    extra = [c for c in raw.columns if c not in known and c != ORDER]
-    return raw.select(*columns, *[F.col(f"`{c}`") for c in extra], ORDER)
-
-
-def typed_extras(df: DataFrame) -> DataFrame:
-    """Columns beyond the known ones as numbers where every value is one; a scan tells, if there are such columns."""
-    extra = [c for c, kind in df.dtypes if c not in SAMPLE_COLUMNS and kind == "string"]
-    if not extra:
-        return df
-    seen = df.agg(*[F.coalesce(F.bool_and(number(F.col(f"`{c}`"), True).isNotNull() | F.col(f"`{c}`").isNull()), F.lit(False))
-                    & (F.count(f"`{c}`") > 0) for c in extra]).first()
-    return df.withColumns({c: number(F.col(f"`{c}`"), True) for c, numeric in zip(extra, seen) if numeric})
+    return spark.createDataFrame([], T.StructType([*SAMPLES.fields, STORED_SAMPLES[ORDER]]))
 
 
 def read_samples(spark: SparkSession, paths: list[str] | str, permissive: bool = False) -> DataFrame:
-    """The samples table from CSV; ``#`` starts a comment anywhere in a line."""
-    return typed_extras(typed_samples(read_by_name(spark, paths, comment=True), True, permissive))
+    """The samples table from CSV; ``#`` starts a comment anywhere in a line.
 
-
-def read_batches(spark: SparkSession, paths: list[str] | str, permissive: bool = False,
-                 run: int = 0) -> DataFrame:
-    """Batch result files: as the samples table, without the submission key."""
-    return typed_samples(read_by_name(spark, paths, comment=True, run=run), False, permissive)
+    Columns beyond the known ones are numbers where every value is one, else text.
+    """
+    table = LongTable(spark, paths, comment=True)
+    extra = [n for n in table.names if n not in SAMPLE_COLUMNS]
+    numeric = table.numeric(extra)
+    others = [(number(table.text(n), True) if n in numeric else table.text(n)).alias(n) for n in extra]
+    return table.rows.select(*table.known(True, permissive), *others, ORDER)
+
+
+def read_batches(spark: SparkSession, paths: list[str] | str, permissive: bool = False, run: int = 0,
+                 with_key: bool = False) -> DataFrame:
+    """Batch result files as they are stored: the samples table, without the submission key unless the files have it, and the other
+    columns as one map from name to text."""
+    table = LongTable(spark, paths, comment=True, run=run)
+    others = F.filter(table.values(), lambda p: ~p["name"].isin(SAMPLE_COLUMNS))
+    return table.rows.select(*table.known(with_key, permissive), F.map_from_entries(others).alias(EXTRA), ORDER)
 
 
 def read_text_table(spark: SparkSession, path: str) -> DataFrame:

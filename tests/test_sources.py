@@ -1,8 +1,10 @@
 import json
+import shutil
 
 import pytest
 
 from cohortlens.model import SAMPLE_COLUMNS
+from cohortlens.operators.filters import apply_filter
 from cohortlens.sources import batches, fasta, sinks, specs, store, tables
 from cohortlens.streaming.ingest import ingest_stream
 
@@ -154,16 +156,16 @@ def split_bytes(spark):
 
 
 def test_headers_and_records_whatever_the_split(spark, tmp_path, split_bytes):
-    for i in range(12):
+    for i in range(4):
         head, line = ("k,v", "k{0}_{1},{1}") if i % 2 else ("v,k", "{1},k{0}_{1}")
-        write(tmp_path / "t" / f"f{i:02}.csv", "\n".join([head, *[line.format(i, j) for j in range(3)]]) + "\n")
+        write(tmp_path / "t" / f"f{i:02}.csv", "\n".join([head, *[line.format(i, j) for j in range(30)]]) + "\n")
     write(tmp_path / "t" / "g.csv", 'k,"a,b",v\nx,"1\n2",7\n"q""r",z,8\nk,"a,b",v\n')
     results = []
-    for size in ("128m", "100", "20", "7"):
+    for size in ("128m", "1000", "90"):
         split_bytes(size)
         df = tables.read_by_name(spark, str(tmp_path / "t"))
         results.append(sorted(((r.k, r.v, r["a,b"]) for r in df.collect()), key=repr))
-    assert len(results[0]) == 39 and all(r == results[0] for r in results)
+    assert len(results[0]) == 123 and all(r == results[0] for r in results)
     assert ("x", "7", "1\n2") in results[0] and ('q"r', "8", "z") in results[0] and ("k", "v", "a,b") in results[0]
 
 
@@ -242,13 +244,49 @@ def test_repeated_micro_batch_replaces_its_rows(spark, tmp_path, rows):
     paths = [r.path for r in batches.list_batches(spark, base_of(tmp_path)).collect()]
     store.append_ingest(batches.load_batches(spark, paths, 0), target, "run-0")
     for _ in range(2):
-        before = store.read_store(spark, target, without="stream-0")
-        run = store.next_run(before)
+        run = store.next_run(store.read_log(spark, target, without="stream-0"))
         store.append_ingest(batches.load_batches(spark, paths, run), target, "stream-0")
     table = store.read_store(spark, target)
     assert run == 1 and table.count() == 2 and table.columns == [*SAMPLE_COLUMNS, "_ord"]
 
 
+def test_repeated_header_names_are_numbered(spark, tmp_path):
+    path = write(tmp_path / "a.csv", "x,x,,y,x\n1,2,3,4,5\n")
+    assert in_order(tables.read_by_name(spark, path), "x", "`x.1`", "`Unnamed: 2`", "y", "`x.2`") == [("1", "2", "3", "4", "5")]
+
+
+def test_readers_see_logged_ingests_only(spark, tmp_path, rows):
+    """An ingest whose log entry was lost is not read until the log is repaired; a half-written one never counts."""
+    target = str(tmp_path / "store")
+    assert store.repair_log(spark, target) == [] and store.read_store(spark, target).count() == 0
+    for n, folder in enumerate(("01", "02")):
+        batch(tmp_path, folder)
+        path = str(tmp_path / "s3-csu-003" / "v3-2" / folder / "FinalOut.csv")
+        store.append_ingest(batches.load_batches(spark, [path], n), target, f"run-{n}-0")
+    (tmp_path / "store" / "ingest=run-9-0" / "_temporary").mkdir(parents=True)
+    assert store.repair_log(spark, target) == []
+    shutil.rmtree(tmp_path / "store-log" / "ingest=run-1-0")
+    assert rows(store.read_store(spark, target), "Submission") == [("AF-12-3456-01",)]
+    assert store.repair_log(spark, target) == ["run-1-0"] and store.repair_log(spark, target) == []
+    log = store.read_log(spark, target)
+    assert store.stored_rows(log) == store.read_store(spark, target).count() == 2 and store.next_run(log) == 2
+    assert rows(store.known_locations(log)) == [(f"s3://s3-csu-003/v3-2/{f}/",) for f in ("01", "02")]
+    shutil.rmtree(tmp_path / "store" / "ingest=run-1-0")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        store.read_store(spark, target)
+
+
+def test_added_columns_have_the_kind_of_all_their_values(spark, tmp_path, rows):
+    target = str(tmp_path / "store")
+    for n, (depth, note) in enumerate((("1.5", "x"), ("2", "7"))):
+        path = write(tmp_path / f"{n}" / "FinalOut.csv", f"Sample,depth,note,empty\nAF-12-3456-0{n},{depth},{note},NA\n")
+        store.append_ingest(batches.load_batches(spark, [path], n), target, f"run-{n}-0")
+    table = store.read_store(spark, target)
+    assert table.columns == [*SAMPLE_COLUMNS, "depth", "note", "_ord"]
+    assert dict(table.dtypes)["depth"] == "double" and dict(table.dtypes)["note"] == "string"
+    assert rows(apply_filter(table, {"depth": [1.6, 9]}, {}), "Submission", "depth", "note") == [("AF-12-3456-01", 2.0, "7")]
+
+
 def test_stream_rejects_unknown_identity(spark):
     with pytest.raises(ValueError):
         ingest_stream(spark, "a", "b", "c", "name")
