@@ -11,6 +11,7 @@ from cohortlens import functions as fn
 from cohortlens.model import DEFAULT_BUCKET, DEFAULT_CRITERIA, KEY, SAMPLE_COLUMNS
 from cohortlens.operators import consistency, dedup, distances, filters, report, sites, thresholds
 from cohortlens.plans.curation import consistify, curate, de_duplicate, sample_filter, save_metrics, update_samples
+from cohortlens.plans import incremental
 from cohortlens.plans.staging import fresh_path, stage
 from cohortlens.sources import batches, fasta, sinks, store, tables
 from cohortlens.streaming.ingest import ingest_stream
@@ -447,16 +448,18 @@ BATCH_SQL = """sub || '-x' AS "Sample", c_acctbal AS "pcMapped", oc AS "Outcome"
 BATCH_COLUMNS = ["Sample", "pcMapped", "Outcome", "group", "ResultLoc", "Submission"]
 
 
-def write_batches(spark, sf, files: int = 1, comments: bool = True) -> str:
-    """Batch result files in a bucket folder, two column orders, a comment in every second one."""
+def write_batches(spark, sf, files: int = 1, comments: bool = True, depth: bool = False) -> str:
+    """Batch result files in a bucket folder, two column orders, a comment in every second one, perhaps a column of their own."""
     root = fresh_path(spark, "buckets")
     rows = batch_rows(spark, sf)
+    added = [(F.col("c_nationkey") * 2.5).alias("depth")] if depth else []
+    rows = rows.select("*", *added)
     rows = rows.repartition("c_nationkey") if files == 1 else rows.repartition(files, F.xxhash64("Sample"))
     first = F.col("c_nationkey") < 12
     note = F.concat("ResultLoc", F.lit(" # checked" if comments else "")).alias("ResultLoc")
     target = f"{root}/{DEFAULT_BUCKET}/v3-2/FinalOut"
     (rows.where(first).write.partitionBy("c_nationkey").option("header", True).csv(target))
-    (rows.where(~first).select("c_nationkey", "group", "Outcome", "Sample", "pcMapped", note)
+    (rows.where(~first).select("c_nationkey", "group", "Outcome", "Sample", "pcMapped", note, *(["depth"] if depth else []))
      .withColumnRenamed("pcMapped", " pcMapped")
      .write.mode("append").partitionBy("c_nationkey").option("header", True).csv(target))
     return root
@@ -537,8 +540,10 @@ def s1_mixed_headers(spark, sf):
     note = F.concat(F.lit('"'), "o_orderpriority", F.lit("\n"), "o_orderstatus", F.lit('"'))
     line = F.concat_ws(",", F.col("o_orderkey").cast("string"), kind, note, F.col("o_custkey").cast("string"))
     head = F.concat(F.lit('Sample,extra,"note, quoted",matches,unused '), kind)
-    files = table(spark, sf, "orders").select(kind.alias("kind"), head.alias("head"), line.alias("line"))
-    (files.groupBy("kind").agg(F.concat_ws("\n", F.first("head"), F.array_join(F.collect_list("line"), "\n")).alias("value"))
+    rows = table(spark, sf, "orders").select(kind.alias("kind"), head.alias("head"), line.alias("line"))
+    heads = rows.select("kind", F.col("head").alias("value"), F.lit(0).alias("place")).distinct()
+    lines = rows.select("kind", F.col("line").alias("value"), F.lit(1).alias("place"))
+    (heads.unionByName(lines).repartition("kind").sortWithinPartitions("kind", "place").select("kind", "value")
      .write.partitionBy("kind").text(path))
     return tables.read_samples(spark, f"{path}/*").select("Sample", "matches", "note, quoted", "extra")
 
@@ -621,6 +626,26 @@ def g1_alignment(spark, sf):
     return alignment(spark, sf).select("id", "snp_seq")
 
 
+def sequence_batches(spark, sf) -> str:
+    """Two rounds of sequences, each read once, in a folder of masks and reduced rows."""
+    folder, seqs = fresh_path(spark, "masks"), sequences(spark, sf)
+    for n in range(2):
+        incremental.add_sequences(seqs.where(F.col("_ord.vec_id") % 5 > 2 if n else F.col("_ord.vec_id") % 5 <= 2), folder, f"round-{n}")
+    return folder
+
+
+@query("g1_incremental", f"WITH {ST} SELECT pos, alleles FROM st")
+def g1_incremental(spark, sf):
+    """Sites after two rounds of sequences, from the masks that the rounds left."""
+    return incremental.stored_sites(spark, sequence_batches(spark, sf))
+
+
+@query("g1_incremental_alignment", f"WITH {AL} SELECT id, snp_seq FROM al")
+def g1_incremental_alignment(spark, sf):
+    """All sequences reduced to the sites of both rounds, without reading a sequence again."""
+    return incremental.stored_alignment(spark, sequence_batches(spark, sf)).select("id", "snp_seq")
+
+
 @query("g2_snp_count", f"WITH {ST} SELECT count(*) AS number_of_snps FROM st")
 def g2_snp_count(spark, sf):
     return sites.snp_count(sites.snp_sites(sequences(spark, sf)))
@@ -775,6 +800,24 @@ def x1_update(spark, sf):
     return trimmed(stored).withColumn("total", F.lit(metrics["total_number_of_wgs_samples"]).cast("bigint"))
 
 
+@query("x1_update_csv", f"""WITH {BR}, wide AS (SELECT {BATCH_SQL}, CAST(c_nationkey * 2.5 AS DOUBLE) AS depth FROM customer JOIN br USING (c_custkey))
+  SELECT *, (SELECT count(*) FROM br) AS total FROM wide WHERE depth BETWEEN 5 AND 50""".replace("FROM customer JOIN br USING (c_custkey)",
+  "FROM (SELECT br.*, customer.c_nationkey FROM customer JOIN br USING (c_custkey))"))
+def x1_update_csv(spark, sf):
+    """An update that begins with a samples table kept as CSV, adds what it lacks, and writes it; filtered by an added number."""
+    root, target = write_batches(spark, sf, comments=False, depth=True), fresh_path(spark, "store")
+    old = batch_rows(spark, sf).where("c_nationkey < 9").select(
+        "Sample", "pcMapped", "Outcome", "group", "ResultLoc", fn.submission_number(F.col("Sample")).alias("Submission"),
+        (F.col("c_nationkey") * 2.5).alias("depth"))
+    path = fresh_path(spark, "samples-csv")
+    old.write.option("header", True).csv(path)
+    metrics, stored = update_samples(spark, target, f"{root}/{{bucket}}/", prefix="v3-2", samples_csv=path)
+    back = filters.range_filter(tables.read_samples(spark, path), {"depth": (5, 50)})
+    if back.count() != filters.range_filter(stored, {"depth": (5, 50)}).count():
+        raise ValueError("the table in the store and its CSV differ")
+    return back.select(*BATCH_COLUMNS, "depth").withColumn("total", F.lit(metrics["total_number_of_wgs_samples"]).cast("bigint"))
+
+
 BEST_TEXT = BEST.replace('sub AS', 'CAST(sub AS VARCHAR) AS')
 
 
@@ -787,6 +830,20 @@ def x2_de_duplicate(spark, sf):
     return back.withColumn("removed", F.lit(metrics["number_of_duplicate_WGS_submissions"]).cast("bigint"))
 
 
+@query("x2_incremental", f"""WITH {DD} SELECT {BEST_TEXT}, (SELECT count(*) FROM sm) - (SELECT count(*) FROM dd) AS removed FROM dd""")
+def x2_incremental(spark, sf):
+    """Best rows after three ingests, each taken into a bucketed table of survivors, with the number of rows that went."""
+    target, kept = fresh_path(spark, "store"), fresh_path(spark, "best")
+    order = F.struct(F.lit(0).cast("bigint").alias("run"), F.format_string("%03d-%012d-%012d", "_ord.l_linenumber", "_ord.l_partkey", "_ord.l_suppkey").alias("path"),
+                     F.unix_date(F.col("_ord.l_shipdate").cast("date")).cast("bigint").alias("block"), F.lit(0).cast("bigint").alias("row"))
+    rows = samples(spark, sf).withColumn("ResultLoc", F.col("group")).withColumn("_ord", order)
+    for n in range(3):       # lines are numbered within an order, so most keys come again
+        store.append_ingest(rows.where(F.pmod(F.xxhash64("_ord.path"), F.lit(3)) == n), target, f"run-{n}")
+        metrics = incremental.update_best(spark, target, kept, buckets=32)
+    back = best_columns(incremental.read_best(spark, target, kept))
+    return back.withColumn("removed", F.lit(metrics["number_of_duplicate_WGS_submissions"]).cast("bigint"))
+
+
 @query("x3_filter_by_file", f"""WITH {SM} SELECT {BEST_TEXT}, count(*) OVER () AS passed FROM sm WHERE oc = 'Pass'
   AND nc BETWEEN 20000 AND 50000 AND grp IN ('Brand#1', 'Brand#2', 'Brand#3')""")
 def x3_filter_by_file(spark, sf):
