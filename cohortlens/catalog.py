@@ -5,12 +5,16 @@ cattle table is the orders and the movement table the line items. Sequences are
 each number turned into a base.
 """
 
+import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cohortlens import functions as fn
 from cohortlens.model import DEFAULT_BUCKET, DEFAULT_CRITERIA, KEY, SAMPLE_COLUMNS
 from cohortlens.operators import consistency, dedup, distances, filters, report, sites, thresholds
-from cohortlens.plans.curation import consistify, curate, de_duplicate, sample_filter, save_metrics, update_samples
+from cohortlens.plans.curation import (
+    consistify, curate, de_duplicate, full_pipeline, phylo, production_pipeline, sample_filter, save_metrics, threshold_job, update_samples,
+)
 from cohortlens.plans import incremental
 from cohortlens.plans.staging import fresh_path, stage
 from cohortlens.sources import batches, fasta, sinks, store, tables
@@ -224,7 +228,7 @@ def c1_class_bounded(spark, sf):
 
 @query("c2_thresholds", f"WITH {DD}, {TH} SELECT clade, mx AS \"maxN\" FROM th")
 def c2_thresholds(spark, sf):
-    passing = filters.apply_filter(dedup.best_per_key(samples(spark, sf), DEFAULT_CRITERIA), {})
+    passing = filters.apply_filter(dedup.best_per_key(samples(spark, sf), DEFAULT_CRITERIA, check_values=False), {})
     return thresholds.derive_thresholds(passing)
 
 
@@ -599,14 +603,18 @@ def s10_read_consensus(spark, sf):
 
 
 def _write_consensus(seqs: DataFrame, bucket: str) -> None:
-    """One file for each sequence under v3-2/<folder>/consensus/, by Hadoop's file system from the driver."""
-    spark = seqs.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    system = path(bucket).getFileSystem(spark._jsc.hadoopConfiguration())
-    for row in seqs.toLocalIterator():
-        out = system.create(path(f"{bucket}/v3-2/{row.folder}/consensus/{row.id}.fas"))
-        out.write(bytearray(f">{row.id}\n{row.seq}\n".encode()))
-        out.close()
+    """One file for each sequence under v3-2/<folder>/consensus/, written by the tasks that hold the sequences."""
+    def write(batches):
+        local = bucket.startswith(("/", "file:"))
+        system, root = (pa.fs.LocalFileSystem(), "/" + bucket.removeprefix("file:").lstrip("/")) if local else pa.fs.FileSystem.from_uri(bucket)
+        for batch in batches:
+            for row in batch.to_pylist():
+                folder = f"{root}/v3-2/{row['folder']}/consensus"
+                system.create_dir(folder)
+                with system.open_output_stream(f"{folder}/{row['id']}.fas") as out:
+                    out.write(f">{row['id']}\n{row['seq']}\n".encode())
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["n"])
+    seqs.select("folder", "id", "seq").mapInArrow(write, "n long").agg(F.sum("n")).collect()
 
 
 # --- Sequences -------------------------------------------------------------------------------
@@ -818,6 +826,152 @@ def x1_update_csv(spark, sf):
     return back.select(*BATCH_COLUMNS, "depth").withColumn("total", F.lit(metrics["total_number_of_wgs_samples"]).cast("bigint"))
 
 
+# --- Whole pipelines: customers as samples, some sequenced twice, with consensus files, cattle, movements, bounds and exclusions --------
+
+PIPELINE_NEAR = 2
+PW = f"""wn AS (SELECT c_custkey, c_nationkey, c_acctbal, c_mktsegment, c_name, 'AF-' || {number_text('c_custkey')} AS sub,
+    translate(md5('n' || c_nationkey % 3), '0123456789abcdef', 'ACGTACGTACGTACGT')
+      || translate(lpad(bin(c_custkey % 16), 4, '0'), '01', 'AC') || translate(lpad(bin(c_custkey // 16 % 8), 3, '0'), '01', 'GT') AS seq FROM customer),
+  sm AS (SELECT sub, sub || '-x' AS sample, CASE WHEN c_acctbal > 0 THEN 'Pass' END AS oc, c_acctbal AS pm, 1000 + c_custkey % 500 AS nc, c_mktsegment AS grp, c_custkey AS ck FROM wn
+    UNION ALL SELECT sub, sub || '-y', CASE WHEN c_nationkey % 3 = 0 THEN 'Pass' ELSE 'Fail' END, 5000 - c_acctbal, 1000 + c_custkey % 500, c_mktsegment, c_custkey
+    FROM wn WHERE c_custkey % 4 = 0),
+  dd AS (SELECT * FROM sm QUALIFY row_number() OVER (PARTITION BY sub ORDER BY coalesce(oc = 'Pass', FALSE) DESC, pm DESC, sample) = 1),
+  th AS (SELECT c_mktsegment AS clade, 1000 + 90 * count(DISTINCT c_nationkey) % 400 + 60 AS mx FROM customer WHERE c_mktsegment <> 'HOUSEHOLD' GROUP BY 1),
+  ps AS (SELECT dd.* FROM dd JOIN th ON grp = clade WHERE oc = 'Pass' AND nc <= mx AND ck % 50 <> 3),
+  inc AS (SELECT * FROM ps WHERE ck % 5 <> 1 AND ck % 7 <> 2)"""
+PIPELINE_SQL = f"""WITH {PW}
+  SELECT 'cohort' AS part, sub AS a, sample AS b, grp AS c FROM inc
+  UNION ALL SELECT 'report', sub, CASE WHEN ck % 5 <> 1 THEN 'cow ' || c_nationkey WHEN ck % 7 <> 2 THEN c_name END,
+    concat_ws('|', oc, CASE WHEN nc <= mx THEN 'Pass' ELSE 'Fail' END, CAST(ck % 50 = 3 AS VARCHAR), 'true', CAST(ck % 5 <> 1 AS VARCHAR), CAST(ck % 7 <> 2 AS VARCHAR))
+    FROM dd LEFT JOIN th ON grp = clade JOIN wn USING (sub) WHERE sub NOT IN (SELECT sub FROM inc)
+  UNION ALL SELECT 'pair', i.sub, j.sub, CAST(hamming(a.seq, b.seq) AS VARCHAR) FROM inc i JOIN wn a USING (sub), inc j JOIN wn b USING (sub)
+    WHERE hamming(a.seq, b.seq) <= {PIPELINE_NEAR}"""
+
+
+def pipeline_world(spark, sf) -> dict[str, str]:
+    """Batch result files, consensus files, cattle and movement tables, class bounds and an exclusion list, in a folder."""
+    root = fresh_path(spark, "world")
+    customers = table(spark, sf, "customer")
+    nation, key = F.col("c_nationkey"), F.col("c_custkey")
+    sub = F.concat(F.lit("AF-"), number_of("c_custkey"))
+    binary = lambda value, n: F.lpad(F.bin(value), n, "0")
+    seq = F.concat(F.translate(F.md5(F.concat(F.lit("n"), (nation % 3).cast("string"))), "0123456789abcdef", "ACGTACGTACGTACGT"),
+                   F.translate(binary(key % 16, 4), "01", "AC"), F.translate(binary(F.floor(key / 16) % 8, 3), "01", "GT"))
+    rows = stage(customers.select("*", sub.alias("sub"), seq.alias("seq")), "customers")
+    location = F.concat(F.lit(f"s3://{DEFAULT_BUCKET}/v3-2/batch"), nation.cast("string"), F.lit("/"))
+    common = [F.lit("BritishbTB").alias("flag"), F.col("c_mktsegment").alias("group"), (1000 + key % 500).alias("Ncount"), location.alias("ResultLoc"),
+              F.concat(F.lit("batch"), nation.cast("string")).alias("folder"), "seq"]
+    first = rows.select(F.concat("sub", F.lit("-x")).alias("Sample"), F.col("c_acctbal").alias("pcMapped"),
+                        F.when(F.col("c_acctbal") > 0, "Pass").otherwise("NA").alias("Outcome"), *common)
+    again = rows.where("c_custkey % 4 = 0").select(F.concat("sub", F.lit("-y")).alias("Sample"), (5000 - F.col("c_acctbal")).alias("pcMapped"),
+                                                   F.when(nation % 3 == 0, "Pass").otherwise("Fail").alias("Outcome"), *common)
+    samples = stage(first.union(again), "samples")
+    names = ["Sample", "pcMapped", "Outcome", "flag", "group", "Ncount", "ResultLoc"]
+    lines = samples.select("folder", F.concat_ws(",", *names).alias("value"), F.lit(1).alias("place"))
+    heads = samples.select("folder", F.lit(",".join(names)).alias("value"), F.lit(0).alias("place")).distinct()
+    files = heads.unionByName(lines).repartition("folder").sortWithinPartitions("folder", "place").select("folder", "value")
+    _write_batches(files, f"{root}/{DEFAULT_BUCKET}")
+    _write_consensus(samples.select("folder", F.concat("Sample", F.lit("_consensus")).alias("id"), "seq"), f"{root}/{DEFAULT_BUCKET}")
+    cows = rows.where("c_custkey % 5 <> 1").select(F.col("sub").alias("CVLRef"), F.lit("old").alias("clade"), F.concat(F.lit("cow "), nation.cast("string")).alias("RawEartag2"))
+    moves = rows.where("c_custkey % 7 <> 2").select(F.col("sub").alias("SampleName"), F.col("c_name").alias("StandardEartag"), F.lit(3).alias("Stay_Length"))
+    bounds = (customers.where("c_mktsegment <> 'HOUSEHOLD'").groupBy(F.col("c_mktsegment").alias("clade"))
+              .agg((1000 + 90 * F.count_distinct("c_nationkey") % 400 + 60).alias("maxN")))
+    for df, name in ((cows, "cm/cattle.csv"), (moves.union(moves), "cm/movement.csv"), (bounds, "clades.csv")):
+        df.write.option("header", True).csv(f"{root}/{name}")
+    rows.where("c_custkey % 50 = 3").select("sub").write.text(f"{root}/outliers.txt")
+    return {"store": f"{root}/store", "base": f"{root}/{{bucket}}/", "root": root}
+
+
+def _write_batches(files: DataFrame, bucket: str) -> None:
+    """A batch result file for each folder, named as the folder is."""
+    def write(batches):
+        local = bucket.startswith(("/", "file:"))
+        system, root = (pa.fs.LocalFileSystem(), "/" + bucket.removeprefix("file:").lstrip("/")) if local else pa.fs.FileSystem.from_uri(bucket)
+        last, out, n = None, None, 0
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["folder"] != last:
+                    if out:
+                        out.close()
+                    last, n = row["folder"], n + 1
+                    system.create_dir(f"{root}/v3-2/{last}")
+                    out = system.open_output_stream(f"{root}/v3-2/{last}/FinalOut.csv")
+                out.write((row["value"] + "\n").encode())
+        if out:
+            out.close()
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
+    files.mapInArrow(write, "n long").agg(F.sum("n")).collect()
+
+
+def results_of(spark, results: str, cohort: str) -> DataFrame:
+    """The tables that a pipeline left, read back: cohort, report if there is one, and near pairs."""
+    kept = tables.read_samples(spark, f"{results}/metadata/{cohort}").select(
+        F.lit("cohort").alias("part"), F.col("Submission").alias("a"), F.col("Sample").alias("b"), F.col("group").alias("c"))
+    pairs = tables.read_text_table(spark, f"{results}/snps").select(F.lit("pair").alias("part"), F.col("i").alias("a"), F.col("j").alias("b"), F.col("dist").alias("c"))
+    return kept.unionByName(pairs)
+
+
+@query("x7_production", PIPELINE_SQL)
+def x7_production(spark, sf):
+    """The production pipeline itself, from batch files to near pairs: its cohort, its report and its pairs read back."""
+    world, results = pipeline_world(spark, sf), fresh_path(spark, "results")
+    root = world.pop("root")
+    production_pipeline(spark, results, cattle_movements=f"{root}/cm", thresholds=f"{root}/clades.csv", exclusions=f"{root}/outliers.txt",
+                        max_distance=PIPELINE_NEAR, **world)
+    report = tables.read_text_table(spark, f"{results}/metadata/report").select(
+        F.lit("report").alias("part"), F.col("Submission").alias("a"), F.col("eartag").alias("b"),
+        F.concat_ws("|", "Outcome", "Ncount", "outlier", "wgs_data", "cattle_data", "movement_data").alias("c"))
+    return results_of(spark, results, "consistified_wgs").unionByName(report)
+
+
+@query("x6_full", f"""WITH {PW}, fl AS (SELECT * FROM dd WHERE oc = 'Pass' AND nc BETWEEN 1000 AND 1200 AND grp IN ('BUILDING', 'MACHINERY'))
+  SELECT 'cohort' AS part, sub AS a, sample AS b, grp AS c FROM fl
+  UNION ALL SELECT 'pair', i.sample || '_consensus', j.sample || '_consensus', CAST(hamming(a.seq, b.seq) AS VARCHAR) FROM fl i JOIN wn a USING (sub), fl j JOIN wn b USING (sub)
+    WHERE hamming(a.seq, b.seq) <= {PIPELINE_NEAR}""")
+def x6_full(spark, sf):
+    """The full pipeline itself, with filters and without the other tables: its cohort and its pairs read back."""
+    world, results = pipeline_world(spark, sf), fresh_path(spark, "results")
+    world.pop("root")
+    full_pipeline(spark, results, max_distance=PIPELINE_NEAR, Ncount=[1000, 1200], group=["BUILDING", "MACHINERY"], **world)
+    return results_of(spark, results, "passed_wgs")
+
+
+@query("x8_job", f"""WITH {PW}, pd AS (SELECT * FROM sm WHERE oc = 'Pass' QUALIFY row_number() OVER (PARTITION BY sub ORDER BY pm DESC, sample) = 1)
+  SELECT grp AS clade, round_even(quantile_cont(nc, 0.6), 0) AS "maxN", (SELECT count(*) FROM sm WHERE oc = 'Pass') - (SELECT count(*) FROM pd) AS removed
+  FROM pd GROUP BY grp""")
+def x8_job(spark, sf):
+    """The threshold job itself, its table read back, with the number of repeated submissions."""
+    world, results = pipeline_world(spark, sf), fresh_path(spark, "results")
+    world.pop("root")
+    metrics, _ = threshold_job(spark, results, p=0.6, **world)
+    found = tables.read_thresholds(spark, f"{results}/thresholds").select("clade", "maxN")
+    return found.withColumn("removed", F.lit(metrics["number_of_duplicate_WGS_submissions"]).cast("bigint"))
+
+
+@query("x5_phylo", f"""WITH {PW} SELECT i.sample || '_consensus' AS i, j.sample || '_consensus' AS j, CAST(hamming(a.seq, b.seq) AS VARCHAR) AS dist
+  FROM sm i JOIN wn a USING (sub), sm j JOIN wn b USING (sub) WHERE i.pm > 3000 AND j.pm > 3000 AND hamming(a.seq, b.seq) <= {PIPELINE_NEAR}""")
+def x5_phylo(spark, sf):
+    """The comparison step alone, on samples read from their batch files, its pairs read back."""
+    world, results = pipeline_world(spark, sf), fresh_path(spark, "results")
+    _, stored = update_samples(spark, world["store"], world["base"])
+    phylo(spark, results, stored.where("pcMapped > 3000"), world["base"], light_mode=True, max_distance=PIPELINE_NEAR)
+    return tables.read_text_table(spark, f"{results}/snps").select("i", "j", "dist")
+
+
+@query("s5_update_table", f"WITH {PW} SELECT sample AS \"Sample\", sub AS \"Submission\", CAST(nc AS DOUBLE) AS \"Ncount\" FROM sm")
+def s5_update_table(spark, sf):
+    """The samples table as CSV, read with the types of its known columns."""
+    world = pipeline_world(spark, sf)
+    path = fresh_path(spark, "samples-csv")
+    update_samples(spark, world["store"], world["base"], samples_csv=path)
+    return tables.read_samples(spark, path).select("Sample", "Submission", "Ncount")
+
+
+@query("p5_require_rows", "SELECT c_custkey FROM customer WHERE c_acctbal > 0")
+def p5_require_rows(spark, sf):
+    return filters.require_rows(table(spark, sf, "customer").where("c_acctbal > 0").select("c_custkey"))
+
+
 BEST_TEXT = BEST.replace('sub AS', 'CAST(sub AS VARCHAR) AS')
 
 

@@ -11,6 +11,7 @@ RULES = ("min", "max")
 
 
 def check_criteria(df: DataFrame, criteria: list[tuple[str, str]], check_values: bool = True) -> None:
+    """Fail at once if a criterion names an unknown column or rule, or, with ``check_values``, a value that no row has."""
     if not criteria:
         raise TypeError("no criteria given: name a column and a rule, e.g. ('pcMapped', 'max')")
     for column, rule in criteria:
@@ -35,19 +36,31 @@ def _preference(df: DataFrame, column: str, rule: str, key: str) -> list[Column]
     return [F.when(ranked, value.isNull()), F.when(ranked, value)]
 
 
+def with_values(best: DataFrame, df: DataFrame, criteria: list[tuple[str, str]]) -> DataFrame:
+    """Fail while the rows are computed if no row of the input has a criterion's value; a subquery looks for one."""
+    for column, rule in criteria:
+        if not is_numeric(df, column):
+            found = df.where(F.col(column) == F.lit(rule)).select(F.lit(1).alias("one")).limit(1).agg(F.count("one")).scalar()
+            message = F.raise_error(F.lit(f"invalid rule '{rule}': no row of column '{column}' has this value")).cast("boolean")
+            best = best.where(F.when(found == 0, message).otherwise(F.lit(True)))
+    return best
+
+
 def best_per_key(df: DataFrame, criteria: list[tuple[str, str]], key: str = KEY,
                  order: list[Column | str] = (ORDER,), check_values: bool = True) -> DataFrame:
     """One row per key by criteria in order of importance, then by row order.
 
     Each criterion keeps the best rows of those the one before left and never removes all, so the
     survivor is the first row in lexicographic order. ``min_by`` combines before the shuffle, so a hot
-    key sends one row per task, and rows are sorted by the key alone.
+    key sends one row per task, and rows are sorted by the key alone. With ``check_values`` a text criterion whose value
+    no row has fails the query that computes the rows; nothing runs before.
     """
-    check_criteria(df, criteria, check_values)
+    check_criteria(df, criteria, check_values=False)
     rank = F.struct(*[v for c, r in criteria for v in _preference(df, c, r, key)], *order)
     rest = [c for c in df.columns if c != key]
     best = df.groupBy(key).agg(F.min_by(F.struct(*rest), rank).alias("_best"))
-    return best.select(*[F.col(c) if c == key else F.col("_best")[c].alias(c) for c in df.columns])
+    best = best.select(*[F.col(c) if c == key else F.col("_best")[c].alias(c) for c in df.columns])
+    return with_values(best, df, criteria) if check_values else best
 
 
 def first_per_key(df: DataFrame, key: str, columns: list[str],

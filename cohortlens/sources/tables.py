@@ -5,8 +5,8 @@ values. Headers, layouts, widths and the kinds of unknown columns all come from
 where it is selected, so tables of very many names cost what is read of them.
 
 A file's header is the first line of its first split. Files are cut at line ends as long as no line of theirs has an odd number of quotes;
-the others may hold line breaks inside quotes, and are read by one task each, record by record. Which way a file goes depends on its
-contents alone.
+the others may hold line breaks inside quotes, and their lines are put together by one task each, record by record. Which way a file goes
+depends on its contents alone.
 """
 
 import csv
@@ -21,7 +21,7 @@ from cohortlens.model import EXTRA, ORDER, SAMPLE_COLUMNS, SAMPLES, STORED_SAMPL
 from cohortlens.plans.sizing import lookup_join
 from cohortlens.plans.staging import stage
 
-PARSED = "path string, block bigint, row bigint, first boolean, broken boolean, fields array<string>"
+PARSED = "path string, block bigint, row bigint, first boolean, broken boolean, line string, fields array<string>"
 LONGEST_FIELD = 2**31 - 1
 BEFORE_COMMENT = re.compile(r'(?:[^"#]++|"(?:[^"]++|"")*+"|")*+')     # up to the first # that is not inside double quotes
 
@@ -39,34 +39,35 @@ def _fields(record: str) -> list[str]:
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.list_(pa.string())]
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.string(), pa.list_(pa.string())]
     columns = list(zip(*rows)) or [()] * len(kinds)
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["path", "block", "row", "first", "broken", "fields"])
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["path", "block", "row", "first", "broken", "line", "fields"])
 
 
 def _lines(batches: Iterator[pa.RecordBatch], comment: bool) -> Iterator[pa.RecordBatch]:
-    """Parse the lines of each split and number them; a task reads its splits one after another. Blank lines do not count."""
+    """Parse the lines of each split and number them; a task reads its splits one after another. Blank lines have no fields."""
     csv.field_size_limit(LONGEST_FIELD)
-    path, block, row = None, None, 0
+    path, block, row, headed = None, None, 0, False
     for batch in batches:
         out = []
         for line, *place in zip(*(batch.column(c).to_pylist() for c in ("value", "path", "block"))):
+            if place != [path, block]:
+                (path, block), row, headed = place, -1, place[1] > 0
+            row += 1
             line = line.removeprefix("\ufeff")
             broken = line.count('"') % 2 == 1
-            if comment and "#" in line:
-                line = BEFORE_COMMENT.match(line).group()
-            if broken or line.strip(" "):
-                row = row + 1 if place == [path, block] else 0
-                path, block = place
-                out.append((path, block, row, block == 0 and row == 0, broken, None if broken else _fields(line)))
+            kept = BEFORE_COMMENT.match(line).group() if comment and "#" in line else line
+            filled = bool(kept.strip(" "))
+            out.append((path, block, row, filled and not headed, broken, line, _fields(kept) if filled and not broken else None))
+            headed |= filled
         yield _rows(out)
 
 
-def _records(content: str, comment: bool) -> Iterator[str]:
-    """The records of a whole file: a line break inside quotes belongs to its field."""
-    record, quoted, lines = "", False, content.split("\n")
-    for n, line in enumerate(lines, 1):
-        line = line.removesuffix("\r") if not quoted else line
+def _records(lines: Iterator[tuple[int, int, str]], comment: bool) -> Iterator[tuple[int, int, str]]:
+    """(block, row, record) of the lines of a file: a line break inside quotes belongs to its field."""
+    record, quoted, place = "", False, None
+    for block, row, line in lines:
+        place = place if quoted else (block, row)
         if comment and "#" in line:
             before = BEFORE_COMMENT.match('"' + line if quoted else line).group()
             line = before[1:] if quoted else before
@@ -74,35 +75,40 @@ def _records(content: str, comment: bool) -> Iterator[str]:
         record += line
         if quoted:
             record += "\n"
-            if n == len(lines):
-                raise ValueError(f"a quote is not closed before the end, in the record before line {n}")
-        else:
-            if record.strip():
-                yield record
-            record = ""
-
-
-def _whole(batches: Iterator[pa.RecordBatch], comment: bool) -> Iterator[pa.RecordBatch]:
-    csv.field_size_limit(LONGEST_FIELD)
-    for batch in batches:
-        for path, content in zip(batch.column("path").to_pylist(), batch.column("value").to_pylist()):
-            try:
-                yield _rows([(path, 0, n, n == 0, False, _fields(r)) for n, r in enumerate(_records(content.removeprefix("\ufeff"), comment))])
-            except ValueError as error:
-                raise ValueError(f"{path}: {error}") from None
+            continue
+        if record.strip():
+            yield *place, record
+        record = ""
+    if quoted:
+        raise ValueError(f"a quote is not closed before the end, in the record that begins in line {place[1] + 1} of the part at byte {place[0]}")
+
+
+def _stitched(comment: bool):
+    """The records of one file from its lines, for files whose records may go over several lines."""
+    def stitch(table: pa.Table) -> pa.Table:
+        csv.field_size_limit(LONGEST_FIELD)
+        table = table.sort_by([("block", "ascending"), ("row", "ascending")])
+        path = table.column("path")[0].as_py()
+        lines = zip(*(table.column(c).to_pylist() for c in ("block", "row", "line")))
+        try:
+            rows = [(path, block, row, n == 0, False, None, _fields(record)) for n, (block, row, record) in enumerate(_records(lines, comment))]
+        except ValueError as error:
+            raise ValueError(f"{path}: {error}") from None
+        return pa.Table.from_batches([_rows(rows)])
+    return stitch
 
 
 def _parsed(spark: SparkSession, paths: list[str] | str, comment: bool) -> DataFrame:
-    """The records of all files, written out; blank ones and comments are left out."""
+    """The records of all files, written out; blank ones and comments are left out. The files themselves are read once."""
     path, block = F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block")
     lines = stage(spark.read.text(paths).select("value", path, block).mapInArrow(lambda b: _lines(b, comment), PARSED), "csv-lines")
     broken = lines.where("broken").select("path").distinct()
+    plain = lines.where("fields IS NOT NULL").drop("line")
     if lines.where("broken").isEmpty():
-        return lines
+        return plain
     broken = stage(broken, "multi-line-files")
-    whole = lookup_join(spark.read.text(paths, wholetext=True).select("value", path), broken, "path", "left_semi")
-    whole = stage(whole.mapInArrow(lambda b: _whole(b, comment), PARSED), "csv-records")
-    return lookup_join(lines, broken, "path", "left_anti").unionByName(whole)
+    stitched = stage(lookup_join(lines, broken, "path", "left_semi").groupBy("path").applyInArrow(_stitched(comment), PARSED).drop("line"), "csv-records")
+    return lookup_join(plain, broken, "path", "left_anti").unionByName(stitched)
 
 
 def _header_names(fields: Column) -> Column:

@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from cohortlens.operators.dedup import best_per_key, first_per_key, stage_removals
+from cohortlens.operators.dedup import best_per_key, check_criteria, first_per_key, stage_removals
 
 NAN = float("nan")
 
@@ -15,13 +15,22 @@ def test_staged_removal_and_first_of_ties(frame, rows):
 
 
 @pytest.mark.parametrize("criteria, error", [
-    ([], TypeError), ([("baz", "min")], ValueError), ([("foo", "middle")], ValueError), ([("name", "zz")], ValueError)])
+    ([], TypeError), ([("baz", "min")], ValueError), ([("foo", "middle")], ValueError)])
 def test_errors(frame, criteria, error):
     df = frame("Submission string, foo double, name string", [("1", 1.0, "a"), ("1", 2.0, "b")])
     with pytest.raises(error):
         best_per_key(df, criteria)
 
 
+def test_a_value_that_no_row_has_fails_the_query(frame):
+    df = frame("Submission string, foo double, name string", [("1", 1.0, "a"), ("1", 2.0, "b")])
+    with pytest.raises(Exception, match="no row of column 'name' has this value"):
+        best_per_key(df, [("foo", "max"), ("name", "zz")]).collect()
+    with pytest.raises(ValueError, match="no row"):
+        check_criteria(df, [("name", "zz")])
+    assert best_per_key(df, [("name", "b")]).first().foo == 2.0
+
+
 @pytest.mark.parametrize("hot_rows", [1, 1_000_000])
 def test_one_stage(frame, rows, hot_rows):
     df = frame("Submission string, pcMapped double, Outcome string, name string", [

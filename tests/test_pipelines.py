@@ -1,9 +1,11 @@
 import glob
 import json
+import shutil
 
 import pytest
 
-from cohortlens.plans import curation
+from cohortlens.operators.dedup import best_per_key
+from cohortlens.plans import curation, incremental
 from cohortlens.sources import tables
 
 BUCKET = "s3-csu-003"
@@ -60,7 +62,7 @@ def test_production(spark, world):
     results = f"{world}/results"
     metrics = curation.production_pipeline(
         spark, results, cattle_movements=f"{world}/cm", thresholds=f"{world}/clades.csv",
-        exclusions=f"{world}/outliers.txt", light_mode=False, **common(world))
+        exclusions=f"{world}/outliers.txt", light_mode=False, max_distance=None, **common(world))
     assert {k: v for k, v in metrics.items() if k not in ("datetime", "git_commit")} == {
         "total_number_of_wgs_samples": 9, "batches_with_mismatched_location": 0,
         "number_of_duplicate_WGS_submissions": 1, "number_of_passed_samples": 5,
@@ -99,7 +101,7 @@ def test_production(spark, world):
 def test_full_pipeline_and_second_update(spark, world):
     results = f"{world}/results"
     spec = write(world / "config.json", json.dumps({"pcMapped": [90, 100], "Ncount": [0, 50]}))
-    metrics = curation.full_pipeline(spark, results, config=spec, cattle_movements=f"{world}/cm", **common(world))
+    metrics = curation.full_pipeline(spark, results, config=spec, cattle_movements=f"{world}/cm", max_distance=None, **common(world))
     assert metrics["number_of_passed_samples"] == 6 and metrics["consistified_number_of_wgs_records"] == 5
     assert record(f"{results}/metadata/filters.json") == {"pcMapped": [90, 100], "Ncount": [0, 50]}
     assert len([line for line in lines(f"{results}/snps") if line != "i,j,dist"]) == 25
@@ -124,15 +126,84 @@ def test_pipelines_put_out_far_pairs_unless_limited(spark, world):
     production = {"cattle_movements": f"{world}/cm", "thresholds": f"{world}/clades.csv", "exclusions": f"{world}/outliers.txt"}
     for name, arguments, limit, count in (("production_pipeline", production, None, 16), ("full_pipeline", {}, 19, 19)):
         results = f"{world}/{name}"
-        given = {} if limit is None else {"max_distance": limit}
-        getattr(curation, name)(spark, results, **arguments, **given, **common(world))
+        getattr(curation, name)(spark, results, **arguments, max_distance=limit, **common(world))
         assert len([line for line in lines(f"{results}/snps") if line != "i,j,dist"]) == count
         assert record(f"{results}/metadata/metadata.json").get("max_distance") == limit
 
 
+def test_production_that_failed_goes_on_behind_its_last_step(spark, world, monkeypatch):
+    arguments = {"cattle_movements": f"{world}/cm", "thresholds": f"{world}/clades.csv", "exclusions": f"{world}/outliers.txt", "max_distance": 2}
+    ran = []
+
+    def counted(name, fail=False):
+        function = getattr(curation, name)
+
+        def call(*args, **options):
+            ran.append(name)
+            if fail and ran.count(name) == 1:
+                raise OSError("lost")
+            return function(*args, **options)
+        monkeypatch.setattr(curation, name, call)
+    counted("best_per_key"), counted("consistify"), counted("exclusion_report", fail=True)
+    with pytest.raises(OSError, match="lost"):
+        curation.production_pipeline(spark, f"{world}/r", **arguments, **common(world))
+    assert ran == ["best_per_key", "consistify", "exclusion_report"]
+    metrics = curation.production_pipeline(spark, f"{world}/r", **arguments, **common(world))
+    assert ran[3:] == ["exclusion_report"] and metrics["consistified_number_of_wgs_records"] == 4
+    assert metrics["number_of_duplicate_WGS_submissions"] == 1 and metrics["number_of_snps"] == 2 and len(lines(f"{world}/r/metadata/report")) > 5
+    again = curation.production_pipeline(spark, f"{world}/r", **arguments, **common(world))     # a run that ended begins anew
+    assert ran[4:] == ["best_per_key", "consistify", "exclusion_report"]
+    assert {k: v for k, v in again.items() if k != "datetime"} == {k: v for k, v in metrics.items() if k != "datetime"}
+
+
+def test_samples_table_as_csv_in_and_out(spark, world):
+    """The table begins with a CSV that knows the first batch already, and is written back with the second."""
+    old = HEADER.replace("\n", ",Submission,depth\n") + sample("A", 1111) + ",AF-12-1111-20,4\n"
+    path = write(world / "samples.csv" / "old.csv", old).rsplit("/", 1)[0]
+    metrics, stored = curation.update_samples(spark, samples_csv=path, **common(world))
+    assert metrics["total_number_of_wgs_samples"] == 6 == stored.count()      # batch b1 is known, so only b2 loads
+    back = tables.read_samples(spark, path)
+    columns = ["Submission", "Ncount", "depth"]
+    assert sorted(map(tuple, back.select(columns).collect()), key=repr) == sorted(map(tuple, stored.select(columns).collect()), key=repr)
+    assert curation.update_samples(spark, samples_csv=path, **common(world))[0]["total_number_of_wgs_samples"] == 6
+
+
+def test_second_update_reads_no_stored_samples(spark, world):
+    """What is known comes from the log: an update that finds nothing new does not open the samples' files."""
+    curation.update_samples(spark, **common(world))
+    for path in glob.glob(f"{world}/store/ingest=*/part-*"):
+        open(path, "wb").write(b"no longer a Parquet file")
+    metrics, samples = curation.update_samples(spark, **common(world))
+    assert metrics == {"total_number_of_wgs_samples": 9, "batches_with_mismatched_location": 0}
+    with pytest.raises(Exception):
+        samples.collect()
+
+
+def test_survivors_of_ingests(spark, world):
+    """An ingest rewrites the buckets of its keys alone; the table equals the survivors of all samples."""
+    store, kept = f"{world}/store", f"{world}/best"
+    update = lambda: incremental.update_best(spark, store, kept, buckets=64)
+    curation.update_samples(spark, **common(world))
+    # Of 8 keys two share a bucket.
+    assert update() == {"number_of_duplicate_WGS_submissions": 1, "rewritten_buckets": 7}
+    assert update()["rewritten_buckets"] == 0
+    write(world / BUCKET / "v3-2" / "b3" / "FinalOut.csv", HEADER + sample("Y", 2222, mapped=99, folder="b3") + "\n")
+    _, samples = curation.update_samples(spark, **common(world))
+    shutil.rmtree(kept + "-log/entry=0/_temporary", ignore_errors=True)
+    assert update() == {"number_of_duplicate_WGS_submissions": 2, "rewritten_buckets": 1}
+    best = {tuple(r) for r in best_per_key(samples, curation.DEFAULT_CRITERIA).select("Submission", "Sample").collect()}
+    assert {tuple(r) for r in incremental.read_best(spark, store, kept).select("Submission", "Sample").collect()} == best and len(best) == 8
+    # A version whose log entry was lost counts for nothing, and the next update writes it again.
+    shutil.rmtree(f"{kept}-log/entry=1")
+    assert incremental.read_best(spark, store, kept).where("Sample LIKE '%Y'").isEmpty()
+    assert update()["rewritten_buckets"] == 1 and not incremental.read_best(spark, store, kept).where("Sample LIKE '%Y'").isEmpty()
+    with pytest.raises(ValueError, match="other rules"):
+        incremental.update_best(spark, store, kept, buckets=3)
+
+
 def test_full_pipeline_on_all_samples(spark, world):
     metrics = curation.full_pipeline(spark, f"{world}/r", filter_input="all", download_only=True,
-                                     group=["x"], **common(world))
+                                     group=["x"], max_distance=None, **common(world))
     assert metrics["number_of_passed_samples"] == 7 and "number_of_snps" not in metrics
     assert len(lines(f"{world}/r/multi_fasta")) == 14
 

@@ -65,3 +65,21 @@ def test_staged_tables_keep_their_schema(spark):
     staged = staging.stage(df, "t")
     assert staged.schema == df.schema and sorted(map(tuple, staged.collect()))[0] == (1, "a")
     assert staging.fresh_path(spark, "t") != staging.fresh_path(spark, "t")
+
+
+def jobs_of(spark, build):
+    """How many jobs run while a query is built."""
+    group = f"build-{build.__name__}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        build(spark, "/root/testdata/sf0.001")
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_operators_are_lazy(spark):
+    from cohortlens import catalog
+    for build, most in ((catalog.d1_best_per_key, 0), (catalog.c3_drop_excluded, 1), (catalog.c2_thresholds, 6), (catalog.c1_class_bounded, 2)):
+        reads = 3        # schemas of the files that a query reads, one job each, at most
+        assert jobs_of(spark, build) <= most + reads, build.__name__
