@@ -544,12 +544,11 @@ def s1_mixed_headers(spark, sf):
     note = F.concat(F.lit('"'), "o_orderpriority", F.lit("\n"), "o_orderstatus", F.lit('"'))
     line = F.concat_ws(",", F.col("o_orderkey").cast("string"), kind, note, F.col("o_custkey").cast("string"))
     head = F.concat(F.lit('Sample,extra,"note, quoted",matches,unused '), kind)
-    rows = table(spark, sf, "orders").select(kind.alias("kind"), head.alias("head"), line.alias("line"))
-    heads = rows.select("kind", F.col("head").alias("value"), F.lit(0).alias("place")).distinct()
-    lines = rows.select("kind", F.col("line").alias("value"), F.lit(1).alias("place"))
-    (heads.unionByName(lines).repartition("kind").sortWithinPartitions("kind", "place").select("kind", "value")
-     .write.partitionBy("kind").text(path))
-    return tables.read_samples(spark, f"{path}/*").select("Sample", "matches", "note, quoted", "extra")
+    rows = table(spark, sf, "orders").select(kind.alias("folder"), head.alias("head"), line.alias("line"))
+    heads = rows.select("folder", F.col("head").alias("value"), F.lit(0).alias("place")).distinct()
+    lines = rows.select("folder", F.col("line").alias("value"), F.lit(1).alias("place"))
+    _write_files(heads.unionByName(lines), path, "{}.csv")
+    return tables.read_samples(spark, path).select("Sample", "matches", "note, quoted", "extra")
 
 
 @query("s6_text_table", """SELECT CAST(o_orderkey AS VARCHAR) AS "CVLRef", o_orderpriority AS "RawEartag2",
@@ -605,8 +604,7 @@ def s10_read_consensus(spark, sf):
 def _write_consensus(seqs: DataFrame, bucket: str) -> None:
     """One file for each sequence under v3-2/<folder>/consensus/, written by the tasks that hold the sequences."""
     def write(batches):
-        local = bucket.startswith(("/", "file:"))
-        system, root = (pa.fs.LocalFileSystem(), "/" + bucket.removeprefix("file:").lstrip("/")) if local else pa.fs.FileSystem.from_uri(bucket)
+        system, root = _file_system(bucket)
         for batch in batches:
             for row in batch.to_pylist():
                 folder = f"{root}/v3-2/{row['folder']}/consensus"
@@ -869,8 +867,7 @@ def pipeline_world(spark, sf) -> dict[str, str]:
     names = ["Sample", "pcMapped", "Outcome", "flag", "group", "Ncount", "ResultLoc"]
     lines = samples.select("folder", F.concat_ws(",", *names).alias("value"), F.lit(1).alias("place"))
     heads = samples.select("folder", F.lit(",".join(names)).alias("value"), F.lit(0).alias("place")).distinct()
-    files = heads.unionByName(lines).repartition("folder").sortWithinPartitions("folder", "place").select("folder", "value")
-    _write_batches(files, f"{root}/{DEFAULT_BUCKET}")
+    _write_files(heads.unionByName(lines), f"{root}/{DEFAULT_BUCKET}", "v3-2/{}/FinalOut.csv")
     _write_consensus(samples.select("folder", F.concat("Sample", F.lit("_consensus")).alias("id"), "seq"), f"{root}/{DEFAULT_BUCKET}")
     cows = rows.where("c_custkey % 5 <> 1").select(F.col("sub").alias("CVLRef"), F.lit("old").alias("clade"), F.concat(F.lit("cow "), nation.cast("string")).alias("RawEartag2"))
     moves = rows.where("c_custkey % 7 <> 2").select(F.col("sub").alias("SampleName"), F.col("c_name").alias("StandardEartag"), F.lit(3).alias("Stay_Length"))
@@ -882,11 +879,10 @@ def pipeline_world(spark, sf) -> dict[str, str]:
     return {"store": f"{root}/store", "base": f"{root}/{{bucket}}/", "root": root}
 
 
-def _write_batches(files: DataFrame, bucket: str) -> None:
-    """A batch result file for each folder, named as the folder is."""
+def _write_files(lines: DataFrame, root: str, name: str) -> None:
+    """A text file for each ``folder``, its lines by ``place``, written by the task that holds them."""
     def write(batches):
-        local = bucket.startswith(("/", "file:"))
-        system, root = (pa.fs.LocalFileSystem(), "/" + bucket.removeprefix("file:").lstrip("/")) if local else pa.fs.FileSystem.from_uri(bucket)
+        system, base = _file_system(root)
         last, out, n = None, None, 0
         for batch in batches:
             for row in batch.to_pylist():
@@ -894,13 +890,21 @@ def _write_batches(files: DataFrame, bucket: str) -> None:
                     if out:
                         out.close()
                     last, n = row["folder"], n + 1
-                    system.create_dir(f"{root}/v3-2/{last}")
-                    out = system.open_output_stream(f"{root}/v3-2/{last}/FinalOut.csv")
+                    path = f"{base}/{name.format(last)}"
+                    system.create_dir(path.rsplit("/", 1)[0])
+                    out = system.open_output_stream(path)
                 out.write((row["value"] + "\n").encode())
         if out:
             out.close()
         yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
-    files.mapInArrow(write, "n long").agg(F.sum("n")).collect()
+    ordered = lines.repartition("folder").sortWithinPartitions("folder", "place").select("folder", "value")
+    ordered.mapInArrow(write, "n long").agg(F.sum("n")).collect()
+
+
+def _file_system(root: str) -> tuple[pa.fs.FileSystem, str]:
+    if root.startswith(("/", "file:")):
+        return pa.fs.LocalFileSystem(), "/" + root.removeprefix("file:").lstrip("/")
+    return pa.fs.FileSystem.from_uri(root)
 
 
 def results_of(spark, results: str, cohort: str) -> DataFrame:

@@ -16,8 +16,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from cohortlens.functions import null_tokens_to_null, number, submission_number
-from cohortlens.model import EXTRA, ORDER, SAMPLE_COLUMNS, SAMPLES, STORED_SAMPLES
+from cohortlens.functions import number, submission_number
+from cohortlens.model import EXTRA, NULL_TOKENS, ORDER, SAMPLE_COLUMNS, SAMPLES, STORED_SAMPLES
 from cohortlens.plans.sizing import lookup_join
 from cohortlens.plans.staging import stage
 
@@ -34,8 +34,10 @@ def file_order(run: int | Column = 0) -> Column:
                     F.monotonically_increasing_id().alias("row"))
 
 
-def _fields(record: str) -> list[str]:
-    return next(csv.reader([record])) if '"' in record else record.split(",")
+def _fields(record: str, header: bool) -> list[str | None]:
+    """The fields of a record; null tokens are missing values, but not in a header."""
+    fields = next(csv.reader([record])) if '"' in record else record.split(",")
+    return fields if header else [None if f in NULL_TOKENS else f for f in fields]
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
@@ -58,7 +60,8 @@ def _lines(batches: Iterator[pa.RecordBatch], comment: bool) -> Iterator[pa.Reco
             broken = line.count('"') % 2 == 1
             kept = BEFORE_COMMENT.match(line).group() if comment and "#" in line else line
             filled = bool(kept.strip(" "))
-            out.append((path, block, row, filled and not headed, broken, line, _fields(kept) if filled and not broken else None))
+            header = filled and not headed
+            out.append((path, block, row, header, broken, line, _fields(kept, header) if filled and not broken else None))
             headed |= filled
         yield _rows(out)
 
@@ -91,7 +94,7 @@ def _stitched(comment: bool):
         path = table.column("path")[0].as_py()
         lines = zip(*(table.column(c).to_pylist() for c in ("block", "row", "line")))
         try:
-            rows = [(path, block, row, n == 0, False, None, _fields(record)) for n, (block, row, record) in enumerate(_records(lines, comment))]
+            rows = [(path, block, row, n == 0, False, None, _fields(record, n == 0)) for n, (block, row, record) in enumerate(_records(lines, comment))]
         except ValueError as error:
             raise ValueError(f"{path}: {error}") from None
         return pa.Table.from_batches([_rows(rows)])
@@ -143,14 +146,13 @@ class LongTable:
         if name not in self.names:
             return F.lit(None).cast("string")
         if self.layout is not None:
-            return null_tokens_to_null(F.get("fields", F.lit(self.layout.index(name))))
-        at = F.array_position("names", F.lit(name)).cast("int")
-        return null_tokens_to_null(F.when(at > 0, F.get("fields", at - 1)))
+            return F.expr(f"get(fields, {self.layout.index(name)})")
+        literal = name.replace("\\", "\\\\").replace("'", "\\'")
+        return F.expr(f"get(fields, int(array_position(names, '{literal}')) - 1)")
 
     def values(self) -> Column:
-        """The (name, value) pairs of a row, without null tokens."""
-        pairs = F.zip_with("names", "fields", lambda n, v: F.struct(n.alias("name"), null_tokens_to_null(v).alias("value")))
-        return F.filter(pairs, lambda p: p["value"].isNotNull())
+        """The (name, value) pairs of a row, without missing values."""
+        return F.filter(F.zip_with("names", "fields", lambda n, v: F.struct(n.alias("name"), v.alias("value"))), lambda p: p["value"].isNotNull())
 
     def known(self, with_key: bool, permissive: bool) -> list[Column]:
         """The columns of the samples table, typed; absent ones are NULL."""
