@@ -743,7 +743,7 @@ def clonal_alignment(spark, sf) -> DataFrame:
   FROM cl a, cl b) SELECT * FROM pr WHERE dist <= {CLONAL_NEAR}""")
 def g3_near_clonal(spark, sf):
     """Near pairs of a cohort of low diversity, where bands of sites are shared by nearly all sequences."""
-    return distances.snp_distances(clonal_alignment(spark, sf), CLONAL_NEAR)
+    return distances.snp_distances(clonal_alignment(spark, sf), CLONAL_NEAR, plan="sparse")
 
 
 # Sequences long enough for several pieces: hashes of the order's id turned into bases.
