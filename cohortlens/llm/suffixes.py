@@ -6,8 +6,9 @@ distance from its start. The starts of a text therefore fall into runs by the pl
 twice in a run, and a run can only repeat something if its hash has another run. Shards ask for that first; all else (most of a corpus) never enters an array.
 
 If all runs of a hash are equal, they repeat as a whole. Each shard sorts the suffixes of its other runs down to ``width`` bytes. Neighbours with a common prefix of
-``width`` bytes repeat within the shard. The strings that are left, one for each class of equal ones, go in sorted order to the
-merge, where each shard's list is searched in the union of all lists of its key range.
+``width`` bytes repeat within the shard. One string of each class of equal ones goes with its place, sorted by its digest, to the
+merge, where each shard's list is found by binary search in the union of all lists of its key range. The merge sends the places
+of strings that another shard holds too back to their shard, so arrays and prefixes are made once.
 """
 
 import numpy as np
@@ -15,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from cohortlens.llm import exchange
-from cohortlens.llm.anchors import covered, distinct
+from cohortlens.llm.anchors import covered
 from cohortlens.llm.words import U, mix, random_words, rolling, running_hashes, text_bytes, window_starts
 
 GRAM = 64
@@ -23,6 +24,7 @@ SLICE = 1 << 18
 GROUP_BYTES = 3 << 20       # of text in a shard, whose suffixes one task holds
 BUCKET_BYTES = 24 << 20      # text whose runs meet in one bucket
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
+REST = np.dtype([("low", "<u8"), ("place", "<u4")])     # Arrow strings of a shard stay below 2 GB
 
 
 def suffix_array(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -253,14 +255,56 @@ class Strings:
         order = exchange.order_by(high, low)
         return high[order], low[order], order
 
-    def starts(self) -> np.ndarray:
-        """Where in the shard's bytes the repeated strings start."""
-        at = self.order[self.repeated[self.cls]]
+    def _places(self, at: np.ndarray) -> np.ndarray:
+        """Where in the shard's bytes rows of the joined regions start."""
         region = np.searchsorted(self.at, at, "right") - 1
-        runs, shard = self.whole, self.shard
-        n = shard.length[runs]
-        whole = np.repeat(shard.first[runs] - np.cumsum(n) + n, n) + np.arange(n.sum())
-        return np.concatenate([whole, self.first[region] + at - self.at[region] if len(at) else at])
+        return self.first[region] + at - self.at[region] if len(at) else at
+
+    def asked(self) -> tuple[np.ndarray, np.ndarray]:
+        """The keys of the classes in order, and the rest of them with one place of each."""
+        high, low, cls = self.keys()
+        rest = np.empty(len(high), REST)
+        rest["low"], rest["place"] = low, self._places(self.sample[cls])
+        return high, rest
+
+    def known(self) -> np.ndarray:
+        """Runs (first, length) of starts that this shard knows to be repeated, in order."""
+        at = np.sort(self._places(self.order[self.repeated[self.cls]]))
+        begin = np.flatnonzero(np.r_[True, at[1:] != at[:-1] + 1]) if len(at) else at
+        first = np.concatenate([self.shard.first[self.whole], at[begin]])
+        length = np.concatenate([self.shard.length[self.whole], np.diff(np.r_[begin, len(at)])])
+        return np.stack([first, length], axis=1).astype("<u4")
+
+
+def _elsewhere(keys: list[np.ndarray], rests: list[np.ndarray]) -> list[np.ndarray]:
+    """Which strings of each sorted list have several places, by binary search of each list in the union of all."""
+    union, at = exchange.merged(keys)
+    # Where 64 bits agree the other 64 must too; if any differ, all lists are ordered by both.
+    second = np.empty(len(union), U)
+    for k, rest in zip(at, rests):
+        second[k] = rest["low"] | U(1)
+    if any((second[k] != rest["low"] | U(1)).any() for k, rest in zip(at, rests)):
+        packed = exchange.several_places(keys, [np.ascontiguousarray(r["low"]).tobytes() for r in rests])
+        return [np.unpackbits(b)[:len(k)].astype(bool) for b, k in zip(packed, keys)]
+    held = np.zeros(len(union), np.int64)
+    for k, rest in zip(at, rests):
+        held[k] += 1 + (rest["low"] & U(1)).astype(np.int64)
+    return [held[k] > 1 for k in at]
+
+
+def _merge(table: pa.Table) -> pa.Table:
+    """The places that each shard learns from a bucket; what a shard knows itself passes through."""
+    table = table.sort_by("g")
+    own = np.array([not k for k in table.column("keys").to_pylist()], bool)
+    asked = table.filter(pa.array(~own))
+    rests = [np.frombuffer(m, REST) for m in asked.column("more").to_pylist()]
+    found = _elsewhere([exchange.unpack(k) for k in asked.column("keys").to_pylist()], rests) if rests else []
+    # A shard already knows the places of what it holds several times.
+    places = [r["place"][good & (r["low"] & U(1) == 0)].tobytes() for r, good in zip(rests, found)]
+    known = table.filter(pa.array(own))
+    return pa.table({"g": pa.concat_arrays([asked.column("g").combine_chunks(), known.column("g").combine_chunks()]),
+                     "places": pa.array(places + [b""] * known.num_rows, pa.binary()),
+                     "runs": pa.array([b""] * len(places) + known.column("more").to_pylist(), pa.binary())})
 
 
 def repeated_bytes(docs: DataFrame, id_column: str = "doc_id", text: str = "text", width: int = 200,
@@ -282,37 +326,35 @@ def repeated_bytes(docs: DataFrame, id_column: str = "doc_id", text: str = "text
     def sort(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
             return exchange.ask_rows(0, np.empty(0, U), np.empty(0, U), buckets)
-        high, low, _ = Strings(Shard(table, width), exchange.gathered(answers, np.uint8)).keys()
-        return exchange.ask_rows(table.column("g")[0].as_py(), high, low, buckets)
+        g = table.column("g")[0].as_py()
+        strings = Strings(Shard(table, width), exchange.gathered(answers, np.uint8))
+        known = pa.table({"g": pa.array([g], pa.int32()), "bucket": pa.array([g % buckets], pa.int32()),
+                          "keys": pa.array([b""], pa.binary()), "more": pa.array([strings.known().tobytes()], pa.binary())})
+        return pa.concat_tables([exchange.ask_rows(g, *strings.asked(), buckets), known])
 
     def remove(table: pa.Table, answers: pa.Table) -> pa.Table:
-        shard = Shard(table, width)
-        starts = np.empty(0, np.int64)
-        if table.num_rows and answers.num_rows:
-            kind = answers.column("kind").to_numpy()
-            strings = Strings(shard, exchange.gathered(answers.filter(pa.array(kind == 0)), np.uint8))
-            high, _, cls = strings.keys()
-            good = exchange.bits(answers.filter(pa.array(kind == 1)), np.diff(exchange.cuts(high, buckets)))
-            strings.repeated[cls] |= good
-            starts = strings.starts()
-        return _removed(shard, starts)
+        runs = np.frombuffer(b"".join(answers.column("runs").to_pylist()), "<u4").reshape(-1, 2).astype(np.int64)
+        first, length = runs[:, 0], runs[:, 1]
+        known = np.repeat(first - np.cumsum(length) + length, length) + np.arange(length.sum())
+        places = np.frombuffer(b"".join(answers.column("places").to_pylist()), "<u4").astype(np.int64)
+        return _removed(exchange.ordered(table), np.concatenate([known, places]), width)
 
     runs = exchange.answer(groups.groupBy("g").applyInArrow(candidates, exchange.ASKED), _run_answers)
-    strings = exchange.answer(groups.groupBy("g").cogroup(runs.groupBy("g")).applyInArrow(sort, exchange.ASKED),
-                              exchange.several_places)
-    both = runs.selectExpr("g", "bucket", "answer", "0 AS kind").union(strings.selectExpr("g", "bucket", "answer", "1 AS kind"))
-    return groups.groupBy("g").cogroup(both.groupBy("g")).applyInArrow(remove, RESULT)
+    asked = groups.groupBy("g").cogroup(runs.groupBy("g")).applyInArrow(sort, exchange.ASKED)
+    found = asked.groupBy("bucket").applyInArrow(_merge, "g int, places binary, runs binary")
+    return groups.groupBy("g").cogroup(found.groupBy("g")).applyInArrow(remove, RESULT)
 
 
-def _removed(shard: Shard, starts: np.ndarray) -> pa.Table:
-    gone = covered(len(shard.buf), starts, shard.width)
+def _removed(table: pa.Table, starts: np.ndarray, width: int) -> pa.Table:
+    buf, bounds = text_bytes(table.column("text"))
+    gone = covered(len(buf), starts, width)
     begins = gone.copy()
     begins[1:] &= ~gone[:-1]
-    a, z = shard.bounds[:-1], shard.bounds[1:]
+    a, z = bounds[:-1], bounds[1:]
     full = a < z
     begins[a[full]] = gone[a[full]]
     total, runs = np.r_[0, np.cumsum(gone)], np.r_[0, np.cumsum(begins)]
-    kept = [shard.buf[i:k][~gone[i:k]].tobytes() for i, k in zip(a, z)]
-    return pa.table({"doc_id": shard.table.column("doc_id"), "n_bytes": pa.array(z - a, pa.int64()),
+    kept = [buf[i:k][~gone[i:k]].tobytes() for i, k in zip(a, z)]
+    return pa.table({"doc_id": table.column("doc_id"), "n_bytes": pa.array(z - a, pa.int64()),
                      "n_removed": pa.array(total[z] - total[a], pa.int64()), "n_spans": pa.array(runs[z] - runs[a], pa.int64()),
                      "kept": pa.array(kept, pa.binary())})

@@ -166,3 +166,17 @@ def test_queries_equal_brute_force(spark):
     sets, find = near_brute(rows, 2, 80)
     four = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in queries.op4_minhash_near_dedup(spark, SF).collect()}
     assert four == {i: (len(s), find(i), find(i) == i) for (i, _), s in zip(rows, sets)}
+
+
+def test_digests_that_agree_in_64_bits_are_told_apart():
+    import numpy as np
+    def rest(*low):
+        out = np.empty(len(low), suffixes.REST)
+        out["low"], out["place"] = low, 7
+        return out
+    keys = [np.array(k, np.uint64) for k in ([5, 9], [5, 9], [12])]
+    # The lowest bit says that the list itself holds the string several times.
+    got = suffixes._elsewhere(keys, [rest(2, 4), rest(8, 4), rest(3)])
+    assert [g.tolist() for g in got] == [[False, True], [False, True], [True]]
+    got = suffixes._elsewhere(keys, [rest(2, 4), rest(2, 5), rest(2)])
+    assert [g.tolist() for g in got] == [[True, True], [True, True], [False]]
