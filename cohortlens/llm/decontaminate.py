@@ -4,6 +4,9 @@ Texts are compared after two changes that keep the length: A-Z becomes lower cas
 An occurrence of an item of m characters with at most k edits shares at least m - q + 1 - k * q of the item's
 q-grams with the text, on diagonals that lie within k of each other. Shared q-grams are therefore counted in
 bands of 2 * (k + 1) diagonals that overlap by half; bands that reach the bound are aligned.
+
+An item of fewer than q characters allows no edit and is found as it stands, not inside a longer word: a letter or digit at its
+end must not touch another one (letters are those of Latin scripts here, as others often go without blanks).
 """
 
 from dataclasses import dataclass
@@ -20,6 +23,8 @@ GRAM = 8
 EDIT_RATE = 0.08                 # edits allowed per character of an item
 CHUNK_BYTES = 16 << 20           # of benchmark text held by a task at once; a larger benchmark takes several passes
 TABLE_BITS = 22
+CELLS = 1 << 22                  # texts times items that are counted at once
+ENTRIES = 1 << 21                # shared q-grams held at once, however many items hold the same
 RESULT = "doc_id long, item_id long, start long, end long, edits int"
 
 
@@ -45,10 +50,25 @@ def budget(m: int, q: int, rate: float) -> int:
     return max(0, min(int(rate * m), (m - q) // q))
 
 
+def runs_of(points: np.ndarray, m: int) -> np.ndarray:
+    """A 64-bit hash of each run of m characters."""
+    n = max(0, len(points) - m + 1)
+    h = np.zeros(n, U)
+    for k in range(m):
+        h = mix(h + points[k:k + n].astype(U) + U(1))
+    return h
+
+
+def of_word(points: np.ndarray) -> np.ndarray:
+    """Which characters are digits or letters of Latin scripts (A-Z are lower case already)."""
+    digit, ascii_, more = (points >= 48) & (points <= 57), (points >= 97) & (points <= 122), (points >= 0xC0) & (points < 0x250)
+    return digit | ascii_ | (more & (points != 0xD7) & (points != 0xF7))
+
+
 @dataclass
 class Index:
-    """The q-grams of a bounded set of items."""
-    ids: np.ndarray
+    """The q-grams of a bounded set of items, and the whole of items that are shorter."""
+    ids: list[int | None]
     texts: list[np.ndarray]
     edits: np.ndarray
     least: np.ndarray        # shared q-grams that an occurrence must have
@@ -56,14 +76,15 @@ class Index:
     item: np.ndarray
     at: np.ndarray
     known: np.ndarray        # a table that rules out most q-grams of a text
+    short: dict[int, tuple[np.ndarray, np.ndarray]]      # by length: sorted hashes of short items, and the items
 
     @property
     def longest(self) -> int:
         return max(map(len, self.texts), default=0)
 
     @classmethod
-    def of(cls, rows: list[tuple[int, str]], q: int, rate: float) -> "Index":
-        rows = [(i, p) for i, p in ((i, code_points(t or "")) for i, t in rows) if len(p) >= q]
+    def of(cls, rows: list[tuple[int | None, str | None]], q: int, rate: float) -> "Index":
+        rows = [(i, p) for i, p in ((i, code_points(t or "")) for i, t in rows) if (p != 32).any()]
         sizes = np.array([len(p) for _, p in rows], np.int64)
         edits = np.array([budget(m, q, rate) for m in sizes], np.int64)
         hashes = [grams(p, q) for _, p in rows]
@@ -73,17 +94,45 @@ class Index:
         at = np.concatenate([*(np.arange(len(h)) for h in hashes), np.empty(0, np.int64)]).astype(np.int64)[order]
         known = np.zeros(1 << TABLE_BITS, bool)
         known[keys >> U(64 - TABLE_BITS)] = True
-        return cls(np.array([i for i, _ in rows], np.int64), [p for _, p in rows], edits,
-                   sizes - q + 1 - edits * q, keys[order], item, at, known)
-
-    def hits(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Positions in the text and entries of the index that hold the same q-gram."""
+        short = {}
+        for m in set(sizes[sizes < q].tolist()):
+            its = np.flatnonzero(sizes == m)
+            whole = np.concatenate([runs_of(rows[i][1], m) for i in its])
+            by = np.argsort(whole, kind="stable")
+            short[m] = whole[by], its[by]
+        return cls([i for i, _ in rows], [p for _, p in rows], edits, sizes - q + 1 - edits * q, keys[order], item, at, known, short)
+
+    def hits(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Positions in the text whose q-gram the index holds, the first of its entries and their number."""
         where = np.flatnonzero(self.known[hashes >> U(64 - TABLE_BITS)])
         low = np.searchsorted(self.keys, hashes[where])
         high = np.searchsorted(self.keys, hashes[where], "right")
-        where, low, n = where[high > low], low[high > low], (high - low)[high > low]
-        entry = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
-        return np.repeat(where, n), entry
+        return where[high > low], low[high > low], (high - low)[high > low]
+
+    def whole(self, points: np.ndarray) -> list[tuple[int, int, int]]:
+        """(item, start, end) of the short items in one text or several, by length and place."""
+        out, word = [], of_word(points) if self.short else None
+        for m, (keys, its) in sorted(self.short.items()):
+            hashes = runs_of(points, m)
+            at = np.arange(len(hashes))
+            inside = np.zeros(len(hashes), bool)           # of a longer word
+            inside[1:] |= word[:-1][:len(hashes) - 1] & word[1:len(hashes)] if len(hashes) > 1 else False
+            after = at + m < len(points)
+            inside[after] |= word[at[after] + m - 1] & word[at[after] + m]
+            at = at[~inside]
+            low, high = np.searchsorted(keys, hashes[at]), np.searchsorted(keys, hashes[at], "right")
+            for p, a, z in zip(at[high > low].tolist(), low[high > low].tolist(), high[high > low].tolist()):
+                out += [(int(i), p, p + m) for i in its[a:z] if np.array_equal(self.texts[i], points[p:p + m])]
+        return out
+
+
+def pieces(where: np.ndarray, low: np.ndarray, n: np.ndarray):
+    """(positions, entries) of hits, written out in pieces of about ENTRIES."""
+    total = np.cumsum(n)
+    edges = np.unique(np.r_[0, np.searchsorted(total, np.arange(ENTRIES, int(n.sum()), ENTRIES)), len(n)])
+    for a, z in zip(edges[:-1], edges[1:]):
+        count = n[a:z]
+        yield np.repeat(where[a:z], count), np.repeat(low[a:z] - np.cumsum(count) + count, count) + np.arange(count.sum())
 
 
 def align(item: np.ndarray, text: np.ndarray, low: int, high: int, most: int) -> tuple[int, int, int] | None:
@@ -152,27 +201,45 @@ def find(index: Index, points: np.ndarray, pos: np.ndarray, entry: np.ndarray) -
 
 
 def search(index: Index, texts: list[str], q: int) -> list[tuple[int, int, int, int, int]]:
-    """(text, item, start, end, edits) in a slice of texts, which are looked up together and aligned one by one."""
-    if not len(index.keys):
+    """(text, item, start, end, edits) in a slice of texts, which are looked up together and aligned one by one.
+
+    A q-gram that many items share is not written out for all its places at once: shared q-grams are counted piece by piece
+    for each text and item, and only those of pairs that reach the item's bound are kept.
+    """
+    if not index.ids:
         return []
+    if len(texts) > 1 and len(texts) * len(index.ids) > CELLS:
+        half = len(texts) // 2
+        return search(index, texts[:half], q) + [(t + half, *hit) for t, *hit in search(index, texts[half:], q)]
     points = code_points("".join(texts))
     starts = np.cumsum([0, *map(len, texts)])
-    pos, entry = index.hits(grams(points, q))
-    text = np.searchsorted(starts, pos, "right") - 1
-    inside = pos + q <= starts[text + 1]
-    pos, entry, text = pos[inside], entry[inside], text[inside]
+    where, low, n = index.hits(grams(points, q))
+    text = np.searchsorted(starts, where, "right") - 1
+    inside = where + q <= starts[text + 1]
+    where, low, n = where[inside], low[inside], n[inside]
+
+    def codes(pos, entry):
+        return (np.searchsorted(starts, pos, "right") - 1) * len(index.ids) + index.item[entry]
+    counts = np.zeros(len(texts) * len(index.ids) if len(where) else 0, np.int64)
+    for pos, entry in pieces(where, low, n):
+        code, more = np.unique(codes(pos, entry), return_counts=True)
+        counts[code] += more
     # An item with too few shared q-grams in a whole text has no crowded band in it.
-    code = text * len(index.ids) + index.item[entry]
-    if len(texts) * len(index.ids) <= 1 << 22:
-        enough = (np.bincount(code) if len(code) else code)[code] >= index.least[index.item[entry]]
-    else:
-        codes, where, n = np.unique(code, return_inverse=True, return_counts=True)
-        enough = (n >= index.least[codes % len(index.ids)])[where]
-    pos, entry, text = pos[enough], entry[enough], text[enough]
+    kept = [(pos[enough], entry[enough]) for pos, entry in pieces(where, low, n)
+            for enough in [counts[codes(pos, entry)] >= index.least[index.item[entry]]]]
+    pos = np.concatenate([p for p, _ in kept] + [np.empty(0, np.int64)])
+    entry = np.concatenate([e for _, e in kept] + [np.empty(0, np.int64)])
+    text = np.searchsorted(starts, pos, "right") - 1
     out = []
     for t in np.unique(text):
         mine = text == t
         out += [(int(t), *hit) for hit in find(index, points[starts[t]:starts[t + 1]], pos[mine] - starts[t], entry[mine])]
+    for t in range(len(texts) if index.short else 0):
+        last: dict[int, int] = {}
+        for i, a, z in index.whole(points[starts[t]:starts[t + 1]]):
+            if a >= last.get(i, 0):
+                last[i] = z
+                out.append((t, i, a, z, 0))
     return out
 
 
@@ -181,7 +248,7 @@ def _scan(batches, shared, q: int):
     for batch in batches:
         for part in slices(batch, "text"):
             docs = part.column("doc_id").to_pylist()
-            rows = [(docs[t], int(index.ids[i]), a, z, c)
+            rows = [(docs[t], index.ids[i], a, z, c)
                     for t, i, a, z, c in search(index, [t or "" for t in part.column("text").to_pylist()], q)]
             columns = list(zip(*rows)) or [()] * 5
             yield pa.RecordBatch.from_arrays(
@@ -194,9 +261,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id
                  edit_rate: float = EDIT_RATE, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """One row for each occurrence of an item in a document: (doc_id, item_id, start, end, edits).
 
-    ``start`` and ``end`` count characters of the document. Missing and empty texts and items, and items of fewer
-    than q characters, match nothing. A repeated row is searched as often as it occurs; a repeated item is found under
-    each of its ids. Rows without an id are searched too and carry a null. Other columns are ignored.
+    ``start`` and ``end`` count characters of the document. Missing and empty texts and items, and items of white space,
+    match nothing; items of fewer than q characters match as they stand, where they are not part of a longer word. A
+    repeated row is searched as often as it occurs; a repeated item is found under each of its ids. Rows and items
+    without an id are searched too and carry a null. Other columns are ignored.
 
     The items are read into a broadcast index while their measured size is below ``chunk_bytes``. A larger benchmark is cut
     by a hash into chunks below it, each searched in a pass of its own whose matches are written before the next begins.
@@ -237,9 +305,9 @@ def _clean(batches, shared, text: str, q: int):
 def _indexes(benchmark: DataFrame, item_column: str, item_text: str, q: int, edit_rate: float, chunk_bytes: int):
     """(broadcast index, is it the last) for each chunk of the items."""
     items = (benchmark.select(F.col(item_column).cast("long").alias("item_id"), F.col(item_text).cast("string").alias("text"))
-             .where(F.length("text") >= q).distinct())
+             .where(F.length("text") > 0).distinct())
     chunks = max(1, -(-measured_bytes(items) // chunk_bytes))
     for c in range(chunks):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(chunks)) == c)
-        yield benchmark.sparkSession.sparkContext.broadcast(
-            Index.of(sorted((r.item_id, r.text) for r in rows.where("item_id IS NOT NULL").toLocalIterator()), q, edit_rate)), c == chunks - 1
+        held = sorted(((r.item_id, r.text) for r in rows.toLocalIterator()), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+        yield benchmark.sparkSession.sparkContext.broadcast(Index.of(held, q, edit_rate)), c == chunks - 1

@@ -132,11 +132,62 @@ def test_contamination_of_odd_rows(spark, corpus, odd_rows):
     for size in (decontaminate.CHUNK_BYTES, 200):
         got = decontaminate.contaminated(corpus(rows), bench, chunk_bytes=size).collect()
         assert sorted(((r.doc_id, r.item_id, r.start, r.end, r.edits) for r in got), key=repr) == sorted(
-            [(40, 1, 2, 2 + len(item), 0), (41, 1, 0, len(item), 0), (None, 1, 0, len(item), 0)], key=repr)
+            [(d, i, at, at + len(item), 0) for d, at in ((40, 2), (41, 0), (None, 0)) for i in (1, None)], key=repr)
     assert decontaminate.contaminated(corpus(rows), bench.where("false")).count() == 0
     assert decontaminate.contaminated(corpus([]), bench).count() == 0
 
 
+def test_items_equal_a_full_edit_table():
+    rng = random.Random(12)
+    for seed in range(25):
+        items = [(i, "".join(rng.choice("abcde ") for _ in range(n)).strip() or "a") for i, n in enumerate([9, 14, 26, 30, 52, 60])]
+        texts = []
+        for _ in range(6):
+            parts = ["".join(rng.choice("abcde ") for _ in range(rng.randrange(60)))]
+            for _, item in rng.sample(items, 2):
+                letters = list(item)
+                for _ in range(rng.randrange(7)):
+                    at = rng.randrange(len(letters))
+                    letters[at:at + 1] = rng.choice([["z"], [], [letters[at], "q"]])
+                    letters = letters or ["a"]
+                parts += ["".join(letters), "".join(rng.choice("abcde ") for _ in range(rng.randrange(30)))]
+            texts.append("".join(parts))
+        index = decontaminate.Index.of(items, 8, decontaminate.EDIT_RATE)
+        found = {(t, index.ids[i]) for t, i, *_ in decontaminate.search(index, texts, 8)}
+        expected = set()
+        for t, text in enumerate(texts):
+            for i, item in items:
+                row = [0] * (len(text) + 1)
+                for c in item:
+                    new = [row[0] + 1]
+                    for j, d in enumerate(text):
+                        new.append(min(row[j] + (c != d), row[j + 1] + 1, new[-1] + 1))
+                    row = new
+                if len(item) >= 8 and min(row) <= decontaminate.budget(len(item), 8, decontaminate.EDIT_RATE):
+                    expected.add((t, i))
+        assert {(t, i) for t, i in found if len(items[i][1]) >= 8} == expected
+
+
+def test_short_items_match_as_they_stand():
+    index = decontaminate.Index.of([(1, "Cat"), (2, "cat"), (3, "北京"), (None, "a b"), (5, "--"), (6, " \n"), (7, "é")], 8, 0.08)
+    texts = ["a cat, concat cats CAT", "我在北京市", "cat", "", "a\tb a  b ----", "caté é", "ca", "t"]
+    got = [(t, index.ids[i], a, z) for t, i, a, z, _ in decontaminate.search(index, texts, 8)]
+    assert sorted(got, key=repr) == sorted([
+        (0, 1, 2, 5), (0, 2, 2, 5), (0, 1, 19, 22), (0, 2, 19, 22), (1, 3, 2, 4), (2, 1, 0, 3), (2, 2, 0, 3),
+        (4, None, 0, 3), (4, 5, 9, 11), (4, 5, 11, 13), (5, 7, 5, 6)], key=repr)
+
+
+def test_frequent_grams_in_pieces(monkeypatch):
+    items = [(i, "the same beginning of all " + prose(i, 12)) for i in range(40)]
+    texts = [t for _, t in items[:9]] + ["the same beginning of all " * 30]
+    index = decontaminate.Index.of(items, 8, 0.08)
+    whole = decontaminate.search(index, texts, 8)
+    assert {(t, index.ids[i]) for t, i, *_ in whole} == {(k, k) for k in range(9)}
+    monkeypatch.setattr(decontaminate, "ENTRIES", 100)
+    monkeypatch.setattr(decontaminate, "CELLS", 90)
+    assert sorted(decontaminate.search(index, texts, 8)) == sorted(whole)
+
+
 # --- Quality ---------------------------------------------------------------------------------
 
 def test_quality_on_the_held_out_fold(spark):
