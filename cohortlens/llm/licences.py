@@ -39,9 +39,12 @@ GENERAL = ["Licensed under the terms of the accompanying agreement", "This work
            "use is subject to license terms", "Released under a custom license"]
 OTHER, UNKNOWN = "other", "unknown"
 TOKEN = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
-SAMPLE = 3000            # corpus paragraphs in training at most, those with the smallest hash
+SAMPLE = 3000            # different corpus paragraphs in training at most, those with the smallest hash
+LONGEST = 16 << 10       # bytes of a paragraph in training at most; longer ones are not taken
+FILLERS = 4000           # words that surround variants of templates, from the paragraphs in training
 PENALTY, STEPS, LEAST = 0.0005, 200, 0.05
 THRESHOLD, SIMILAR = 0.5, 0.6
+PIECES = 16              # the rows of one text meet in as many tasks
 
 
 def grams_of(text: str) -> set[str]:
@@ -96,7 +99,8 @@ def fit(paragraphs: list[str], seed: int = 5) -> LicenceModel:
     rng = np.random.default_rng(seed)
     known = {g for ts in [*TEMPLATES.values(), GENERAL] for t in ts for g in grams_of(t) if g.count(" ") == 2}
     plain = sorted(p for p in paragraphs if not known & grams_of(p))
-    filler = sorted({w for p in plain[:400] for w in p.split()})[:4000]
+    filler = sorted({w for p in plain for w in p.split()})
+    filler = [str(w) for w in rng.choice(filler, size=FILLERS, replace=False)] if len(filler) > FILLERS else filler
     classes = [*TEMPLATES, UNKNOWN, OTHER]
     rows, y = [], []
     for k, name in enumerate(classes[:-1]):
@@ -138,34 +142,45 @@ def fit(paragraphs: list[str], seed: int = 5) -> LicenceModel:
     return LicenceModel(classes, w[-1].tolist(), kept, min(loss, key=loss.get))
 
 
-def paragraphs_of(docs: DataFrame, id_column: str, text: str) -> DataFrame:
-    return docs.select(F.col(id_column).cast("long").alias("doc_id"),
-                       F.posexplode(F.split(F.coalesce(F.col(text).cast("string"), F.lit("")), "\n")).alias("place", "paragraph"))
+def paragraphs_of(docs: DataFrame, key: list[str], text: str) -> DataFrame:
+    return docs.select(*key, F.posexplode(F.split(F.col(text), "\n")).alias("place", "paragraph"))
 
 
-def train(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> LicenceModel:
-    """Fit with at most ``sample`` paragraphs of the corpus (a documented bound) beside the templates."""
+def train(docs: DataFrame, text: str = "text", sample: int = SAMPLE, longest: int = LONGEST) -> LicenceModel:
+    """Fit with at most ``sample`` different paragraphs of the corpus beside the templates, none of more than ``longest`` bytes.
+
+    Both are documented bounds of training alone. The paragraphs of the smallest hashes are taken, whole; a cut-off from their
+    counted number leaves few for the final choice.
+    """
     rows = (docs.select(F.explode(F.split(F.coalesce(F.col(text).cast("string"), F.lit("")), "\n")).alias("p"))
-            .where("p != ''").orderBy(F.xxhash64("p"), "p").limit(sample))
-    return fit([r.p[:2000] for r in rows.toLocalIterator()])
+            .where((F.col("p") != "") & (F.octet_length("p") <= longest)).select("p", F.xxhash64("p").alias("h")))
+    different = rows.agg(F.approx_count_distinct("h", 0.02)).first()[0]
+    if different > 2 * sample:       # twice the share, so that the estimate's error can't leave too few
+        rows = rows.where(F.col("h") < int(-2**63 + 2**64 * (2 * sample / different)))
+    return fit([r.p for r in rows.distinct().orderBy("h", "p").limit(sample).toLocalIterator()])
 
 
 def scan(docs: DataFrame, model: LicenceModel, id_column: str = "doc_id", text: str = "text",
          threshold: float = THRESHOLD, similar: float = SIMILAR) -> DataFrame:
     """(doc_id, family, probability, similarity, confirmed, n_notices) for every row of ``docs``.
 
-    ``family`` is that of the document's best notice (confirmed ones first, then by probability), ``unknown``, or ``none`` for a
-    document without notices; a missing or empty text has none. ``n_notices`` counts its paragraphs that are notices. Rows that
-    share an id, or have none, are judged together and each carry the result. Other columns are ignored.
+    ``family`` is that of the document's best notice (confirmed ones first, then by probability, of 9 digits so that the order of a
+    sum can't decide, then by similarity), ``unknown``, or ``none`` for a
+    document without notices; a missing or empty text has none. ``n_notices`` counts its paragraphs that are notices. Each row
+    is judged by its own text, also when rows share an id or have none: what is found is a matter of the text alone, so
+    texts of a weighted n-gram are judged once each, by two hashes of 64 bits, and rows join by them. Other columns are ignored.
     """
     spark: SparkSession = docs.sparkSession
     pattern = model.pattern()
-    found = (paragraphs_of(docs.where(F.lower(F.col(text)).rlike(pattern)), id_column, text)
-             .where(F.lower("paragraph").rlike(pattern))
-             .select("doc_id", "place", F.xxhash64("paragraph").alias("_h"), grams(F.col("paragraph")).alias("grams")))
+    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    own = [F.xxhash64("text").alias("_h"), F.xxhash64(F.lit(7), "text").alias("_h2")]
+    # Rows without text match nothing; a null keeps them from meeting under one key.
+    marked = rows.select("doc_id", *[F.when(F.col("text") != "", h).alias(n) for h, n in zip(own, ("_h", "_h2"))])
+    texts = rows.where(F.lower("text").rlike(pattern)).select("text", *own)
+    found = (paragraphs_of(texts, ["_h", "_h2"], "text").where(F.lower("paragraph").rlike(pattern))
+             .dropDuplicates(["_h", "_h2", "place"]).select("_h", "_h2", "place", grams(F.col("paragraph")).alias("grams")))
     table = spark.createDataFrame([(g, [float(v) for v in w]) for g, w in model.weights.items()], "gram string, w array<double>")
-    key = ["doc_id", "place", "_h"]
-    k = len(model.classes)
+    key = ["_h", "_h2", "place"]
     # The table is bounded by the templates. One row per n-gram of a notice, summed by class.
     sums = (found.select(*key, F.explode("grams").alias("gram")).join(F.broadcast(table), "gram")
             .groupBy(*key).agg(F.array(*[F.sum(F.element_at("w", i + 1)) for i in range(len(model.classes))]).alias("s"),
@@ -187,11 +202,16 @@ def scan(docs: DataFrame, model: LicenceModel, id_column: str = "doc_id", text:
     compared = judged.withColumn("similarity", F.coalesce(F.array_max(F.transform(
         F.try_element_at(parts, F.col("family")),
         lambda t: F.try_divide(F.size(F.array_intersect(F.col("held"), t)), F.size(t)))), F.lit(0.0)))
-    notice = F.struct((F.col("similarity") >= similar).alias("confirmed"), F.col("best").alias("probability"), "similarity", "family")
-    per_doc = compared.groupBy("doc_id").agg(F.max(notice).alias("n"), F.count(F.lit(1)).alias("n_notices"))
-    per_doc = per_doc.withColumnRenamed("doc_id", "_doc")
-    ids = docs.select(F.col(id_column).cast("long").alias("doc_id"))
-    return (ids.join(per_doc, F.col("doc_id").eqNullSafe(F.col("_doc")), "left")
+    notice = F.struct((F.col("similarity") >= similar).alias("confirmed"), F.round("best", 9).alias("probability"), "similarity", "family")
+    per_text = compared.groupBy("_h", "_h2").agg(F.max(notice).alias("n"), F.count(F.lit(1)).alias("n_notices"))
+    return (_joined(marked, per_text)
             .select("doc_id", F.coalesce("n.family", F.lit("none")).alias("family"), F.coalesce("n.probability", F.lit(0.0)).alias("probability"),
                     F.coalesce("n.similarity", F.lit(0.0)).alias("similarity"), F.coalesce("n.confirmed", F.lit(False)).alias("confirmed"),
                     F.coalesce("n_notices", F.lit(0)).alias("n_notices")))
+
+
+def _joined(rows: DataFrame, per_text: DataFrame) -> DataFrame:
+    """Every row with what its text has; a text may belong to any share of the rows, so these are dealt to PIECES salts."""
+    salted = rows.withColumn("_salt", F.pmod(F.coalesce(F.xxhash64("doc_id", "_h"), F.lit(0)), F.lit(PIECES)).cast("int"))
+    copies = per_text.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(PIECES - 1))))
+    return salted.join(copies, ["_h", "_h2", "_salt"], "left")

@@ -223,6 +223,54 @@ def test_licence_families(spark, corpus, odd_rows):
     assert licences.scan(corpus([]), model).count() == 0
 
 
+def plain_scan(model, text):
+    """What the model says of one text, without Spark."""
+    best, n = None, 0
+    for paragraph in (text or "").split("\n"):
+        held = licences.grams_of(paragraph) & model.weights.keys()
+        if not held:
+            continue
+        logits = (np.sum([model.weights[g] for g in held], axis=0) + model.bias) / model.temperature
+        p = np.exp(logits - logits.max()) / np.exp(logits - logits.max()).sum()
+        at, top = int(np.argmax(p[:-2])), float(p[:-2].max())
+        family = model.classes[at] if top >= licences.THRESHOLD else licences.UNKNOWN if p[-1] < 1 - licences.THRESHOLD else None
+        if family is None:
+            continue
+        n += 1
+        parts = [licences.grams_of(t) & model.weights.keys() for t in licences.TEMPLATES.get(family, [])]
+        similar = max([len(held & part) / len(part) for part in parts if part], default=0.0)
+        notice = (similar >= licences.SIMILAR, round(top, 9), round(similar, 9), family)
+        best = max(best or notice, notice)
+    confirmed, top, similar, family = best or (False, 0.0, 0.0, "none")
+    return family, top, similar, confirmed, n
+
+
+def test_licences_equal_a_plain_scan_row_by_row(spark, corpus, odd_rows):
+    plain = [prose(s, 40).capitalize() + "." for s in range(60)]
+    model = licences.fit(plain)
+    notices = [t for ts in [*licences.TEMPLATES.values(), licences.GENERAL] for t in ts]
+    rng = random.Random(4)
+    rows = [*odd_rows, (None, "nothing at all here"), (None, "Released under the MIT License"), (None, "Released under the MIT License")]
+    for k in range(60):
+        words = rng.choice(notices).split()
+        text = " ".join(words[rng.randrange(3):len(words) - rng.randrange(3)])
+        rows.append((rng.choice([None, 70, 100 + k]), "\n".join([plain[k], plain[k - 1] + " " + text + " " + plain[k - 2], rng.choice(notices), text])))
+    got = sorted(((r.doc_id, r.family, round(r.probability, 6), round(r.similarity, 6), r.confirmed, r.n_notices)
+                  for r in licences.scan(corpus(rows), model).collect()), key=repr)
+    want = sorted(((i, f, round(p, 6), round(s, 6), c, n) for i, (f, p, s, c, n) in ((i, plain_scan(model, t)) for i, t in rows)), key=repr)
+    assert got == want
+
+
+def test_licence_training_takes_different_whole_paragraphs(spark, corpus, monkeypatch):
+    monkeypatch.setattr(licences, "fit", lambda paragraphs: paragraphs)
+    many = [prose(s, 6) for s in range(300)]
+    docs = corpus([(k, "\n".join([p, "one line that all have", "", "x" * 20_000])) for k, p in enumerate(many)] + [(None, None)])
+    got = licences.train(docs, sample=50)
+    assert len(got) == len(set(got)) == 50 and set(got) <= {*many, "one line that all have"}
+    assert sorted(licences.train(docs, sample=1000)) == sorted({*many, "one line that all have"})
+    assert licences.train(corpus([])) == []
+
+
 # --- Fingerprints ----------------------------------------------------------------------------
 
 def prints(df):
