@@ -6,9 +6,10 @@ distance from its start. The starts of a text therefore fall into runs by the pl
 twice in a run, and a run can only repeat something if its hash has another run. Shards ask for that first; all else (most of a corpus) never enters an array.
 
 If all runs of a hash are equal, they repeat as a whole. Each shard sorts the suffixes of its other runs down to ``width`` bytes. Neighbours with a common prefix of
-``width`` bytes repeat within the shard. One string of each class of equal ones goes with its place, sorted by its digest, to the
-merge, where each shard's list is found by binary search in the union of all lists of its key range. The merge sends the places
-of strings that another shard holds too back to their shard, so arrays and prefixes are made once.
+``width`` bytes repeat within the shard. One string of each class of equal ones goes to the merge as a digest of 120 bits with its
+place; lists are in order of place, which packs into a byte or two each. There each list is found by binary search in the sorted
+union of all lists of its key range. The places of strings that another shard holds too go back to their shard, so arrays and
+prefixes are made once.
 """
 
 import numpy as np
@@ -24,7 +25,9 @@ SLICE = 1 << 18
 GROUP_BYTES = 3 << 20       # of text in a shard, whose suffixes one task holds
 BUCKET_BYTES = 24 << 20      # text whose runs meet in one bucket
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
-REST = np.dtype([("low", "<u8"), ("place", "<u4")])     # Arrow strings of a shard stay below 2 GB
+LOW_BYTES = 7               # of the second half of a digest
+LOW = U((1 << 8 * LOW_BYTES) - 1)
+WIDE = (1 << 16) - 1        # gaps between places from here on take four bytes more; a shard's text is below 2 GB
 
 
 def suffix_array(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -237,36 +240,28 @@ class Strings:
         return np.minimum.reduceat(prefix[:at[-1] + 1], np.r_[0, at[:-1] + 1])
 
     def keys(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """128 bits of one string of each class, sorted, and the classes."""
-        if not len(self.sample):
-            return np.empty(0, U), np.empty(0, U), self.sample
+        """A digest in two halves of one string of each class, and the strings' places, in order of place.
+
+        The lowest bit of the second half says that the shard holds the string several times.
+        """
+        order = np.argsort(self.sample)
+        places = self.sample[order]
         codes = random_words(1 << 9, 31)
-        high, low = np.empty(len(self.sample), U), np.empty(len(self.sample), U)
-        by_place = np.argsort(self.sample)
-        places = self.sample[by_place]
+        high, low = np.empty(len(places), U), np.empty(len(places), U)
         for lo in range(0, len(self.text) - self.width + 1, SLICE):
             a, z = np.searchsorted(places, (lo, lo + SLICE))
             part = self.text[lo:lo + SLICE + self.width - 1]
             at = places[a:z] - lo
-            high[by_place[a:z]] = rolling(part, self.width, 5)[at]
-            low[by_place[a:z]] = rolling(codes[part], self.width, 9)[at]
-        low |= U(1)
-        low = np.where(self.repeated, low, low - U(1))
-        order = exchange.order_by(high, low)
-        return high[order], low[order], order
+            high[a:z] = rolling(part, self.width, 5)[at]
+            low[a:z] = rolling(codes[part], self.width, 9)[at]
+        low = (low & LOW) | U(1)
+        return high, np.where(self.repeated[order], low, low - U(1)), self._places(places)
 
     def _places(self, at: np.ndarray) -> np.ndarray:
         """Where in the shard's bytes rows of the joined regions start."""
         region = np.searchsorted(self.at, at, "right") - 1
         return self.first[region] + at - self.at[region] if len(at) else at
 
-    def asked(self) -> tuple[np.ndarray, np.ndarray]:
-        """The keys of the classes in order, and the rest of them with one place of each."""
-        high, low, cls = self.keys()
-        rest = np.empty(len(high), REST)
-        rest["low"], rest["place"] = low, self._places(self.sample[cls])
-        return high, rest
-
     def known(self) -> np.ndarray:
         """Runs (first, length) of starts that this shard knows to be repeated, in order."""
         at = np.sort(self._places(self.order[self.repeated[self.cls]]))
@@ -276,35 +271,66 @@ class Strings:
         return np.stack([first, length], axis=1).astype("<u4")
 
 
-def _elsewhere(keys: list[np.ndarray], rests: list[np.ndarray]) -> list[np.ndarray]:
-    """Which strings of each sorted list have several places, by binary search of each list in the union of all."""
-    union, at = exchange.merged(keys)
-    # Where 64 bits agree the other 64 must too; if any differ, all lists are ordered by both.
+def pack_places(places: np.ndarray) -> bytes:
+    """Ascending places as gaps of two bytes, all low bytes first, and the wide ones behind."""
+    gaps = np.diff(places, prepend=0)
+    return np.minimum(gaps, WIDE).astype("<u2").view(np.uint8).reshape(-1, 2).T.tobytes() + gaps[gaps >= WIDE].astype("<u4").tobytes()
+
+
+def unpack_places(data: bytes, n: int) -> np.ndarray:
+    gaps = np.frombuffer(data, np.uint8, 2 * n).reshape(2, n).T.copy().view("<u2").ravel().astype(np.int64)
+    gaps[gaps == WIDE] = np.frombuffer(data, "<u4", offset=2 * n)
+    return np.cumsum(gaps)
+
+
+def _ask(g: int, high: np.ndarray, low: np.ndarray, places: np.ndarray, runs: np.ndarray, buckets: int) -> pa.Table:
+    """One row for each bucket of keys, and one with the runs that the shard knows, which has no keys."""
+    edges = np.array([i * exchange.FULL // buckets for i in range(1, buckets)], dtype=U)
+    bucket = np.searchsorted(edges, high, "right")
+    order = np.argsort(bucket, kind="stable")
+    high, low, places = high[order], low[order], places[order]
+    at = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    rows = [(b, high[a:z].tobytes(), low[a:z].view(np.uint8).reshape(-1, 8)[:, :LOW_BYTES].tobytes() + pack_places(places[a:z]))
+            for b, (a, z) in enumerate(zip(at[:-1], at[1:])) if a < z]
+    rows.append((g % buckets, b"", runs.tobytes()))
+    return pa.table({"g": pa.array([g] * len(rows), pa.int32()), "bucket": pa.array([r[0] for r in rows], pa.int32()),
+                     "keys": pa.array([r[1] for r in rows], pa.binary()), "more": pa.array([r[2] for r in rows], pa.binary())})
+
+
+def _elsewhere(highs: list[np.ndarray], lows: list[np.ndarray]) -> list[np.ndarray]:
+    """Which strings of each list have several places, by binary search of each list in the sorted union of all."""
+    union, at = exchange.merged(highs)
+    # Where 64 bits agree the others must too; if any differ, all lists are ordered by both.
     second = np.empty(len(union), U)
-    for k, rest in zip(at, rests):
-        second[k] = rest["low"] | U(1)
-    if any((second[k] != rest["low"] | U(1)).any() for k, rest in zip(at, rests)):
-        packed = exchange.several_places(keys, [np.ascontiguousarray(r["low"]).tobytes() for r in rests])
-        return [np.unpackbits(b)[:len(k)].astype(bool) for b, k in zip(packed, keys)]
+    for k, low in zip(at, lows):
+        second[k] = low | U(1)
+    if any((second[k] != low | U(1)).any() for k, low in zip(at, lows)):
+        packed = exchange.several_places(highs, [low.tobytes() for low in lows])
+        return [np.unpackbits(b)[:len(k)].astype(bool) for b, k in zip(packed, highs)]
     held = np.zeros(len(union), np.int64)
-    for k, rest in zip(at, rests):
-        held[k] += 1 + (rest["low"] & U(1)).astype(np.int64)
+    for k, low in zip(at, lows):
+        held[k] += 1 + (low & U(1)).astype(np.int64)
     return [held[k] > 1 for k in at]
 
 
 def _merge(table: pa.Table) -> pa.Table:
     """The places that each shard learns from a bucket; what a shard knows itself passes through."""
-    table = table.sort_by("g")
-    own = np.array([not k for k in table.column("keys").to_pylist()], bool)
-    asked = table.filter(pa.array(~own))
-    rests = [np.frombuffer(m, REST) for m in asked.column("more").to_pylist()]
-    found = _elsewhere([exchange.unpack(k) for k in asked.column("keys").to_pylist()], rests) if rests else []
-    # A shard already knows the places of what it holds several times.
-    places = [r["place"][good & (r["low"] & U(1) == 0)].tobytes() for r, good in zip(rests, found)]
-    known = table.filter(pa.array(own))
-    return pa.table({"g": pa.concat_arrays([asked.column("g").combine_chunks(), known.column("g").combine_chunks()]),
-                     "places": pa.array(places + [b""] * known.num_rows, pa.binary()),
-                     "runs": pa.array([b""] * len(places) + known.column("more").to_pylist(), pa.binary())})
+    highs, lows, places, out = [], [], [], []
+    for row in table.sort_by("g").to_pylist():
+        if not row["keys"]:
+            out.append((row["g"], 0, b"", row["more"]))
+            continue
+        highs.append(np.frombuffer(row["keys"], "<u8"))
+        n = len(highs[-1])
+        low = np.zeros((n, 8), np.uint8)
+        low[:, :LOW_BYTES] = np.frombuffer(row["more"], np.uint8, n * LOW_BYTES).reshape(n, LOW_BYTES)
+        lows.append(low.view("<u8").ravel())
+        places.append((row["g"], unpack_places(row["more"][n * LOW_BYTES:], n)))
+    for (g, at), low, several in zip(places, lows, _elsewhere(highs, lows) if highs else []):
+        learnt = at[several & (low & U(1) == 0)]       # the shard knows what it holds several times
+        out.append((g, len(learnt), pack_places(learnt), b""))
+    return pa.table({"g": pa.array([r[0] for r in out], pa.int32()), "n": pa.array([r[1] for r in out], pa.int32()),
+                     "places": pa.array([r[2] for r in out], pa.binary()), "runs": pa.array([r[3] for r in out], pa.binary())})
 
 
 def repeated_bytes(docs: DataFrame, id_column: str = "doc_id", text: str = "text", width: int = 200,
@@ -326,22 +352,19 @@ def repeated_bytes(docs: DataFrame, id_column: str = "doc_id", text: str = "text
     def sort(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
             return exchange.ask_rows(0, np.empty(0, U), np.empty(0, U), buckets)
-        g = table.column("g")[0].as_py()
         strings = Strings(Shard(table, width), exchange.gathered(answers, np.uint8))
-        known = pa.table({"g": pa.array([g], pa.int32()), "bucket": pa.array([g % buckets], pa.int32()),
-                          "keys": pa.array([b""], pa.binary()), "more": pa.array([strings.known().tobytes()], pa.binary())})
-        return pa.concat_tables([exchange.ask_rows(g, *strings.asked(), buckets), known])
+        return _ask(table.column("g")[0].as_py(), *strings.keys(), strings.known(), buckets)
 
     def remove(table: pa.Table, answers: pa.Table) -> pa.Table:
         runs = np.frombuffer(b"".join(answers.column("runs").to_pylist()), "<u4").reshape(-1, 2).astype(np.int64)
         first, length = runs[:, 0], runs[:, 1]
         known = np.repeat(first - np.cumsum(length) + length, length) + np.arange(length.sum())
-        places = np.frombuffer(b"".join(answers.column("places").to_pylist()), "<u4").astype(np.int64)
-        return _removed(exchange.ordered(table), np.concatenate([known, places]), width)
+        places = [unpack_places(p, n) for p, n in zip(answers.column("places").to_pylist(), answers.column("n").to_pylist())]
+        return _removed(exchange.ordered(table), np.concatenate([known, *places]), width)
 
     runs = exchange.answer(groups.groupBy("g").applyInArrow(candidates, exchange.ASKED), _run_answers)
     asked = groups.groupBy("g").cogroup(runs.groupBy("g")).applyInArrow(sort, exchange.ASKED)
-    found = asked.groupBy("bucket").applyInArrow(_merge, "g int, places binary, runs binary")
+    found = asked.groupBy("bucket").applyInArrow(_merge, "g int, n int, places binary, runs binary")
     return groups.groupBy("g").cogroup(found.groupBy("g")).applyInArrow(remove, RESULT)
 
 

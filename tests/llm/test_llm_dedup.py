@@ -170,13 +170,14 @@ def test_queries_equal_brute_force(spark):
 
 def test_digests_that_agree_in_64_bits_are_told_apart():
     import numpy as np
-    def rest(*low):
-        out = np.empty(len(low), suffixes.REST)
-        out["low"], out["place"] = low, 7
-        return out
-    keys = [np.array(k, np.uint64) for k in ([5, 9], [5, 9], [12])]
+    highs = [np.array(k, np.uint64) for k in ([9, 5], [5, 9], [12])]
     # The lowest bit says that the list itself holds the string several times.
-    got = suffixes._elsewhere(keys, [rest(2, 4), rest(8, 4), rest(3)])
-    assert [g.tolist() for g in got] == [[False, True], [False, True], [True]]
-    got = suffixes._elsewhere(keys, [rest(2, 4), rest(2, 5), rest(2)])
-    assert [g.tolist() for g in got] == [[True, True], [True, True], [False]]
+    for lows, want in ([[4, 2], [8, 4], [3]], [[True, False], [False, True], [True]]), ([[4, 2], [2, 5], [2]], [[True, True], [True, True], [False]]):
+        assert [g.tolist() for g in suffixes._elsewhere(highs, [np.array(low, np.uint64) for low in lows])] == want
+
+
+def test_places_round_trip():
+    import numpy as np
+    for places in ([], [0], [3, 4, 5, 65_540, 65_541, 200_000, 2_000_000_000], [65_534, 131_069, 196_605]):
+        places = np.array(places, np.int64)
+        assert suffixes.unpack_places(suffixes.pack_places(places), len(places)).tolist() == places.tolist()
