@@ -5,13 +5,15 @@ Files of an output folder, all Parquet so that any store that Spark writes to wi
 * ``payload``: one row for each block of documents: shard, block, the first token's place in the shard, and ``ids``, the raw
   little-endian ids of the block's documents one after another (2 bytes each if the vocabulary allows, else 4),
   with the keys and lengths of its documents. Shards follow ascending keys.
-* ``shards``: one row per shard: documents, tokens, and tokens of all shards before it.
-* ``index``: one row per index part: the pilots of its hash function and, by slot, the fingerprint of the key,
-  its shard, offset and length. A key takes one hash, one pilot and one slot, whatever the number of keys.
+* ``shards``: one row per shard: documents, tokens, blocks, and tokens of all shards before it.
+* ``index``: one row per index part: the pilots of its hash function and, by slot, the fingerprint of the key, the shard, block,
+  offset and length of its first document, and the last block that holds the key.
+  A key takes one hash, one pilot and one slot, whatever the number of keys.
+
+``fetch`` goes from keys through the index to the blocks that hold them and takes the ids from there.
 """
 
 import os
-import zlib
 from array import array
 from collections.abc import Iterator
 from functools import cache
@@ -22,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from cohortlens.llm.words import U, mix, slices
 from cohortlens.plans.sizing import lookup_join
+from cohortlens.plans.staging import stage
 
 END_ID = 2
 BLOCK_TOKENS = 1 << 18
@@ -31,7 +34,11 @@ ENCODED_BYTES = 4 << 20        # of text that is encoded at once
 KEYS_PER_PART = 50_000
 KEYS_PER_PILOT = 4
 PAYLOAD = ("shard int, block int, first_token long, width int, keys binary, lengths binary, key_missing binary, ids binary")
-INDEX = "part int, keys long, pilots binary, fingerprints binary, shards binary, offsets binary, lengths binary"
+# What the index holds of a key, by slot.
+PLACE = {"shard": "<i4", "block": "<i4", "offset": "<i8", "length": "<i8", "last_shard": "<i4", "last_block": "<i4"}
+INDEX = ", ".join(["part int, keys long, pilots binary, fingerprints binary", *(f"{c} binary" for c in PLACE)])
+FOUND = ", ".join(["doc_id long", *(f"{c} {'int' if kind == '<i4' else 'long'}" for c, kind in PLACE.items())])
+NAMED_SHARDS = 256             # so many shards are named in the filter of a fetch
 
 
 class Encoder:
@@ -131,14 +138,31 @@ def _encode(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterat
         yield flush()[0]
 
 
-def documents_of(row: dict) -> Iterator[tuple[int | None, int, np.ndarray]]:
-    """(key, first token in the shard, ids) of the documents of one payload row."""
-    ids = np.frombuffer(row["ids"], f"<u{row['width']}")
+def documents_of(row: dict) -> Iterator[tuple[int | None, int, np.ndarray, bool]]:
+    """(key, first token in the shard, ids, whether it is where the index sends its key) of the documents of a payload row
+    that are asked for, and of those without a key if the row says so.
+
+    A key is compared with the stored one, so a key that was never indexed finds nothing. Its documents lie one after
+    another; they begin at the place that the index names, or with the block if they began in an earlier one.
+    """
     keys, lengths = np.frombuffer(row["keys"], "<i8"), np.frombuffer(row["lengths"], "<i8")
     missing = np.frombuffer(row["key_missing"], bool)
     ends = np.cumsum(lengths)
-    for key, none, a, z in zip(keys.tolist(), missing.tolist(), (ends - lengths).tolist(), ends.tolist()):
-        yield None if none else key, row["first_token"] + a, ids[a:z]
+    starts = ends - lengths
+    wanted, first = missing & row["keyless"], np.zeros(len(keys), bool)
+    if row["asked"]:
+        asked, offsets = (np.array([a[c] for a in row["asked"]], np.int64) for c in ("doc_id", "offset"))
+        at = np.where(offsets < 0, 0, np.minimum(np.searchsorted(starts, offsets - row["first_token"]), len(keys) - 1))
+        held = (keys[at] == asked) & ~missing[at]
+        first[at[held & (offsets >= 0)]] = True
+        run = np.cumsum(np.r_[True, (keys[1:] != keys[:-1]) | (missing[1:] != missing[:-1])]) - 1
+        # Of the run that holds a place, everything from there on.
+        begin = np.full(run[-1] + 1, len(keys))
+        np.minimum.at(begin, run[at[held]], at[held])
+        wanted |= np.arange(len(keys)) >= begin[run]
+    ids = np.frombuffer(row["ids"], f"<u{row['width']}")
+    for i in np.flatnonzero(wanted).tolist():
+        yield None if missing[i] else int(keys[i]), row["first_token"] + int(starts[i]), ids[starts[i]:ends[i]], bool(first[i])
 
 
 def hash_key(keys: np.ndarray, seed: int | np.ndarray = 0) -> np.ndarray:
@@ -192,30 +216,25 @@ def slots_of(keys: np.ndarray, n: int, pilots: np.ndarray) -> np.ndarray:
 
 
 def _index_part(table: pa.Table) -> pa.Table:
-    """One part of the index. Of a repeated key the first place in the payload is kept."""
-    key, shard, offset, length = (table.column(c).to_numpy() for c in ("doc_id", "shard", "offset", "length"))
-    order = np.lexsort((offset, shard, key))
-    order = order[np.r_[True, key[order][1:] != key[order][:-1]]]
-    key, shard, offset, length = key[order], shard[order], offset[order], length[order]
-    pilots, slot = perfect_hash(key)
-    put = np.empty(len(key), np.int64)
-    put[slot] = np.arange(len(key))
+    """One part of the index, of distinct keys."""
+    keys = table.column("doc_id").to_numpy()
+    pilots, slot = perfect_hash(keys)
+    put = np.empty(len(keys), np.int64)
+    put[slot] = np.arange(len(keys))
     return pa.table({
-        "part": pa.array([table.column("part")[0].as_py()], pa.int32()), "keys": pa.array([len(key)], pa.int64()),
-        "pilots": [pilots.tobytes()], "fingerprints": [fingerprint(key[put]).tobytes()],
-        "shards": [shard[put].astype("<i4").tobytes()], "offsets": [offset[put].astype("<i8").tobytes()],
-        "lengths": [length[put].astype("<i8").tobytes()]})
+        "part": pa.array([table.column("part")[0].as_py()], pa.int32()), "keys": pa.array([len(keys)], pa.int64()),
+        "pilots": [pilots.tobytes()], "fingerprints": [fingerprint(keys[put]).tobytes()],
+        **{c: [table.column(c).to_numpy()[put].astype(kind).tobytes()] for c, kind in PLACE.items()}})
 
 
 def _look_up(part: pa.Table, asked: pa.Table) -> pa.Table:
     keys = asked.column("doc_id").to_numpy()
-    found, shard, offset, length = (np.zeros(len(keys), t) for t in (bool, np.int32, np.int64, np.int64))
+    found, place = np.zeros(len(keys), bool), {c: np.zeros(len(keys), kind) for c, kind in PLACE.items()}
     for row in part.to_pylist():
         slot = slots_of(keys, row["keys"], np.frombuffer(row["pilots"], "<u4"))
         found = np.frombuffer(row["fingerprints"], "<u4")[slot] == fingerprint(keys)
-        shard, offset = np.frombuffer(row["shards"], "<i4")[slot], np.frombuffer(row["offsets"], "<i8")[slot]
-        length = np.frombuffer(row["lengths"], "<i8")[slot]
-    return pa.table({"doc_id": asked.column("doc_id"), "shard": shard, "offset": offset, "length": length}).filter(pa.array(found))
+        place = {c: np.frombuffer(row[c], kind)[slot] for c, kind in PLACE.items()}
+    return pa.table({"doc_id": asked.column("doc_id"), **place}).filter(pa.array(found))
 
 
 def _part(parts: int):
@@ -227,77 +246,119 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID, id
     """Write payload, shards and index of ``docs`` to a new folder; returns the number of index parts.
 
     Documents are written in ascending key order, missing keys first; a missing text is an empty one and still gets the end id.
-    Rows that repeat a key are all written, next to each other, and the index holds the first; rows without a key
-    are written and not indexed. No rows give empty files. Other columns are ignored. ``tokenizer`` is the path of a
+    Rows that repeat a key are all written, next to each other in the order of a hash of their texts, so that many of them
+    fill several shards, and the index holds where they begin and end; rows without a key are written and not indexed. No rows give empty files. Other columns are ignored. ``tokenizer`` is the path of a
     tokenizer file that every executor has.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    (rows.orderBy("doc_id").mapInArrow(lambda b: _encode(b, tokenizer, end_id), PAYLOAD)
+    (rows.orderBy("doc_id", F.xxhash64("text")).mapInArrow(lambda b: _encode(b, tokenizer, end_id), PAYLOAD)
      .write.option("compression", "zstd").parquet(f"{folder}/payload"))
     entries = _entries(spark, folder)
-    sums = entries.groupBy("shard").agg(F.count(F.lit(1)).alias("documents"), F.sum("length").alias("tokens"))
+    sums = entries.groupBy("shard").agg(F.count(F.lit(1)).alias("documents"), F.sum("length").alias("tokens"),
+                                        (F.max("block") + 1).alias("blocks"))
     before = Window.partitionBy(F.lit(0)).orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)   # one row per shard
     sums.withColumn("before", F.coalesce(F.sum("tokens").over(before), F.lit(0))).write.parquet(f"{folder}/shards")
     n = spark.read.parquet(f"{folder}/shards").agg(F.coalesce(F.sum("documents"), F.lit(0))).first()[0]
     parts = max(1, -(-n // keys_per_part))
-    (entries.where("doc_id IS NOT NULL").withColumn("part", _part(parts)).groupBy("part").applyInArrow(_index_part, INDEX)
-     .write.parquet(f"{folder}/index"))
+    places = (entries.where("doc_id IS NOT NULL").groupBy("doc_id")
+              .agg(F.min(F.struct("shard", "block", "offset", "length")).alias("first"), F.max(F.struct("shard", "block")).alias("last"))
+              .select("doc_id", _part(parts), "first.*", F.col("last.shard").alias("last_shard"), F.col("last.block").alias("last_block")))
+    places.groupBy("part").applyInArrow(_index_part, INDEX).write.parquet(f"{folder}/index")
     return parts
 
 
 def _entries(spark: SparkSession, folder: str) -> DataFrame:
-    """Key, shard, offset and length of every document, from the payload without its ids."""
+    """Key, shard, block, offset and length of every document, from the payload without its ids."""
     def entries(batches):
         for batch in batches:
             for row in batch.to_pylist():
                 lengths = np.frombuffer(row["lengths"], "<i8")
                 keys = pa.array(np.frombuffer(row["keys"], "<i8"), mask=np.frombuffer(row["key_missing"], bool))
                 yield pa.RecordBatch.from_arrays(
-                    [keys, pa.array(np.full(len(lengths), row["shard"], np.int32)),
+                    [keys, *(pa.array(np.full(len(lengths), row[c], np.int32)) for c in ("shard", "block")),
                      pa.array(row["first_token"] + np.cumsum(lengths) - lengths), pa.array(lengths)],
-                    ["doc_id", "shard", "offset", "length"])
-    return (spark.read.parquet(f"{folder}/payload").select("shard", "first_token", "keys", "lengths", "key_missing")
-            .mapInArrow(entries, "doc_id long, shard int, offset long, length long"))
+                    ["doc_id", "shard", "block", "offset", "length"])
+    return (spark.read.parquet(f"{folder}/payload").select("shard", "block", "first_token", "keys", "lengths", "key_missing")
+            .mapInArrow(entries, "doc_id long, shard int, block int, offset long, length long"))
 
 
 def look_up(spark: SparkSession, folder: str, keys: DataFrame, parts: int) -> DataFrame:
-    """(doc_id, shard, offset, length) of the keys that the index holds, by hash, pilot, slot and fingerprint.
+    """(doc_id, shard, block, offset, length, last_shard, last_block) of the keys that the index holds, by hash, pilot, slot and
+    fingerprint: the place of the key's first document and the last block that holds it.
 
     A key that was never indexed passes the fingerprint once in 2**32. Missing keys are not found.
     """
     index = spark.read.parquet(f"{folder}/index")
     asked = keys.select("doc_id").where("doc_id IS NOT NULL").withColumn("part", _part(parts))
-    return index.groupBy("part").cogroup(asked.groupBy("part")).applyInArrow(
-        _look_up, "doc_id long, shard int, offset long, length long")
+    return index.groupBy("part").cogroup(asked.groupBy("part")).applyInArrow(_look_up, FOUND)
+
 
+def _block_id():
+    return F.shiftleft(F.col("shard").cast("long"), 32) + F.col("block")
 
-def checksums(spark: SparkSession, folder: str) -> DataFrame:
-    """(doc_id, shard, offset, n_tokens, ids_crc32) of every document, read back from the payload in file order."""
-    def sums(batches):
+
+def _asked_blocks(spark: SparkSession, folder: str, keys: DataFrame, parts: int) -> DataFrame:
+    """One row for each block that holds an asked key: its shard, and the keys with their offsets, -1 behind their first block.
+
+    A block holds at most BLOCK_TOKENS documents and those encoded with its last one, which bounds its list.
+    """
+    found = look_up(spark, folder, keys, parts).withColumnsRenamed({"shard": "first_shard", "block": "first_block"})
+    reach = lookup_join(found.withColumn("shard", F.explode(F.sequence("first_shard", "last_shard"))),
+                        spark.read.parquet(f"{folder}/shards").select("shard", "blocks"), "shard")
+    begins = F.col("shard") == F.col("first_shard")
+    from_block = F.when(begins, F.col("first_block")).otherwise(0)
+    to_block = F.when(F.col("shard") == F.col("last_shard"), F.col("last_block")).otherwise(F.col("blocks") - 1)
+    here = reach.withColumn("block", F.explode(F.sequence(from_block, to_block)))
+    offset = F.when(begins & (F.col("block") == F.col("first_block")), F.col("offset")).otherwise(-1)
+    return here.groupBy("shard", _block_id().alias("block_id")).agg(
+        F.collect_list(F.struct("doc_id", offset.alias("offset"))).alias("asked"))
+
+
+def _read(payload: DataFrame, asked: DataFrame, keyless: bool) -> DataFrame:
+    """(doc_id, shard, offset, n_tokens, ids, indexed) from the payload's blocks; the blocks are shuffled only if what
+    is asked of them is too large to broadcast."""
+    def documents(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                got = [(k, at, len(ids), zlib.crc32(ids.astype("<u4").tobytes())) for k, at, ids in documents_of(row)]
-                columns = list(zip(*got))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(columns[0], pa.int64()), pa.array([row["shard"]] * len(got), pa.int32()),
-                     *(pa.array(c, pa.int64()) for c in columns[1:])],
-                    ["doc_id", "shard", "offset", "n_tokens", "ids_crc32"])
-    return spark.read.parquet(f"{folder}/payload").mapInArrow(
-        sums, "doc_id long, shard int, offset long, n_tokens long, ids_crc32 long")
+                got = list(documents_of(row | {"keyless": keyless}))
+                if got:
+                    key, offset, ids, first = zip(*got)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(key, pa.int64()), pa.array([row["shard"]] * len(got), pa.int32()), pa.array(offset, pa.int64()),
+                         pa.array([len(i) for i in ids], pa.int64()), pa.array([i.astype("<u4").tobytes() for i in ids], pa.binary()),
+                         pa.array(first, pa.bool_())],
+                        ["doc_id", "shard", "offset", "n_tokens", "ids", "indexed"])
+    blocks = lookup_join(payload.withColumn("block_id", _block_id()), asked.select("block_id", "asked"), "block_id",
+                         "left" if keyless else "inner")
+    return (blocks.select("shard", "first_token", "width", "keys", "lengths", "key_missing", "ids", "asked")
+            .mapInArrow(documents, "doc_id long, shard int, offset long, n_tokens long, ids binary, indexed boolean"))
+
+
+def fetch(spark: SparkSession, folder: str, keys: DataFrame, parts: int) -> DataFrame:
+    """(doc_id, shard, offset, n_tokens, ids, indexed) of the documents of the asked keys, ids as little-endian 32-bit integers.
+
+    The index leads to the blocks; if they lie in few shards, no other shard's file is read. All documents of a repeated key come,
+    ``indexed`` marking the first. Keys that are asked twice come once; missing and unknown keys give nothing.
+    """
+    asked = stage(_asked_blocks(spark, folder, keys.select("doc_id").distinct(), parts), "asked")
+    payload = spark.read.parquet(f"{folder}/payload")
+    shards = [r.shard for r in asked.select("shard").distinct().limit(NAMED_SHARDS + 1).collect()]
+    if len(shards) <= NAMED_SHARDS:
+        payload = payload.where(F.col("shard").isin(shards))
+    return _read(payload, asked, keyless=False)
 
 
 def read_back(spark: SparkSession, folder: str, parts: int) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32, indexed) of every document of a folder.
+    """(doc_id, start, n_tokens, ids_crc32, indexed) of every document of a folder, fetched by its key through the index;
+    rows without a key, which no index can hold, come from the same blocks.
 
     ``start`` counts the ids of all documents before it. ``indexed`` says that the index leads from the key to the
     document's place; of rows with the same key it is true for the first, and false for rows without a key.
     """
-    rows = checksums(spark, folder)
-    found = look_up(spark, folder, _entries(spark, folder).select("doc_id").distinct(), parts)
-    checked = rows.join(found.select("doc_id", "shard", "offset", F.col("length").alias("n_tokens"), F.lit(True).alias("indexed")),
-                        ["doc_id", "shard", "offset", "n_tokens"], "left")
+    asked = stage(_asked_blocks(spark, folder, _entries(spark, folder).select("doc_id").distinct(), parts), "asked")
+    rows = _read(spark.read.parquet(f"{folder}/payload"), asked, keyless=True)
+    digests = rows.select("doc_id", "shard", "offset", "n_tokens", F.crc32("ids").alias("ids_crc32"), "indexed")
     shards = spark.read.parquet(f"{folder}/shards").select("shard", "before")
-    return (lookup_join(checked, shards, "shard")
-            .select("doc_id", (F.col("before") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32",
-                    F.coalesce("indexed", F.lit(False)).alias("indexed")))
+    return (lookup_join(digests, shards, "shard")
+            .select("doc_id", (F.col("before") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32", "indexed"))

@@ -40,6 +40,47 @@ def test_tokens_round_trip_through_the_index(spark, corpus, odd_rows, tmp_path):
     assert sorted(r.doc_id for r in token_output.look_up(spark, str(tmp_path / "out"), asked, parts).collect()) == [30, 31]
 
 
+@pytest.fixture
+def small_shards(spark):
+    """Keeps the small partitions of a few rows apart, so that there are several shards."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+@pytest.mark.parametrize("tokens", [1, 50, 1 << 18])
+def test_ids_are_fetched_by_key(spark, corpus, odd_rows, tmp_path, monkeypatch, small_shards, tokens):
+    """Blocks of any size: a repeated key's rows may fill several blocks and shards."""
+    from tokenizers import Tokenizer
+    monkeypatch.setattr(token_output, "BLOCK_TOKENS", tokens)
+    monkeypatch.setattr(token_output, "ENCODED_BYTES", 200)
+    whole = Tokenizer.from_file(queries.tokenizer())
+    rows = [*odd_rows, *((40, prose(100 + k, 30)) for k in range(25)), (41, "behind them"), (-5, "a negative key"), (-5, None)]
+    folder = str(tmp_path / "out")
+    parts = token_output.write(corpus(rows).repartition(3), folder, queries.tokenizer(), keys_per_part=3)
+    held = token_output._entries(spark, folder).where("doc_id = 40").select("shard", "block").distinct().collect()
+    assert len({r.shard for r in held}) > 1 and (tokens > 50 or len(held) > 4)
+    wanted = [40, 8, 3, -5, 2, 2, 777, None]
+    got = token_output.fetch(spark, folder, spark.createDataFrame([(i,) for i in wanted], "doc_id bigint"), parts).collect()
+    coded = collections.Counter((i, tuple([*whole.encode(t or "", add_special_tokens=False).ids, 2])) for i, t in rows if i in (40, 8, 3, -5, 2))
+    assert collections.Counter((r.doc_id, tuple(np.frombuffer(r.ids, "<u4").tolist())) for r in got) == coded
+    assert sorted(r.doc_id for r in got if r.indexed) == [-5, 2, 3, 8, 40] and all(r.n_tokens * 4 == len(r.ids) for r in got)
+    back = token_output.read_back(spark, folder, parts).collect()
+    assert len(back) == len(rows) and sum(r.indexed for r in back) == len({i for i, _ in rows if i is not None})
+    nothing = token_output.fetch(spark, folder, spark.createDataFrame([(777,)], "doc_id bigint"), parts)
+    assert nothing.count() == 0
+
+
+def test_a_fetch_reads_the_shards_of_its_keys(spark, corpus, tmp_path, small_shards):
+    folder = str(tmp_path / "out")
+    parts = token_output.write(corpus([(i, prose(i, 20)) for i in range(200)]).repartition(4), folder, queries.tokenizer())
+    assert spark.read.parquet(f"{folder}/shards").count() > 1
+    one = token_output.fetch(spark, folder, spark.createDataFrame([(150,)], "doc_id bigint"), parts)
+    assert [r.doc_id for r in one.collect()] == [150]
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [" in plan and "EqualTo(shard," in plan
+
+
 def test_no_documents_give_empty_files(spark, corpus, tmp_path):
     parts = token_output.write(corpus([]), str(tmp_path / "out"), queries.tokenizer())
     assert token_output.read_back(spark, str(tmp_path / "out"), parts).count() == 0
