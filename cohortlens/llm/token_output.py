@@ -33,6 +33,7 @@ JOINED = 64                    # chunks that are encoded as one text
 ENCODED_BYTES = 4 << 20        # of text that is encoded at once
 KEYS_PER_PART = 50_000
 KEYS_PER_PILOT = 4
+PILOTS_TRIED = 1 << 14         # times keys, in one round
 PAYLOAD = ("shard int, block int, first_token long, width int, keys binary, lengths binary, key_missing binary, ids binary")
 # What the index holds of a key, by slot.
 PLACE = {"shard": "<i4", "block": "<i4", "offset": "<i8", "length": "<i8", "last_shard": "<i4", "last_block": "<i4"}
@@ -88,8 +89,11 @@ class Encoder:
         cut = [None if i in whole else t.split(" ") for i, t in enumerate(texts)]
         known, fresh = self.known, {}
         first = [" " if c is None else c[0] for c in cut]
-        wanted = {w for c in cut if c is not None for w in c[1:]}
-        new = [" " + w for w in wanted if w not in known]
+        wanted: set[str] = set()
+        for c in cut:
+            if c is not None:
+                wanted.update(c[1:])
+        new = [" " + w for w in wanted.difference(known)]
         heads = list({f for f, c in zip(first, cut) if c is not None})
         if new:
             fresh = {w[1:]: ids for w, ids in zip(new, self._chunk_ids(new))}
@@ -138,31 +142,32 @@ def _encode(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterat
         yield flush()[0]
 
 
-def documents_of(row: dict) -> Iterator[tuple[int | None, int, np.ndarray, bool]]:
-    """(key, first token in the shard, ids, whether it is where the index sends its key) of the documents of a payload row
-    that are asked for, and of those without a key if the row says so.
+def documents_of(row: dict, asked: np.ndarray, offsets: np.ndarray, keyless: bool) -> pa.RecordBatch:
+    """(doc_id, shard, offset, n_tokens, ids, indexed) of the documents of a payload row whose keys are asked for, and of those
+    without a key if wanted. ``indexed`` marks those that are where the index sends their key.
 
     A key is compared with the stored one, so a key that was never indexed finds nothing. Its documents lie one after
-    another; they begin at the place that the index names, or with the block if they began in an earlier one.
+    another; they begin at the place that the index names, or with the block if they began in an earlier one (offset -1).
     """
     keys, lengths = np.frombuffer(row["keys"], "<i8"), np.frombuffer(row["lengths"], "<i8")
     missing = np.frombuffer(row["key_missing"], bool)
     ends = np.cumsum(lengths)
     starts = ends - lengths
-    wanted, first = missing & row["keyless"], np.zeros(len(keys), bool)
-    if row["asked"]:
-        asked, offsets = (np.array([a[c] for a in row["asked"]], np.int64) for c in ("doc_id", "offset"))
-        at = np.where(offsets < 0, 0, np.minimum(np.searchsorted(starts, offsets - row["first_token"]), len(keys) - 1))
-        held = (keys[at] == asked) & ~missing[at]
-        first[at[held & (offsets >= 0)]] = True
-        run = np.cumsum(np.r_[True, (keys[1:] != keys[:-1]) | (missing[1:] != missing[:-1])]) - 1
-        # Of the run that holds a place, everything from there on.
-        begin = np.full(run[-1] + 1, len(keys))
-        np.minimum.at(begin, run[at[held]], at[held])
-        wanted |= np.arange(len(keys)) >= begin[run]
-    ids = np.frombuffer(row["ids"], f"<u{row['width']}")
-    for i in np.flatnonzero(wanted).tolist():
-        yield None if missing[i] else int(keys[i]), row["first_token"] + int(starts[i]), ids[starts[i]:ends[i]], bool(first[i])
+    at = np.where(offsets < 0, 0, np.minimum(np.searchsorted(starts, offsets - row["first_token"]), len(keys) - 1))
+    held = (keys[at] == asked) & ~missing[at]
+    first = np.zeros(len(keys), bool)
+    first[at[held & (offsets >= 0)]] = True
+    run = np.cumsum(np.r_[True, (keys[1:] != keys[:-1]) | (missing[1:] != missing[:-1])]) - 1
+    begin = np.full(run[-1] + 1, len(keys))      # of the run that holds a place, everything from there on
+    np.minimum.at(begin, run[at[held]], at[held])
+    wanted = (np.arange(len(keys)) >= begin[run]) | (missing & keyless)
+    ids = np.frombuffer(row["ids"], f"<u{row['width']}").astype("<u4", copy=False)
+    data = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(keys), [
+        None, pa.py_buffer(np.r_[0, ends].astype("<i8") * 4), pa.py_buffer(ids)])
+    return pa.RecordBatch.from_arrays(
+        [pa.array(keys, mask=missing), pa.array(np.full(len(keys), row["shard"], np.int32)), pa.array(row["first_token"] + starts),
+         pa.array(lengths), data.cast(pa.binary()), pa.array(first)],
+        ["doc_id", "shard", "offset", "n_tokens", "ids", "indexed"]).filter(pa.array(wanted))
 
 
 def hash_key(keys: np.ndarray, seed: int | np.ndarray = 0) -> np.ndarray:
@@ -177,7 +182,8 @@ def perfect_hash(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pilots of a minimal perfect hash of distinct keys, and each key's slot: hash and displace.
 
     Keys fall into groups of about KEYS_PER_PILOT; from the largest group on, each takes the first pilot that sends its
-    keys to free slots. Groups are independent of the number of keys elsewhere, so a part is built in its own task.
+    keys to free slots. Groups of one size are placed together, round by round: of those whose slots overlap, the one that
+    comes first takes them and the others go on to their next pilot. A part is built in its own task, independent of others.
     """
     n = len(keys)
     groups = max(1, -(-n // KEYS_PER_PILOT))
@@ -187,25 +193,33 @@ def perfect_hash(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     counts = np.bincount(group, minlength=groups)
     starts = np.cumsum(counts) - counts
     pilots, taken, slot = np.zeros(groups, "<u4"), np.zeros(n, bool), np.zeros(n, np.int64)
-    for g in np.argsort(-counts, kind="stable"):
-        if not counts[g]:
-            break
-        rows = order[starts[g]:starts[g] + counts[g]]
-        first = 0
-        while True:      # pilots are tried many at a time
-            tries = np.arange(first, first + 64)
-            at = (mix(base[rows][None, :] ^ mix(tries.astype(U) + U(1))[:, None]) % U(n)).astype(np.int64)
-            ok = ~taken[at].any(axis=1)
-            if len(rows) > 1:
-                ordered = np.sort(at, axis=1)
-                ok &= (ordered[:, 1:] != ordered[:, :-1]).all(axis=1)
-            if ok.any():
-                t = int(np.argmax(ok))
-                break
-            first += 64
-        pilots[g] = tries[t]
-        slot[rows] = at[t]
-        taken[at[t]] = True
+    for size in range(int(counts.max(initial=0)), 0, -1):
+        open_groups = np.flatnonzero(counts == size)
+        rows = order[starts[open_groups][:, None] + np.arange(size)]
+        after = np.zeros(len(open_groups), np.int64)      # the pilot that each tries next
+        while len(open_groups):
+            tried = after[:, None] + np.arange(max(1, PILOTS_TRIED // (len(open_groups) * size)))
+            at = (mix(base[rows][:, None, :] ^ mix(tried.astype(U) + U(1))[:, :, None]) % U(n)).astype(np.int64)
+            ok = ~taken[at].any(axis=2)
+            if size > 1:
+                ordered = np.sort(at, axis=2)
+                ok &= (ordered[:, :, 1:] != ordered[:, :, :-1]).all(axis=2)
+            which = np.argmax(ok, axis=1)
+            fits = np.flatnonzero(ok.any(axis=1))
+            after += tried.shape[1]
+            chosen = at[fits, which[fits]]
+            held, first = np.unique(chosen, return_index=True)
+            owner = np.zeros(n, np.int64)
+            owner[held] = first // size
+            wins = (owner[chosen] == np.arange(len(fits))[:, None]).all(axis=1)
+            after[fits] = tried[fits, which[fits]] + 1
+            done, places = fits[wins], chosen[wins]
+            pilots[open_groups[done]] = tried[done, which[done]]
+            slot[rows[done]] = places
+            taken[places] = True
+            left = np.ones(len(open_groups), bool)
+            left[done] = False
+            open_groups, rows, after = open_groups[left], rows[left], after[left]
     return pilots, slot
 
 
@@ -320,15 +334,12 @@ def _read(payload: DataFrame, asked: DataFrame, keyless: bool) -> DataFrame:
     is asked of them is too large to broadcast."""
     def documents(batches):
         for batch in batches:
-            for row in batch.to_pylist():
-                got = list(documents_of(row | {"keyless": keyless}))
-                if got:
-                    key, offset, ids, first = zip(*got)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(key, pa.int64()), pa.array([row["shard"]] * len(got), pa.int32()), pa.array(offset, pa.int64()),
-                         pa.array([len(i) for i in ids], pa.int64()), pa.array([i.astype("<u4").tobytes() for i in ids], pa.binary()),
-                         pa.array(first, pa.bool_())],
-                        ["doc_id", "shard", "offset", "n_tokens", "ids", "indexed"])
+            lists = batch.column("asked")
+            for i, row in enumerate(batch.drop_columns(["asked"]).to_pylist()):
+                asked = lists[i].values
+                key, offset = ((asked.field(c).to_numpy() for c in ("doc_id", "offset")) if asked is not None
+                               else (np.zeros(0, np.int64), np.zeros(0, np.int64)))
+                yield documents_of(row, key, offset, keyless)
     blocks = lookup_join(payload.withColumn("block_id", _block_id()), asked.select("block_id", "asked"), "block_id",
                          "left" if keyless else "inner")
     return (blocks.select("shard", "first_token", "width", "keys", "lengths", "key_missing", "ids", "asked")
