@@ -298,3 +298,14 @@ def test_mismatched_locations(spark, tmp_path):
     paths = [r.path for r in batches.list_batches(spark, base_of(tmp_path)).collect()]
     found = batches.mismatched_batches(batches.load_batches(spark, paths, 0)).collect()
     assert len(found) == 1 and found[0].path.endswith("/02/FinalOut.csv")
+
+
+def test_a_bucket_is_scanned_once(spark, tmp_path):
+    """What follows from the list of batch files reads the list and not the folder."""
+    folder = tmp_path / "s3-csu-003" / "v3-2" / "one"
+    folder.mkdir(parents=True)
+    (folder / "FinalOut_1.csv").write_text("Sample\n")
+    (folder / "a_consensus.fas").write_text(">a\nA\n")
+    listing = batches.list_batches(spark, f"{tmp_path}/{{bucket}}/")
+    assert not any("s3-csu-003" in path for path in listing.inputFiles())
+    assert [r.key for r in listing.collect()] == ["v3-2/one/FinalOut_1.csv"]
