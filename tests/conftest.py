@@ -34,3 +34,20 @@ def rows():
         return sorted((tuple(r) for r in df.select(*(columns or [c for c in df.columns if c != "_ord"])).collect()),
                       key=repr)
     return collect
+
+
+@pytest.fixture
+def tasks(spark):
+    """The number of tasks of each stage that some work runs, and what it returns."""
+    def of(name, work):
+        context = spark.sparkContext
+        context.setJobGroup(name, name)
+        try:
+            out = work()
+        finally:
+            context.setLocalProperty("spark.jobGroup.id", None)
+        tracker = context.statusTracker()
+        jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(name)]
+        stages = [tracker.getStageInfo(s) for j in jobs for s in j.stageIds]
+        return [s.numTasks for s in stages if s], out
+    return of
