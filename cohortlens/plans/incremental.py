@@ -24,6 +24,7 @@ from cohortlens.operators.sites import (
 from cohortlens.sources.store import ingests_of, read_log, read_stored, stored_rows, with_extras
 
 BUCKETS = 256
+PIECE_ROWS = 1_000_000   # stored rows for each file of a bucket, so that no task holds more than a piece
 VERSIONS = "version bigint, bucket int, rows bigint, ingest string, criteria string"
 
 
@@ -72,7 +73,12 @@ def update_best(spark: SparkSession, store: str, folder: str, criteria: list[tup
             rows = rows.unionByName(spark.read.schema(rows.schema).parquet(*paths))
         version = max((v for v, _ in current.values()), default=-1) + 1
         best = best_per_key(rows, criteria, key, check_values=False).withColumn("bucket", bucket)
-        best.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{folder}/version={version}")
+        pieces = -(-stored_rows(log) // (buckets * PIECE_ROWS))
+        if pieces > 1:
+            best = best.repartition(buckets * pieces, "bucket", F.pmod(F.hash(key), F.lit(pieces)))
+        else:
+            best = best.repartition("bucket")
+        best.write.mode("overwrite").partitionBy("bucket").parquet(f"{folder}/version={version}")
         written = (spark.read.parquet(f"{folder}/version={version}").groupBy("bucket").agg(F.count(F.lit(1)).alias("rows"))
                    .select(F.lit(version).cast("bigint").alias("version"), F.col("bucket").cast("int"), "rows"))
         names = spark.createDataFrame([(version, name, rules) for name in fresh], "version bigint, ingest string, criteria string")
