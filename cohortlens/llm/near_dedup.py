@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from cohortlens.llm.graph import components
+from cohortlens.llm.graph import components, forest
 from cohortlens.llm.words import U, mix, random_words, slices, window_starts, words
 from cohortlens.plans.staging import stage
 
@@ -187,10 +187,10 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     stars = members.where("leader < doc_id").select(F.col("leader").alias("u"), F.col("doc_id").alias("v")).distinct()
     stars = stage(stars, "stars")
     full = _full_sets(source, stars.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct(), width)
-    links = _confirm(stars, full, percent).union(_same_row_ids(some, classes))
-    parts = stage(components(links), "components")
+    links = _confirm(stars, full, percent).union(stage(_same_row_ids(some, classes), "same"))
+    parts = forest(links).toDF("doc_id", "component")    # without the smallest of each component
 
-    placed = (members.join(parts.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
+    placed = (members.join(parts, "doc_id", "left")
               .withColumn("component", F.coalesce("component", "doc_id")))
     undecided = (placed.groupBy("band", "value")
                  .agg(F.min("component").alias("a"), F.max("component").alias("z"), F.count(F.lit(1)).alias("n"))
@@ -200,15 +200,15 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     if not left.isEmpty():
         groups = stage(components(left), "groups").select(F.col("node").alias("doc_id"), F.col("component").alias("grp"))
         sizes = groups.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("tiles"))
-        rows = (groups.join(sizes, "grp").join(parts.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
+        rows = (groups.join(sizes, "grp").join(parts, "doc_id", "left")
                 .withColumn("component", F.coalesce("component", "doc_id"))
                 .withColumn("tile", F.pmod(F.xxhash64("doc_id"), F.col("tiles")).cast("int"))
                 .withColumn("_t", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
                 .select("doc_id", "grp", "component", "tile", F.least("tile", "_t").alias("one"), F.greatest("tile", "_t").alias("other"))
                 .join(full, "doc_id"))
         more = stage(rows.groupBy("grp", "one", "other").applyInArrow(lambda t: _open_links(t, percent), "u long, v long"), "links")
-        parts = stage(components(links.union(more)), "components")
-    named = (classes.join(parts.withColumnRenamed("node", "rep"), "rep", "left")
+        parts = forest(parts.toDF("u", "v").union(more)).toDF("doc_id", "component")
+    named = (classes.join(parts.withColumnRenamed("doc_id", "rep"), "rep", "left")
              .select("set_key", F.coalesce("component", "rep").alias("component_id")))
     return (sketches.select("doc_id", "n_shingles", "set_key").join(named, "set_key", "left")
             .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
