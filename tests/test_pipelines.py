@@ -264,3 +264,16 @@ def test_large_buckets_are_written_in_pieces(spark, world, monkeypatch):
     assert len(glob.glob(f"{kept}/version=0/bucket=0/part-*")) > 1
     best = sorted(tuple(r) for r in best_per_key(samples, curation.DEFAULT_CRITERIA).select("Submission", "Sample").collect())
     assert sorted(tuple(r) for r in incremental.read_best(spark, store, kept).select("Submission", "Sample").collect()) == best and len(best) == 8
+
+
+def test_near_pairs_are_not_sorted(spark, world, monkeypatch):
+    """The pairs of a pipeline come in record order by themselves, and are compressed where they are many."""
+    monkeypatch.setattr(curation, "write_distances", None)
+    results = f"{world}/results"
+    curation.full_pipeline(spark, results, max_distance=None, **common(world))
+    found = [line for line in lines(f"{results}/snps") if line != "i,j,dist"]
+    monkeypatch.setattr(curation, "PLAIN_PAIRS", 10)
+    curation.full_pipeline(spark, f"{world}/packed", max_distance=None, **common(world))
+    assert len(found) == 49 and not glob.glob(f"{world}/packed/snps/*.txt")
+    packed = tables.read_text_table(spark, f"{world}/packed/snps", once=True)
+    assert [",".join(r) for r in packed.orderBy("_ord").select("i", "j", "dist").collect()] == found

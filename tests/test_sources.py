@@ -369,3 +369,33 @@ def test_a_log_entry_of_many_files_is_not_made_by_one_task(spark, tmp_path):
         assert len(files) == 1 if n == 100 else len(files) > 1
     log = store.read_log(spark, str(tmp_path / "store"))
     assert store.stored_rows(log) == 200_100 and log.where("ingest = 'many'").count() == 200_000
+
+
+def test_plain_tables_are_read_without_a_copy(spark, tmp_path, monkeypatch):
+    """Read once, files of one header are parsed where they are selected from; any other file goes the way of all, with the same rows."""
+    staged, stage = [], tables.stage
+    monkeypatch.setattr(tables, "stage", lambda df, name: staged.append(name) or stage(df, name))
+    plain = {"a": "i,j, d\nx,#y,1\n\n  \nNA,,3\nz\n", "b": "\ufeff\ni,j, d\n\u00e9,n/a,9\n"}
+    others = {"names": "j,i, d\n1,2,3\n", "quote": 'i,j, d\n"1,1",2,3\n', "mark": "i,j, d\n\ufeff1,2,3\n", "again": "i,j, d\n1,2,3\ni,j, d\n",
+              "behind": "k,l,m\ni,j, d\n"}
+
+    def read(name, files, **options):
+        folder = tmp_path / name
+        folder.mkdir(exist_ok=True)
+        for file, text in files.items():
+            (folder / f"{file}.csv").write_text(text)
+        staged.clear()
+        df = tables.read_text_table(spark, str(folder), **options)
+        ordered = [tuple(r) for r in df.orderBy("_ord").drop("_ord").collect()]
+        return df.columns, ordered, list(staged)
+    columns, ordered, copies = read("plain", plain, once=True)
+    assert columns == ["i", "j", "d", "_ord"] and copies == []
+    assert ordered == [("x", "#y", "1"), (None, None, "3"), ("z", None, None), ("\u00e9", None, "9")]
+    assert read("plain", plain)[:2] == (columns, ordered)
+    for name, text in others.items():
+        files = plain | {"c": text}
+        found = read(name, files, once=True)
+        assert found[:2] == read(name, files)[:2] and found[2]
+    with pytest.raises(Exception, match="more fields than its header"):
+        read("wide", plain | {"c": "i,j, d\n1,2,3,4\n"}, once=True)
+    assert read("none", {"a": ""}, once=True)[:2] == (["_ord"], [])
